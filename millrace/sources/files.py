@@ -15,22 +15,25 @@ def read_csv_na(
 ) -> DataFrame:
     """CSV with a header, quoted newlines and doubled quotes; missing-value texts become NULL.
 
-    Every column is read as text, cleared of missing-value texts and then cast, so
-    a text that is not a number fails instead of turning into NULL. Files with
-    quoted newlines cannot be split; pass ``multi_line=False`` for large files
-    known to have none.
+    Columns are found by name and those outside ``schema`` pass through as text (a
+    stream takes exactly the columns of ``schema``, in its order). Every column is
+    read as text, cleared of missing-value texts and then cast, so a text that is
+    not a number fails instead of turning into NULL. Files with quoted newlines
+    cannot be split; pass ``multi_line=False`` for large files known to have none.
     """
-    texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    reader = spark.readStream if stream else spark.read
-    raw = (
-        reader.schema(texts)
-        .option("header", True)
-        .option("multiLine", multi_line)
-        .option("escape", '"')
-        .option("enforceSchema", False)
-        .csv(path)
+    options = {"header": True, "multiLine": multi_line, "escape": '"'}
+    if stream:
+        texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+        raw = spark.readStream.schema(texts).options(**options, enforceSchema=False).csv(path)
+    else:
+        raw = spark.read.options(**options).csv(path)
+        if not raw.columns:  # a zero-byte file has no header
+            return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+    others = [c for c in raw.columns if c not in schema.names]
+    return raw.select(
+        *[na_to_null(quoted(f.name)).cast(f.dataType).alias(f.name) for f in schema.fields],
+        *[na_to_null(quoted(c)).alias(c) for c in others],
     )
-    return raw.select(*[na_to_null(quoted(f.name)).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def has_rows(df: DataFrame) -> bool:
