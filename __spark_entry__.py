@@ -39,14 +39,14 @@ def as_double(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("double") for c in columns})
 
 
-# --- the star schema: parts are films, brands categories, suppliers actors -----
+# --- the star schema: parts are films of one copy each, lines their rentals, -----
+# --- brands or types the categories, suppliers the actors ------------------------
 
 
 def film_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     part, lineitem = table(spark, sf, "part"), table(spark, sf, "lineitem")
     customer = table(spark, sf, "customer")
     brand = F.substring("p_brand", 7, 10).cast("int")
-    copy = F.concat_ws("-", "l_partkey", "l_suppkey")
     return {
         "film": part.select(F.col("p_partkey").alias("film_id"), F.col("p_name").alias("title")),
         "category": part.select(brand.alias("category_id"), F.col("p_brand").alias("name")).distinct(),
@@ -61,15 +61,15 @@ def film_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
         "film_actor": lineitem.select(
             F.col("l_suppkey").alias("actor_id"), F.col("l_partkey").alias("film_id")
         ).distinct(),
-        "inventory": lineitem.select(
-            copy.alias("inventory_id"), F.col("l_partkey").alias("film_id")
-        ).distinct(),
-        "rental": lineitem.select(F.col("l_orderkey").alias("rental_id"), copy.alias("inventory_id")),
+        "inventory": part.select(F.col("p_partkey").alias("inventory_id"), F.col("p_partkey").alias("film_id")),
+        "rental": lineitem.select(
+            F.col("l_orderkey").alias("rental_id"), F.col("l_partkey").alias("inventory_id")
+        ),
         "dated_rental": lineitem.join(
             table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
         ).select(
             F.col("l_orderkey").alias("rental_id"),
-            copy.alias("inventory_id"),
+            F.col("l_partkey").alias("inventory_id"),
             F.col("o_custkey").alias("customer_id"),
             F.col("o_orderdate").alias("rental_date"),
             F.col("l_shipdate").alias("return_date"),
@@ -286,9 +286,9 @@ def bom_rows(spark: SparkSession, sf: str) -> DataFrame:
         F.year("l_shipdate").alias("year"),
         F.month("l_shipdate").alias("month"),
         F.col("l_partkey").alias("produced_material"),
-        F.col("l_quantity").cast("decimal(38,6)").alias("produced_material_quantity"),
+        F.col("l_quantity").cast("decimal(12,2)").alias("produced_material_quantity"),
         F.floor(F.col("l_partkey") / (F.col("l_linenumber") + 1)).cast("long").alias("component_material"),
-        (F.col("l_quantity") * F.col("l_linenumber")).cast("decimal(38,6)").alias("component_material_quantity"),
+        (F.col("l_quantity") * F.col("l_linenumber")).cast("decimal(12,2)").alias("component_material_quantity"),
         F.col("l_linestatus").alias("plant_id"),
     )
     return lines.join(produced, "produced_material").join(component, "component_material")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.text import quoted
-from millrace.operators.quantiles import MAX_GROUP_VALUES, percentiles_by
+from millrace.operators.quantiles import MAX_GROUP_ROWS, percentiles_by
 
 QUARTILES = [0.25, 0.5, 0.75]
 
@@ -22,7 +22,7 @@ def describe_by(
     df: DataFrame,
     keys: list[str],
     columns: list[str] | None = None,
-    max_values: int = MAX_GROUP_VALUES,
+    max_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Per group and numeric column: count, mean, std (sample), min, quartiles, max.
 
@@ -58,7 +58,7 @@ def describe_by(
             F.array(*[F.struct(F.lit(c).alias("column"), quoted(c).alias("__x")) for c in columns])
         ).alias("__s"),
     ).select(*names, F.col("__s.column").alias("column"), F.col("__s.__x").alias("__x"))
-    quartiles = percentiles_by(melted, keys + ["column"], "__x", QUARTILES, max_values)
+    quartiles = percentiles_by(melted, keys + ["column"], "__x", QUARTILES, max_rows)
     return unfolded.join(quartiles, keys + ["column"], "left").select(
         *names,
         "column",

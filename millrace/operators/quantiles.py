@@ -1,9 +1,9 @@
 """Exact percentiles with linear interpolation, for groups of any size.
 
-Equal values are counted before anything else, so a repeated value weighs one
-row. Groups with few distinct values use the built-in weighted ``percentile``,
-which holds a group's value counts in one buffer; larger groups are cut into
-ranges of the value and the wanted ranks are found by their running counts.
+Groups of ordinary length use the built-in ``percentile``, which holds a group's
+values in one buffer. In a longer group equal values are counted first, so a
+repeated value weighs one row; the counts are cut into ranges of the value, and
+only the ranges that hold a wanted rank are looked into.
 """
 
 from __future__ import annotations
@@ -14,9 +14,8 @@ from pyspark.sql import functions as F
 from millrace.functions.text import quoted
 from millrace.operators.matching import null_safe_join
 from millrace.operators.ordered import cut_into_ranges, split_hot
-from millrace.session import materialise
 
-MAX_GROUP_VALUES = 1_000_000
+MAX_GROUP_ROWS = 250_000
 
 
 def percentiles_by(
@@ -24,49 +23,49 @@ def percentiles_by(
     keys: list[str],
     value: str,
     fractions: list[float],
-    max_values: int = MAX_GROUP_VALUES,
+    max_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Per group, ``percentiles``: the value at each of ``fractions``, in order."""
     names = [quoted(k) for k in keys]
-    counts = materialise(
-        df.where(quoted(value).isNotNull())
-        .groupBy(*names, quoted(value).cast("double").alias("__v"))
-        .agg(F.count(F.lit(1)).alias("__n"))
-    )
-    small, hot, hot_values = split_hot(counts, keys, max_values) if keys else _whole(counts, max_values)
+    present = df.where(quoted(value).isNotNull()).select(*names, quoted(value).cast("double").alias("__v"))
+    small, hot, hot_rows = split_hot(present, keys, max_rows) if keys else _whole(present, max_rows)
     wanted = F.array(*[F.lit(float(f)) for f in fractions])
-    result = small.groupBy(*names).agg(F.percentile("__v", wanted, F.col("__n")).alias("percentiles"))
+    result = small.groupBy(*names).agg(F.percentile("__v", wanted).alias("percentiles"))
     if hot is None:
         return result
-    ranged = _percentiles_by_rank(hot, keys, fractions, hot_values, max_values)
-    if not keys:
-        return ranged
-    return result.unionByName(ranged)
+    ranged = _percentiles_by_rank(hot, keys, fractions, hot_rows, max_rows)
+    return result.unionByName(ranged) if keys else ranged
 
 
-def _whole(counts: DataFrame, max_values: int) -> tuple[DataFrame, DataFrame | None, int]:
+def _whole(present: DataFrame, max_rows: int) -> tuple[DataFrame, DataFrame | None, int]:
     """The same split when all rows are one group."""
-    rows = counts.count()
-    return (counts, None, 0) if rows <= max_values else (counts.limit(0), counts, rows)
+    rows = present.count()
+    return (present, None, 0) if rows <= max_rows else (present, present, rows)
 
 
 def _percentiles_by_rank(
-    counts: DataFrame, keys: list[str], fractions: list[float], values: int, max_values: int
+    values: DataFrame, keys: list[str], fractions: list[float], rows: int, max_rows: int
 ) -> DataFrame:
     names = [quoted(k) for k in keys]
-    cut = cut_into_ranges(counts, keys + ["__v"], values, max_values)
+    counts = values.groupBy(*names, "__v").agg(F.count(F.lit(1)).alias("__n"))
+    cut = cut_into_ranges(counts, keys + ["__v"], rows, max_rows)
     parts = cut.groupBy(*names, "__part").agg(F.sum("__n").alias("__rows"))
     by_part = Window.partitionBy(*names).orderBy("__part")
     offsets = parts.select(
         *names,
         "__part",
+        "__rows",
         F.coalesce(
             F.sum("__rows").over(by_part.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
         ).alias("__before"),
         F.sum("__rows").over(Window.partitionBy(*names)).alias("__total"),
     )
+    ranks = F.array(*[pick(_position(f, F.col("__total"))) for f in fractions for pick in (F.floor, F.ceil)])
+    needed = offsets.where(
+        F.exists(ranks, lambda r: (r >= F.col("__before")) & (r < F.col("__before") + F.col("__rows")))
+    ).drop("__rows")
     # One row per hot group and range: bounded by the number of ranges.
-    placed = null_safe_join(cut, F.broadcast(offsets), keys + ["__part"])
+    placed = null_safe_join(cut, F.broadcast(needed), keys + ["__part"])
     inside = Window.partitionBy(*names, "__part").orderBy("__v")
     ranked = placed.withColumn(
         "__upto",
@@ -108,18 +107,18 @@ def _between(low: Column, high: Column, position: Column) -> Column:
     )
 
 
-def median(df: DataFrame, column: str, max_values: int = MAX_GROUP_VALUES) -> DataFrame:
-    return percentiles_by(df, [], column, [0.5], max_values).select(
+def median(df: DataFrame, column: str, max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+    return percentiles_by(df, [], column, [0.5], max_rows).select(
         F.col("percentiles")[0].alias("median")
     )
 
 
 def lowest_percentile_above(
-    df: DataFrame, column: str, threshold: float, max_values: int = MAX_GROUP_VALUES
+    df: DataFrame, column: str, threshold: float, max_rows: int = MAX_GROUP_ROWS
 ) -> DataFrame:
     """First whole percentile whose value exceeds ``threshold``, and that value; NULL if none."""
     every = [n / 100 for n in range(1, 101)]
-    ladder = percentiles_by(df, [], column, every, max_values).select(
+    ladder = percentiles_by(df, [], column, every, max_rows).select(
         F.posexplode("percentiles").alias("pos", "value")
     )
     return ladder.where(F.col("value") > F.lit(threshold)).agg(

@@ -123,12 +123,13 @@ def bom_explosion_annual(bom: DataFrame, max_depth: int = MAX_DEPTH) -> DataFram
     """Annual explosion: one row per FIN, tree member, component, plant and year."""
     totals = materialise(component_totals(bom, ["year"]))
     members = fin_members(totals, by_plant=True, max_depth=max_depth)
+    # The FIN's years first: the trees stay small until they meet the totals, and a
+    # member used by many FINs is spread over its years in that join.
+    trees = members.join(fin_attr(totals), ["plant_id", "fin_id"]).join(fin_quantity(bom), ["plant_id", "fin_id"])
     # Plant, FIN, member, component and year identify a row here, attributes
     # included, so no aggregate is left to do after the joins.
-    exploded = (
-        members.join(totals.withColumnRenamed("produced_material", "material_id"), ["plant_id", "material_id"])
-        .join(fin_attr(totals), ["plant_id", "fin_id"])
-        .join(fin_quantity(bom), ["plant_id", "fin_id", "year"])
+    exploded = trees.join(
+        totals.withColumnRenamed("produced_material", "material_id"), ["plant_id", "material_id", "year"]
     )
     return exploded.select(
         F.col("plant_id").alias("plant"),
