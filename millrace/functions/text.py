@@ -55,7 +55,7 @@ def comparison_key(text: Column) -> Column:
 def fill_text_nulls(df: DataFrame, fill: str = PLACEHOLDER) -> DataFrame:
     """Fill NULLs in the text columns only; numeric columns keep theirs."""
     columns = text_columns(df)
-    return df.fillna(fill, subset=columns) if columns else df
+    return df.withColumns({c: F.coalesce(quoted(c), F.lit(fill)) for c in columns}) if columns else df
 
 
 def null_na_texts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.text import quoted
+from millrace.operators.matching import without_match
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -36,7 +37,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], order: list[st
     ``source`` named in ``order`` but absent from ``target`` only order the rows.
     """
     applied = latest_per_key(source, keys, order).select(*[quoted(c) for c in target.columns])
-    return target.join(applied.select(*[quoted(k) for k in keys]), keys, "left_anti").unionByName(applied)
+    return without_match(target, source, keys).unionByName(applied)
 
 
 def insert_if_absent(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:

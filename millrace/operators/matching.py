@@ -18,13 +18,13 @@ def without_match(left: DataFrame, right: DataFrame, on: str | list[str]) -> Dat
     reuses the partitioning it leaves behind.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    return left.join(right.select(*keys).distinct(), keys, "left_anti")
+    return left.join(right.select(*[quoted(k) for k in keys]).distinct(), keys, "left_anti")
 
 
 def with_match(left: DataFrame, right: DataFrame, on: str | list[str]) -> DataFrame:
     """Rows of ``left`` whose key is present in ``right``."""
     keys = [on] if isinstance(on, str) else list(on)
-    return left.join(right.select(*keys).distinct(), keys, "left_semi")
+    return left.join(right.select(*[quoted(k) for k in keys]).distinct(), keys, "left_semi")
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:

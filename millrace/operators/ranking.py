@@ -18,7 +18,8 @@ def top_k_with_ties(df: DataFrame, measure: str, k: int) -> DataFrame:
     """All rows holding one of the ``k`` greatest distinct values of ``measure``.
 
     A global dense rank would move every row into one partition; the ``k``
-    distinct values fit in a broadcast whatever the size of ``df``.
+    distinct values fit in a broadcast whatever the size of ``df``. ``df`` is read
+    twice, so store it first if it is costly.
     """
     best = (
         df.select(quoted(measure).alias("__best"))
@@ -31,5 +32,5 @@ def top_k_with_ties(df: DataFrame, measure: str, k: int) -> DataFrame:
 
 
 def argmax_with_ties(df: DataFrame, measure: str) -> DataFrame:
-    """All rows holding the maximum of ``measure``."""
+    """All rows holding the maximum of ``measure``; ``df`` is read twice."""
     return df.where(quoted(measure) == peak_of(df, measure))

@@ -13,6 +13,7 @@ from millrace.functions.times import micros_between, micros_to_hours
 from millrace.operators.matching import with_match, without_match
 from millrace.operators.ranking import argmax_with_ties, top_k, top_k_with_ties
 from millrace.operators.tally import count_by_condition
+from millrace.session import materialise
 
 
 def films_per_category(film: DataFrame, film_category: DataFrame, category: DataFrame) -> DataFrame:
@@ -98,7 +99,8 @@ def category_spend(
 
 def top_category_by_spend(*tables: DataFrame) -> DataFrame:
     """The category with the most money spent, ties included; arguments as ``category_spend``."""
-    return argmax_with_ties(category_spend(*tables), "spent_money")
+    # One row per category, stored: finding the maximum must not repeat the joins.
+    return argmax_with_ties(materialise(category_spend(*tables)), "spent_money")
 
 
 def films_without_inventory(film: DataFrame, inventory: DataFrame) -> DataFrame:
@@ -129,7 +131,8 @@ def top_actors_in_category(
         .groupBy("actor_id")
         .agg(F.sum("listed").alias("appearances"))
     )
-    named = appearances.join(actor.select("actor_id", "first_name", "last_name"), "actor_id")
+    # One row per actor, stored: finding the best counts must not repeat the joins.
+    named = materialise(appearances.join(actor.select("actor_id", "first_name", "last_name"), "actor_id"))
     return (
         top_k_with_ties(named, "appearances", k)
         .select("actor_id", "first_name", "last_name", "appearances")

@@ -15,6 +15,7 @@ from millrace.functions.text import (
 )
 from millrace.functions.times import TIMESTAMP_FORMATS, TIMESTAMP_TEXT, day_of, parse_first
 from millrace.operators.ranking import top_k
+from millrace.session import materialise
 from millrace.sinks.published import publish
 from millrace.sources.files import has_rows, read_csv_na
 from millrace.sources.schemas import REVIEWS
@@ -75,7 +76,7 @@ def top_comments(reviews: DataFrame, n: int = 5) -> DataFrame:
     """The ``n`` most frequent comments, in the spelling of their earliest review.
 
     The ranking aggregates fixed-width values only, so it hashes instead of
-    sorting texts; spellings are then looked up for the ``n`` winners alone.
+    sorting texts. Its ``n`` winners are stored, and spellings looked up for them alone.
     """
     keyed = _commented(reviews)
     ranked = keyed.groupBy("key").agg(
@@ -83,16 +84,15 @@ def top_comments(reviews: DataFrame, n: int = 5) -> DataFrame:
         F.coalesce(F.sum("thumbsUpCount"), F.lit(0)).alias("totalThumbsUp"),
         F.bround(F.avg("score"), 2).alias("avgScore"),
     )
-    best = top_k(ranked, [F.col("count").desc(), F.col("key")], n)
+    best = F.broadcast(materialise(top_k(ranked, [F.col("count").desc(), F.col("key")], n)))
     undated = F.col("at").isNull() | (F.col("at") == PLACEHOLDER)
     spelled = (
-        keyed.join(F.broadcast(best.select("key")), "key", "left_semi")
-        .groupBy("key")
+        keyed.join(best, "key")
+        .groupBy("key", *best.columns[1:])
         .agg(F.min_by("content", F.struct(undated.alias("u"), "at", "reviewId")).alias("comment"))
     )
     return (
-        spelled.join(F.broadcast(best), "key")
-        .orderBy(F.col("count").desc(), F.col("key"))
+        spelled.orderBy(F.col("count").desc(), F.col("key"))
         .select("count", "totalThumbsUp", "comment", "avgScore")
     )
 
