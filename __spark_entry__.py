@@ -20,6 +20,7 @@ from millrace.operators import arrays, bins, describe, groups, keyed, ordered, t
 from millrace.operators.closure import reachable  # noqa: E402
 from millrace.plans import bom as bom_plan  # noqa: E402
 from millrace.plans import calories, census, film, reviews, rooms  # noqa: E402
+from millrace.session import materialise  # noqa: E402
 from millrace.sinks.constraints import check_constraints  # noqa: E402
 from oracle_statements import STATEMENTS  # noqa: E402
 
@@ -307,10 +308,13 @@ def bom_explosion_monthly(spark: SparkSession, sf: str) -> DataFrame:
 
 def reachable_materials(spark: SparkSession, sf: str) -> DataFrame:
     rows = bom_rows(spark, sf)
-    edges = bom_plan.produced_edges(rows, by_plant=True)
+    produced = materialise(bom_plan.produced_materials(rows))
     fins = rows.where(F.col("produced_material_release_type") == "FIN")
-    seeds = bom_plan.produced_edges(rows, by_plant=True, rows=fins).withColumnsRenamed({"src": "root", "dst": "node"})
-    return reachable(edges, seeds, ["plant_id"], max_depth=4)
+    edges = bom_plan.produced_edges(rows, by_plant=True, produced=produced)
+    seeds = bom_plan.produced_edges(fins, by_plant=True, produced=produced)
+    return reachable(
+        edges, seeds.withColumnsRenamed({"src": "root", "dst": "node"}), ["plant_id"], max_depth=4
+    )
 
 
 def produced_materials(spark: SparkSession, sf: str) -> DataFrame:

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.text import quoted
-from millrace.operators.matching import peak_of
+from millrace.operators.matching import peak_of, with_match
+from millrace.session import materialise
 
 MAX_PATTERN_ROWS = 10_000
 
@@ -85,7 +86,7 @@ def _rows_hitting_all_counted(a: DataFrame, vector: str, sets: DataFrame) -> Dat
     2^width subsets, which suits matrix rows of a few columns.
     """
     total = sets.count()
-    weights = (
+    weights = materialise(
         sets.select(F.explode(_subsets(F.col("__b"))).alias("__s"))
         .groupBy("__s")
         .agg(F.count(F.lit(1)).alias("__n"))
@@ -100,7 +101,7 @@ def _rows_hitting_all_counted(a: DataFrame, vector: str, sets: DataFrame) -> Dat
         .where(F.col("__hit") == F.lit(total))
         .select("__a")
     )
-    return a.withColumn("__a", values).join(hits, "__a", "left_semi").drop("__a")
+    return with_match(a.withColumn("__a", values), materialise(hits), "__a").drop("__a")
 
 
 def _subsets(values: Column) -> Column:

@@ -30,9 +30,7 @@ def reachable(
     """
     scope = list(scope or [])
     key = scope + ["root", "node"]
-    hops = materialise(
-        edges.select(*scope, F.col("src").alias("node"), F.col("dst").alias("__next")).distinct()
-    )
+    hops = materialise(edges.select(*scope, F.col("src").alias("node"), F.col("dst").alias("__next")).distinct())
     frontier, added = materialise_counted(seeds.select(*key).distinct())
     levels = [frontier]
     depth = 1

@@ -15,16 +15,21 @@ def without_match(left: DataFrame, right: DataFrame, on: str | list[str]) -> Dat
 
     The right side is reduced to its distinct keys first: the map-side half of
     that distinct collapses a hot key before anything is shuffled, and the join
-    reuses the partitioning it leaves behind.
+    reuses the partitioning it leaves behind. For a ``left`` of unique keys.
     """
     keys = [on] if isinstance(on, str) else list(on)
     return left.join(right.select(*[quoted(k) for k in keys]).distinct(), keys, "left_anti")
 
 
 def with_match(left: DataFrame, right: DataFrame, on: str | list[str]) -> DataFrame:
-    """Rows of ``left`` whose key is present in ``right``."""
+    """Rows of ``left`` whose key is present in ``right``, the table the key belongs to.
+
+    Both sides are shuffled as they are, so that the adaptive skew join can split
+    a key that is hot on the left. It cannot when one side is an aggregate by the
+    join key, which keeps its partitioning: store such a side first.
+    """
     keys = [on] if isinstance(on, str) else list(on)
-    return left.join(right.select(*[quoted(k) for k in keys]).distinct(), keys, "left_semi")
+    return left.join(right.select(*[quoted(k) for k in keys]), keys, "left_semi")
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:

@@ -145,9 +145,9 @@ def _local_runs(df: DataFrame, keys: list[str], order: list[str], value: str) ->
     numbered = flagged.withColumn(
         "__run", F.sum("__start").over(window.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     )
-    # A run has one value, so any aggregate returns it; max keeps a NULL run NULL.
-    return numbered.groupBy(*[quoted(k) for k in keys], "__run").agg(
-        F.max(quoted(value)).alias(value), F.count(F.lit(1)).alias("length")
+    # A run has one value: as a grouping key it leaves a count to be hashed, no text to sort.
+    return numbered.groupBy(*[quoted(k) for k in keys], "__run", quoted(value)).agg(
+        F.count(F.lit(1)).alias("length")
     )
 
 
@@ -178,6 +178,6 @@ def _stitch_runs(runs: DataFrame, series: list[str], value: str) -> DataFrame:
     placed = null_safe_join(runs, F.broadcast(offsets), series + ["__part"])
     return (
         placed.withColumn("run_no", F.col("__run") + F.col("__shift"))
-        .groupBy(*keys, "run_no")
-        .agg(F.max(quoted(value)).alias(value), F.sum("length").alias("length"))
+        .groupBy(*keys, "run_no", quoted(value))
+        .agg(F.sum("length").alias("length"))
     )

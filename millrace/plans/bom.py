@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.closure import reachable
-from millrace.operators.matching import null_safe_join
+from millrace.operators.matching import null_safe_join, with_match
 from millrace.session import materialise
 
 FINISHED = "FIN"
@@ -43,25 +43,31 @@ def fin_materials(bom: DataFrame) -> DataFrame:
     )
 
 
-def produced_edges(bom: DataFrame, by_plant: bool, rows: DataFrame | None = None) -> DataFrame:
-    """Distinct ``src`` to ``dst`` edges of ``rows`` (default all) whose component is produced in ``bom``."""
+def produced_edges(rows: DataFrame, by_plant: bool, produced: DataFrame | None = None) -> DataFrame:
+    """Distinct ``src`` to ``dst`` edges of ``rows`` whose component is produced.
+
+    ``produced`` are the materials produced anywhere, by default in ``rows``.
+    """
     scope = ["plant_id"] if by_plant else []
-    edges = (bom if rows is None else rows).select(
+    edges = rows.select(
         *scope, F.col("produced_material").alias("src"), F.col("component_material").alias("dst")
     ).distinct()
-    return edges.join(produced_materials(bom).withColumnRenamed("material_id", "dst"), "dst", "left_semi")
+    made = materialise(produced_materials(rows)) if produced is None else produced
+    return with_match(edges, made.withColumnRenamed("material_id", "dst"), "dst")
 
 
 def fin_members(bom: DataFrame, by_plant: bool, max_depth: int | None) -> DataFrame:
     """Distinct ``(plant_id,) fin_id, material_id``: the tree below each FIN."""
     scope = ["plant_id"] if by_plant else []
-    edges = produced_edges(bom, by_plant)
+    produced = materialise(produced_materials(bom))
+    edges = materialise(produced_edges(bom, by_plant, produced))
     if by_plant:
         # Only rows that are themselves marked finished start a tree.
-        anchors = produced_edges(bom, by_plant, bom.where(F.col("produced_material_release_type") == FINISHED))
+        anchors = produced_edges(bom.where(F.col("produced_material_release_type") == FINISHED), by_plant, produced)
     else:
         # Any row of a material that is finished somewhere starts a tree.
-        anchors = edges.join(fin_materials(bom).withColumnRenamed("fin_id", "src"), "src", "left_semi")
+        fins = materialise(fin_materials(bom))
+        anchors = with_match(edges, fins.withColumnRenamed("fin_id", "src"), "src")
     seeds = anchors.select(*scope, F.col("src").alias("root"), F.col("dst").alias("node"))
     tree = reachable(edges, seeds, scope, max_depth)
     return tree.select(*scope, F.col("root").alias("fin_id"), F.col("node").alias("material_id"))
@@ -94,9 +100,8 @@ def fin_attr(bom: DataFrame) -> DataFrame:
 
 def fin_attributes(bom: DataFrame) -> DataFrame:
     """Types and quantities of each FIN per plant, year and month."""
-    rows = bom.join(
-        fin_materials(bom).withColumnRenamed("fin_id", "produced_material"), "produced_material", "left_semi"
-    )
+    fins = materialise(fin_materials(bom))
+    rows = with_match(bom, fins.withColumnRenamed("fin_id", "produced_material"), "produced_material")
     return rows.select(
         "plant_id",
         "year",
@@ -125,7 +130,8 @@ def bom_explosion_annual(bom: DataFrame, max_depth: int = MAX_DEPTH) -> DataFram
     members = fin_members(totals, by_plant=True, max_depth=max_depth)
     # The FIN's years first: the trees stay small until they meet the totals, and a
     # member used by many FINs is spread over its years in that join.
-    trees = members.join(fin_attr(totals), ["plant_id", "fin_id"]).join(fin_quantity(bom), ["plant_id", "fin_id"])
+    finished = materialise(fin_quantity(bom).join(fin_attr(totals), ["plant_id", "fin_id"]))
+    trees = members.join(finished, ["plant_id", "fin_id"])
     # Plant, FIN, member, component and year identify a row here, attributes
     # included, so no aggregate is left to do after the joins.
     exploded = trees.join(
@@ -153,7 +159,7 @@ def bom_explosion_monthly(bom: DataFrame) -> DataFrame:
     """Monthly explosion: quantities of the months in which the FIN was produced, per year."""
     totals = materialise(component_totals(bom, ["year", "month"]))
     members = fin_members(totals, by_plant=False, max_depth=None)
-    finished = (
+    finished = materialise(
         fin_attributes(bom)
         .groupBy(
             "plant_id", "year", "month", "fin_material_id", "fin_material_release_type", "fin_material_production_type"

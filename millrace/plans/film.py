@@ -1,7 +1,10 @@
 """Film-rental reports.
 
-Facts are summed to the next join key before each join, so a hot copy, rental or
-film costs one row there, and the aggregate leaves the partitioning the join needs.
+Facts are summed to the next join key before each join, so a hot copy or film
+costs one row there, and where that key is unique on the other side the join
+reuses the aggregate's partitioning. Per-film sums are stored before they meet
+film-to-many tables: Spark then knows their size, broadcasts them when small, and
+can split a film holding many of the other side's rows when they are not.
 """
 
 from __future__ import annotations
@@ -31,6 +34,7 @@ def films_per_category(film: DataFrame, film_category: DataFrame, category: Data
 
 
 def rentals_per_film(inventory: DataFrame, rental: DataFrame) -> DataFrame:
+    """Rentals of each film over all its copies."""
     per_copy = rental.groupBy("inventory_id").agg(F.count("rental_id").alias("rentals"))
     return (
         inventory.select("inventory_id", "film_id")
@@ -49,7 +53,7 @@ def top_actors_by_rentals(
     n: int = 10,
 ) -> DataFrame:
     """The ``n`` actors whose films were rented most; ties go to the lower id."""
-    per_film = with_match(rentals_per_film(inventory, rental), film, "film_id")
+    per_film = materialise(with_match(rentals_per_film(inventory, rental), film, "film_id"))
     per_actor = (
         film_actor.select("actor_id", "film_id")
         .join(per_film, "film_id")
@@ -73,14 +77,13 @@ def category_spend(
     payment: DataFrame,
 ) -> DataFrame:
     """Money spent per category."""
-    paid = payment.groupBy("rental_id").agg(F.sum("amount").alias("amount"))
     per_copy = (
-        rental.select("rental_id", "inventory_id")
-        .join(paid, "rental_id")
+        payment.select("rental_id", "amount")
+        .join(rental.select("rental_id", "inventory_id"), "rental_id")
         .groupBy("inventory_id")
         .agg(F.sum("amount").alias("amount"))
     )
-    per_film = (
+    per_film = materialise(
         inventory.select("inventory_id", "film_id")
         .join(per_copy, "inventory_id")
         .groupBy("film_id")
@@ -119,9 +122,8 @@ def top_actors_in_category(
 ) -> DataFrame:
     """Actors with one of the ``k`` greatest appearance counts in a category."""
     chosen = category.where(F.col("name") == name).select("category_id")
-    films = (
-        with_match(film_category, film, "film_id")
-        .join(chosen, "category_id")
+    films = materialise(
+        with_match(film_category.join(chosen, "category_id"), film, "film_id")
         .groupBy("film_id")
         .agg(F.count(F.lit(1)).alias("listed"))
     )
@@ -195,7 +197,7 @@ def category_hours(
         )
     )
     titles = film.select("film_id", F.coalesce(film_test, F.lit(False)).alias("film_ok"))
-    per_film = (
+    per_film = materialise(
         inventory.select("inventory_id", "film_id")
         .join(per_copy, "inventory_id")
         .groupBy("film_id")

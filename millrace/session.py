@@ -29,6 +29,15 @@ def build_session(app: str = "millrace", master: str | None = None, **extra: str
     return builder.getOrCreate()
 
 
+def shuffle_partitions(input_bytes: int, partition_bytes: int = 256 << 20, at_least: int = 8) -> str:
+    """Setting for ``spark.sql.shuffle.partitions`` that fits the input.
+
+    Adaptive execution merges small partitions but never adds any, so the number
+    to start from must suit the largest shuffle.
+    """
+    return str(max(at_least, -(-input_bytes // partition_bytes)))
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables, as named by ``spark.checkpoint.dir``.
 
@@ -49,7 +58,9 @@ def materialise(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared scratch area and return a scan of it.
 
     The scan has no lineage behind it, survives lost executors, can be pruned by
-    column, and its file sizes let Spark decide on broadcasts by real size.
+    column, and its file sizes let Spark decide on broadcasts by real size. Being
+    a scan, it is shuffled afresh for a join, which lets the adaptive skew join
+    split a hot key of the other side; an aggregate by the join key would not be.
     """
     return _write_scratch(df)
 
@@ -63,6 +74,7 @@ def materialise_counted(df: DataFrame) -> tuple[DataFrame, int]:
 
 def _write_scratch(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
-    path = f"{scratch_root(spark)}/millrace/{uuid.uuid4().hex}"
+    # One folder per application, so that its tables can be removed when it has ended.
+    path = f"{scratch_root(spark)}/millrace/{spark.conf.get('spark.app.id')}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
