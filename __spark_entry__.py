@@ -287,9 +287,9 @@ def bom_rows(spark: SparkSession, sf: str) -> DataFrame:
         F.year("l_shipdate").alias("year"),
         F.month("l_shipdate").alias("month"),
         F.col("l_partkey").alias("produced_material"),
-        F.col("l_quantity").cast("decimal(12,2)").alias("produced_material_quantity"),
+        F.col("l_quantity").cast("decimal(8,2)").alias("produced_material_quantity"),
         F.floor(F.col("l_partkey") / (F.col("l_linenumber") + 1)).cast("long").alias("component_material"),
-        (F.col("l_quantity") * F.col("l_linenumber")).cast("decimal(12,2)").alias("component_material_quantity"),
+        (F.col("l_quantity") * F.col("l_linenumber")).cast("decimal(8,2)").alias("component_material_quantity"),
         F.col("l_linestatus").alias("plant_id"),
     )
     return lines.join(produced, "produced_material").join(component, "component_material")
@@ -307,7 +307,11 @@ def bom_explosion_monthly(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def reachable_materials(spark: SparkSession, sf: str) -> DataFrame:
-    rows = bom_rows(spark, sf)
+    rows = materialise(
+        bom_rows(spark, sf)
+        .select("plant_id", "produced_material", "produced_material_release_type", "component_material")
+        .distinct()
+    )
     produced = materialise(bom_plan.produced_materials(rows))
     fins = rows.where(F.col("produced_material_release_type") == "FIN")
     edges = bom_plan.produced_edges(rows, by_plant=True, produced=produced)

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from millrace.functions.text import quoted
 from millrace.operators.quantiles import MAX_GROUP_ROWS, percentiles_by
+from millrace.session import materialise
 
 QUARTILES = [0.25, 0.5, 0.75]
 
@@ -26,53 +27,64 @@ def describe_by(
 ) -> DataFrame:
     """Per group and numeric column: count, mean, std (sample), min, quartiles, max.
 
-    One row per group and column. Groups with a NULL key are left out.
+    One row per group and column. Groups with a NULL key are left out. The moments
+    are aggregated first and stored, one row per group; their counts then tell
+    which groups are too long for a percentile buffer.
     """
     columns = columns or numeric_columns(df, besides=keys)
     names = [quoted(k) for k in keys]
     present = df.select(*names, *[quoted(c).cast("double").alias(c) for c in columns])
     for k in keys:
         present = present.where(quoted(k).isNotNull())
-    # The moments need one pass without widening the rows: aggregate, then unfold.
-    moments = present.groupBy(*names).agg(
-        *[
-            F.struct(
-                F.count(quoted(c)).alias("count"),
-                F.avg(quoted(c)).alias("mean"),
-                F.stddev_samp(quoted(c)).alias("std"),
-                F.min(quoted(c)).alias("min"),
-                F.max(quoted(c)).alias("max"),
-            ).alias(f"__m{i}")
-            for i, c in enumerate(columns)
-        ]
+    moments = materialise(
+        present.groupBy(*names).agg(
+            *[
+                F.struct(
+                    F.count(quoted(c)).alias("count"),
+                    F.avg(quoted(c)).alias("mean"),
+                    F.stddev_samp(quoted(c)).alias("std"),
+                    F.min(quoted(c)).alias("min"),
+                    F.max(quoted(c)).alias("max"),
+                ).alias(f"s{i}")
+                for i, c in enumerate(columns)
+            ]
+        )
     )
-    unfolded = moments.select(
-        *names,
-        F.explode(
-            F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"__m{i}").alias("m")) for i, c in enumerate(columns)])
-        ).alias("__s"),
-    ).select(*names, F.col("__s.column").alias("column"), "__s.m.*")
-    melted = present.select(
-        *names,
-        F.explode(
-            F.array(*[F.struct(F.lit(c).alias("column"), quoted(c).alias("__x")) for c in columns])
-        ).alias("__s"),
-    ).select(*names, F.col("__s.column").alias("column"), F.col("__s.__x").alias("__x"))
-    quartiles = percentiles_by(melted, keys + ["column"], "__x", QUARTILES, max_rows)
-    return unfolded.join(quartiles, keys + ["column"], "left").select(
+    longest = F.array_max(F.array(*[F.col(f"s{i}.count") for i in range(len(columns))]))
+    hot_groups = moments.where(longest > max_rows).select(*names)
+    quartiles = F.array(*[F.lit(q) for q in QUARTILES])
+    if hot_groups.isEmpty():
+        ranks = _unfold(
+            present.groupBy(*names).agg(
+                *[F.percentile(quoted(c), quartiles).alias(f"s{i}") for i, c in enumerate(columns)]
+            ),
+            names, columns, "percentiles",
+        )
+    else:
+        melted = _unfold(
+            present.select(*names, *[quoted(c).alias(f"s{i}") for i, c in enumerate(columns)]), names, columns, "x"
+        )
+        ranks = percentiles_by(melted, keys + ["column"], "x", QUARTILES, max_rows)
+    return _unfold(moments, names, columns, "m").join(ranks, keys + ["column"], "left").select(
         *names,
         "column",
-        "count",
-        "mean",
-        "std",
-        "min",
+        "m.count",
+        "m.mean",
+        "m.std",
+        "m.min",
         F.col("percentiles")[0].alias("p25"),
         F.col("percentiles")[1].alias("p50"),
         F.col("percentiles")[2].alias("p75"),
-        "max",
+        "m.max",
     )
 
 
+def _unfold(wide: DataFrame, names: list, columns: list[str], value: str) -> DataFrame:
+    """One row per column of ``wide``'s ``s0, s1, ..``: ``names, column, value``."""
+    pairs = [F.struct(F.lit(c).alias("column"), F.col(f"s{i}").alias(value)) for i, c in enumerate(columns)]
+    return wide.select(*names, F.inline(F.array(*pairs)))
+
+
 def profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Count, mean, standard deviation, minimum and maximum of each column, as text."""
     return df.describe(*(columns or []))

@@ -69,7 +69,7 @@ def fin_members(bom: DataFrame, by_plant: bool, max_depth: int | None) -> DataFr
         fins = materialise(fin_materials(bom))
         anchors = with_match(edges, fins.withColumnRenamed("fin_id", "src"), "src")
     seeds = anchors.select(*scope, F.col("src").alias("root"), F.col("dst").alias("node"))
-    tree = reachable(edges, seeds, scope, max_depth)
+    tree = reachable(edges, seeds, scope, max_depth, stored=True)
     return tree.select(*scope, F.col("root").alias("fin_id"), F.col("node").alias("material_id"))
 
 

@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Broadcasts are judged by size; stored tables are larger in memory than on disk.
+    "spark.sql.sources.fileCompressionFactor": "3.0",
 }
 
 
