@@ -37,8 +37,11 @@ def micros_to_hours(micros: Column) -> Column:
 
 
 def parse_first(text: Column, formats: tuple[str, ...] = TIMESTAMP_FORMATS) -> Column:
-    """Timestamp from the first format that fits, NULL when none does."""
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in formats])
+    """Timestamp from the first format that fits, NULL when none does.
+
+    Texts without a digit, such as a placeholder, are not tried: a failed parse is slow.
+    """
+    return F.when(text.rlike("[0-9]"), F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in formats]))
 
 
 def day_of(text: Column) -> Column:

@@ -36,6 +36,15 @@ def read_csv_na(
     )
 
 
+def first_file(spark: SparkSession, folder: str, pattern: str = "*.csv") -> str | None:
+    """Path of the first file by name in ``folder`` itself, None when there is none.
+
+    Only the listing is used; no file is opened.
+    """
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
+    return listed.agg(F.min("path")).first()[0]
+
+
 def has_rows(df: DataFrame) -> bool:
     """Is there at least one row? A zero-byte and a header-only file have none."""
     return not df.isEmpty()

@@ -100,6 +100,16 @@ def test_empty_files_have_no_rows(spark, tmp_path):
     assert files.has_rows(spark.range(1))
 
 
+def test_first_file_by_name(spark, tmp_path):
+    assert files.first_file(spark, str(tmp_path)) is None
+    (tmp_path / "deeper").mkdir()
+    for name in ("b.csv", "a b.csv", "0.txt", "deeper/0.csv"):
+        (tmp_path / name).write_text(",".join(REVIEWS.names) + "\n")
+    found = files.first_file(spark, str(tmp_path))
+    assert found.endswith("/a b.csv")
+    assert files.read_csv_na(spark, found, REVIEWS).columns == REVIEWS.names
+
+
 def test_number_list(spark, rows, tmp_path):
     path = tmp_path / "n.csv"
     path.write_text("70, 120,50 , 110\n")
