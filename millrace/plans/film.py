@@ -18,6 +18,13 @@ from millrace.operators.ranking import argmax_with_ties, top_k, top_k_with_ties
 from millrace.operators.tally import count_by_condition
 from millrace.session import materialise
 
+# How the two results of the rental-hours report are named, and what they look for.
+TITLE_TAG, TITLE_PATTERN = "starts with a", "a%"
+CITY_TAG, CITY_PATTERN = "contains a dash", "%-%"
+
+# Fixed value: the category of the appearance report.
+CHILDREN = "Children"
+
 
 def films_per_category(film: DataFrame, film_category: DataFrame, category: DataFrame) -> DataFrame:
     """Films in each category, largest first."""
@@ -117,7 +124,7 @@ def top_actors_in_category(
     film: DataFrame,
     film_category: DataFrame,
     category: DataFrame,
-    name: str = "Children",
+    name: str = CHILDREN,
     k: int = 3,
 ) -> DataFrame:
     """Actors with one of the ``k`` greatest appearance counts in a category."""
@@ -227,9 +234,9 @@ def top_category_by_hours(
     customer: DataFrame,
     address: DataFrame,
     city: DataFrame,
-    title_pattern: str = "a%",
-    city_pattern: str = "%-%",
-    tags: tuple[str, str] = ("starts with a", "contains a dash"),
+    title_pattern: str = TITLE_PATTERN,
+    city_pattern: str = CITY_PATTERN,
+    tags: tuple[str, str] = (TITLE_TAG, CITY_TAG),
 ) -> DataFrame:
     """The category with most rental hours for films by title, and for cities by name.
 

@@ -14,6 +14,7 @@ from millrace.functions.text import (
     strip_symbols,
 )
 from millrace.functions.times import TIMESTAMP_FORMATS, TIMESTAMP_TEXT, day_of, parse_first
+from millrace.operators.matching import with_match
 from millrace.operators.ranking import top_k
 from millrace.session import materialise
 from millrace.sinks.published import publish
@@ -75,26 +76,22 @@ def _commented(reviews: DataFrame) -> DataFrame:
 def top_comments(reviews: DataFrame, n: int = 5) -> DataFrame:
     """The ``n`` most frequent comments, in the spelling of their earliest review.
 
-    The ranking aggregates fixed-width values only, so it hashes instead of
-    sorting texts. Its ``n`` winners are stored, and spellings looked up for them alone.
+    Texts are counted under a digest first, so one pass shuffles digests instead of
+    texts and leaves the comments at least as frequent as the ``n``-th, ties
+    included. Only their reviews are then grouped by text and aggregated.
     """
-    keyed = _commented(reviews)
-    ranked = keyed.groupBy("key").agg(
+    keyed = _commented(reviews).withColumn("digest", F.unhex(F.sha2("key", 256)))
+    counts = materialise(keyed.groupBy("digest").agg(F.count(F.lit(1)).alias("times")))
+    least = top_k(counts, [F.col("times").desc()], n).agg(F.min("times")).scalar()
+    frequent = materialise(counts.where(F.col("times") >= least).select("digest"))
+    undated = F.col("at").isNull() | (F.col("at") == PLACEHOLDER)
+    ranked = with_match(keyed, frequent, "digest").groupBy("key").agg(
         F.count(F.lit(1)).alias("count"),
         F.coalesce(F.sum("thumbsUpCount"), F.lit(0)).alias("totalThumbsUp"),
+        F.min_by("content", F.struct(undated.alias("u"), "at", "reviewId")).alias("comment"),
         F.bround(F.avg("score"), 2).alias("avgScore"),
     )
-    best = F.broadcast(materialise(top_k(ranked, [F.col("count").desc(), F.col("key")], n)))
-    undated = F.col("at").isNull() | (F.col("at") == PLACEHOLDER)
-    spelled = (
-        keyed.join(best, "key")
-        .groupBy("key", *best.columns[1:])
-        .agg(F.min_by("content", F.struct(undated.alias("u"), "at", "reviewId")).alias("comment"))
-    )
-    return (
-        spelled.orderBy(F.col("count").desc(), F.col("key"))
-        .select("count", "totalThumbsUp", "comment", "avgScore")
-    )
+    return top_k(ranked, [F.col("count").desc(), F.col("key")], n).drop("key")
 
 
 def short_content(reviews: DataFrame, n: int = 5) -> DataFrame:

@@ -18,7 +18,6 @@ def spark(tmp_path_factory):
         spark__ui__showConsoleProgress="false",
         spark__sql__shuffle__partitions="4",
         spark__default__parallelism="4",
-        spark__checkpoint__dir=str(root / "scratch"),
         spark__sql__warehouse__dir=str(root / "warehouse"),
         spark__driver__memory="4g",
         spark__log__level="ERROR",
