@@ -77,6 +77,7 @@ def materialise_counted(df: DataFrame) -> tuple[DataFrame, int]:
 def _write_scratch(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     # One folder per application, so that its tables can be removed when it has ended.
-    path = f"{scratch_root(spark)}/millrace/{spark.conf.get('spark.app.id')}/{uuid.uuid4().hex}"
+    application = spark.conf.get("spark.app.id", None) or spark.sparkContext.applicationId
+    path = f"{scratch_root(spark)}/millrace/{application}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -24,7 +24,19 @@ def test_names():
 
 @pytest.mark.parametrize("name", sorted(driver.queries()))
 def test_query(spark, db, name):
-    assert difference(driver.queries()[name](spark, SF), db, driver.oracle_sql()[name]) is None
+    df = driver.queries()[name](spark, SF)
+    assert difference(df, db, driver.oracle_sql()[name]) is None
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for unwanted in ("CartesianProduct", "NestedLoopJoin", "Python"):
+        assert unwanted not in plan
+
+
+def test_filters_and_columns_reach_the_scan(spark):
+    plan = driver.max_price_of_group(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(p_brand,Brand#7), EqualTo(p_type,PROMO)" in plan
+    assert "ReadSchema: struct<p_brand:string,p_type:string,p_retailprice:double>" in plan
+    plan = driver.flag_counts(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<l_returnflag:string>" in plan
 
 
 def test_entry(spark):
