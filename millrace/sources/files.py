@@ -24,11 +24,13 @@ def read_csv_na(
     options = {"header": True, "multiLine": multi_line, "escape": '"'}
     if stream:
         texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-        raw = spark.readStream.schema(texts).options(**options, enforceSchema=False).csv(path)
     else:
-        raw = spark.read.options(**options).csv(path)
-        if not raw.columns:  # a zero-byte file has no header
+        texts = spark.read.options(**options).csv(path).schema
+        if not texts.fields:  # a zero-byte file has no header
             return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+    # Every file's header is compared with the first one's: a file of another column order fails.
+    reader = spark.readStream if stream else spark.read
+    raw = reader.schema(texts).options(**options, enforceSchema=False).csv(path)
     others = [c for c in raw.columns if c not in schema.names]
     return raw.select(
         *[na_to_null(quoted(f.name)).cast(f.dataType).alias(f.name) for f in schema.fields],

@@ -91,6 +91,17 @@ def test_csv_by_name_with_extra_columns(spark, rows, tmp_path):
         files.read_csv_na(spark, str(bad), REVIEWS).collect()
 
 
+def test_csv_files_of_another_column_order_fail(spark, rows, tmp_path):
+    names = REVIEWS.names
+    line = "r1,u,c,1,1,-\n"
+    (tmp_path / "a.csv").write_text(",".join(names) + "\n" + line)
+    (tmp_path / "b.csv").write_text(",".join(names) + "\n" + line.replace("r1", "r2"))
+    assert sorted(r[0] for r in rows(files.read_csv_na(spark, str(tmp_path), REVIEWS))) == ["r1", "r2"]
+    (tmp_path / "c.csv").write_text(",".join([names[1], names[0], *names[2:]]) + "\n" + line)
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        files.read_csv_na(spark, str(tmp_path), REVIEWS).collect()
+
+
 def test_empty_files_have_no_rows(spark, tmp_path):
     (tmp_path / "zero.csv").write_text("")
     (tmp_path / "header.csv").write_text(",".join(REVIEWS.names) + "\n")
