@@ -15,15 +15,15 @@ def reachable(
     seeds: DataFrame,
     scope: list[str] | None = None,
     max_depth: int | None = None,
-    stored: bool = False,
+    prepared: bool = False,
 ) -> DataFrame:
     """Every ``(scope, root, node)`` reachable from the seeds, with its least depth.
 
     ``edges`` holds ``scope + [src, dst]``, ``seeds`` holds ``scope + [root, node]``
     and counts as depth 1. Edges never leave their scope. Cycles are safe: a pair
     enters the result once, in the round that first meets it, so the rounds end
-    when a round adds nothing or ``max_depth`` is reached. ``stored`` says that the
-    edges are distinct and stored already.
+    when a round adds nothing or ``max_depth`` is reached. ``prepared`` says
+    that edges and seeds are distinct and the edges stored already.
 
     The driver only learns each round's row count. Every round is written to the
     shared scratch area, which keeps lineage one round long and gives the planner
@@ -32,9 +32,10 @@ def reachable(
     """
     scope = list(scope or [])
     key = scope + ["root", "node"]
-    kept = edges if stored else materialise(edges.select(*scope, "src", "dst").distinct())
+    kept = edges if prepared else materialise(edges.select(*scope, "src", "dst").distinct())
     hops = kept.select(*scope, F.col("src").alias("node"), F.col("dst").alias("__next"))
-    frontier, added = materialise_counted(seeds.select(*key).distinct())
+    first = seeds.select(*key)
+    frontier, added = materialise_counted(first if prepared else first.distinct())
     levels = [frontier]
     depth = 1
     while added and (max_depth is None or depth < max_depth):

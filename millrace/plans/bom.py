@@ -69,7 +69,7 @@ def fin_members(bom: DataFrame, by_plant: bool, max_depth: int | None) -> DataFr
         fins = materialise(fin_materials(bom))
         anchors = with_match(edges, fins.withColumnRenamed("fin_id", "src"), "src")
     seeds = anchors.select(*scope, F.col("src").alias("root"), F.col("dst").alias("node"))
-    tree = reachable(edges, seeds, scope, max_depth, stored=True)
+    tree = reachable(edges, seeds, scope, max_depth, prepared=True)
     return tree.select(*scope, F.col("root").alias("fin_id"), F.col("node").alias("material_id"))
 
 
@@ -101,8 +101,8 @@ def fin_attr(bom: DataFrame) -> DataFrame:
 def fin_attributes(bom: DataFrame) -> DataFrame:
     """Types and quantities of each FIN per plant, year and month."""
     fins = materialise(fin_materials(bom))
-    rows = with_match(bom, fins.withColumnRenamed("fin_id", "produced_material"), "produced_material")
-    return rows.select(
+    # Distinct before the match: a FIN's many component rows collapse ahead of that shuffle.
+    rows = bom.select(
         "plant_id",
         "year",
         "month",
@@ -111,6 +111,7 @@ def fin_attributes(bom: DataFrame) -> DataFrame:
         F.col("produced_material_production_type").alias("fin_material_production_type"),
         F.col("produced_material_quantity").alias("fin_production_quantity"),
     ).distinct()
+    return with_match(rows, fins.withColumnRenamed("fin_id", "fin_material_id"), "fin_material_id").select(rows.columns)
 
 
 def component_totals(bom: DataFrame, period: list[str]) -> DataFrame:

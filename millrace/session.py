@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a hot key even where the next step could have reused the join's partitioning.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Broadcasts are judged by size; stored tables are larger in memory than on disk.
     "spark.sql.sources.fileCompressionFactor": "3.0",
