@@ -642,9 +642,37 @@ def entry(spark: SparkSession) -> DataFrame:
     return bom_explosion_annual(spark, FLAGSHIP_DIR)
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+def training_data() -> tuple[dict, dict]:
+    """Queries and SQL of the optional subpackage; none where it is not installed."""
+    try:
+        import corpus_pipeline
+        from millrace.llm import queries as llm
+    except ModuleNotFoundError as missing:
+        if missing.name not in ("corpus_pipeline", "millrace.llm"):
+            raise
+        return {}, {}
+    found = llm.QUERIES | {"pipeline": corpus_pipeline.run}
+    statements = llm.ORACLE_SQL | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
+    return {name: with_library(query) for name, query in found.items()}, statements
+
+
+def with_library(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """``query`` for a session whose Python workers shall find this library too."""
+
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        spark.sparkContext.environment.setdefault("PYTHONPATH", os.path.dirname(os.path.abspath(__file__)))
+        return query(spark, sf)
+
+    return run
+
+
+def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {q.__name__: q for q in QUERIES}
 
 
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return core_queries() | training_data()[0]
+
+
 def oracle_sql() -> dict[str, str]:
-    return dict(STATEMENTS)
+    return STATEMENTS | training_data()[1]

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -45,17 +46,23 @@ def shuffle_partitions(input_bytes: int, partition_bytes: int = 256 << 20, at_le
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables, as named by ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a folder of its own: on a cluster a
-    machine-local folder would be lost with the machine.
+    A session without one may fall back to a folder under its warehouse if all of
+    it runs in this process; elsewhere the setting is demanded, as a folder of one
+    machine would be lost with the machine.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    root = tempfile.mkdtemp(prefix="millrace-")
-    spark.sparkContext.setCheckpointDir(root)
-    return root
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+
+
+def scratch_path(spark: SparkSession) -> str:
+    """A new path in the shared folder, below one folder per application."""
+    application = spark.conf.get("spark.app.id", None) or spark.sparkContext.applicationId
+    return f"{scratch_root(spark)}/millrace/{application}/{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame) -> DataFrame:
@@ -76,10 +83,33 @@ def materialise_counted(df: DataFrame) -> tuple[DataFrame, int]:
     return stored, seen.get["rows"]
 
 
+def discard(*stored: DataFrame) -> None:
+    """Remove tables of ``materialise`` that nothing reads any more."""
+    for df in stored:
+        path = getattr(df, "_scratch_path", None)
+        if path:
+            spark = df.sparkSession
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Remove the shuffle files of the queries run inside as soon as each has ended."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _write_scratch(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
-    # One folder per application, so that its tables can be removed when it has ended.
-    application = spark.conf.get("spark.app.id", None) or spark.sparkContext.applicationId
-    path = f"{scratch_root(spark)}/millrace/{application}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    path = scratch_path(spark)
+    with shuffles_removed(spark):
+        df.write.parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored._scratch_path = path
+    return stored

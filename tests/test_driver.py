@@ -19,13 +19,13 @@ def db():
 
 
 def test_names():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(driver.core_queries()) == set(driver.STATEMENTS)
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(driver.core_queries()))
 def test_query(spark, db, name):
-    df = driver.queries()[name](spark, SF)
-    assert difference(df, db, driver.oracle_sql()[name]) is None
+    df = driver.core_queries()[name](spark, SF)
+    assert difference(df, db, driver.STATEMENTS[name]) is None
     plan = df._jdf.queryExecution().executedPlan().toString()
     for unwanted in ("CartesianProduct", "NestedLoopJoin", "Python"):
         assert unwanted not in plan
