@@ -3,19 +3,37 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from millrace.llm import simhash
+from millrace.llm import secrets, simhash
+from millrace.llm.statements import SECRET_SPANS
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op7_secrets(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    found, _ = secrets.paths_with_findings(docs)
+
+    def of(kind: str):
+        return F.filter("spans", lambda s: s["kind"] == kind)
+
+    base = F.filter("spans", lambda s: s["rank"] < len(secrets.BASE))
+    return found.select(
+        "doc_id",
+        *[F.size(of(r.kind)).cast("long").alias(f"n_{r.kind}") for r in secrets.BASE],
+        F.sha2(secrets.spans_text(base), 256).alias("base_sha256"),
+        secrets.spans_text(F.col("spans")).alias("spans"),
+    )
+
+
 def op10_simhash(spark: SparkSession, sf: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf, "documents"))
     return found.select("doc_id", simhash.hex_digits("fp").alias("fingerprint"), "component_id")
 
 
-QUERIES = {q.__name__: q for q in (op10_simhash,)}
+QUERIES = {q.__name__: q for q in (op7_secrets, op10_simhash)}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op7_secrets": SECRET_SPANS}
