@@ -2,17 +2,25 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import secrets, simhash
+from millrace.llm import packing, secrets, simhash
 from millrace.llm.statements import SECRET_SPANS
 
 
+VOCABULARY = "byte_bpe_50k.json"
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op6_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.pack(table(spark, sf, "documents"), public_tokenizers.path(VOCABULARY))
+
+
 def op7_secrets(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     found, _ = secrets.paths_with_findings(docs)
@@ -34,6 +42,6 @@ def op10_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits("fp").alias("fingerprint"), "component_id")
 
 
-QUERIES = {q.__name__: q for q in (op7_secrets, op10_simhash)}
+QUERIES = {q.__name__: q for q in (op6_packing, op7_secrets, op10_simhash)}
 
 ORACLE_SQL: dict[str, str] = {"op7_secrets": SECRET_SPANS}
