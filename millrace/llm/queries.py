@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontamination, packing, secrets, simhash
+from millrace.llm import decontamination, packing, quality, secrets, simhash
 from millrace.llm.statements import SECRET_SPANS
 
 
@@ -17,6 +17,10 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op1_quality(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 def op6_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(table(spark, sf, "documents"), public_tokenizers.path(VOCABULARY))
 
@@ -46,6 +50,6 @@ def op10_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits("fp").alias("fingerprint"), "component_id")
 
 
-QUERIES = {q.__name__: q for q in (op6_packing, op7_secrets, op9_decontamination, op10_simhash)}
+QUERIES = {q.__name__: q for q in (op1_quality, op6_packing, op7_secrets, op9_decontamination, op10_simhash)}
 
 ORACLE_SQL: dict[str, str] = {"op7_secrets": SECRET_SPANS}
