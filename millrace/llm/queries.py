@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontamination, packing, quality, secrets, simhash
+from millrace.llm import decontamination, digest, packing, quality, secrets, simhash
 from millrace.llm.statements import SECRET_SPANS
 
 
@@ -41,6 +41,10 @@ def op7_secrets(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op8_digest(spark: SparkSession, sf: str) -> DataFrame:
+    return digest.fingerprints(table(spark, sf, "documents"))
+
+
 def op9_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontamination.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
@@ -50,6 +54,6 @@ def op10_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits("fp").alias("fingerprint"), "component_id")
 
 
-QUERIES = {q.__name__: q for q in (op1_quality, op6_packing, op7_secrets, op9_decontamination, op10_simhash)}
+QUERIES = {q.__name__: q for q in (op1_quality, op6_packing, op7_secrets, op8_digest, op9_decontamination, op10_simhash)}
 
 ORACLE_SQL: dict[str, str] = {"op7_secrets": SECRET_SPANS}
