@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontamination, digest, licenses, packing, quality, secrets, simhash
+from millrace.llm import decontamination, digest, language, licenses, packing, quality, secrets, simhash
 from millrace.llm.statements import SECRET_SPANS
 
 
@@ -21,6 +21,12 @@ def op1_quality(spark: SparkSession, sf: str) -> DataFrame:
     return quality.classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def op3_language(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    found = language.identify(docs, language.fit(docs))
+    return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op4_licenses(spark: SparkSession, sf: str) -> DataFrame:
     return licenses.scan(table(spark, sf, "documents"))
 
@@ -58,6 +64,6 @@ def op10_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits("fp").alias("fingerprint"), "component_id")
 
 
-QUERIES = {q.__name__: q for q in (op1_quality, op4_licenses, op6_packing, op7_secrets, op8_digest, op9_decontamination, op10_simhash)}
+QUERIES = {q.__name__: q for q in (op1_quality, op3_language, op4_licenses, op6_packing, op7_secrets, op8_digest, op9_decontamination, op10_simhash)}
 
 ORACLE_SQL: dict[str, str] = {"op7_secrets": SECRET_SPANS}
