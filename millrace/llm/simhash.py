@@ -32,10 +32,13 @@ SHINGLE_WORDS = 4
 MAX_DIFFERING_BITS = 4
 #: Each round shuffles one part of the variants, so that disk holds one part at a time.
 ROUNDS = 8
-#: Fingerprints that a task expands, and variants that a task compares.
-TASK_FINGERPRINTS = 4096
+#: Fingerprints that a task expands, variants that a task compares, and buckets for each such task.
+TASK_FINGERPRINTS = 8192
 TASK_VARIANTS = 1 << 20
+TASK_BUCKETS = 4
 
+#: A variant and the number of the mask that made it.
+EMITTED = np.dtype([("v", "<u8"), ("m", "<u2")])
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -89,10 +92,11 @@ def ball(radius: int, bits: int = BITS) -> np.ndarray:
 
 
 def _emit(radius: int, part: int, rounds: int, buckets: int):
-    """Function from fingerprints to blobs of this round's variants, by bucket."""
+    """Function from a partition's fingerprints to this round's variants, one blob per bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         masks = ball(radius)
+        packed, bucket = [np.empty(0, dtype=EMITTED)], [np.empty(0, dtype=np.int32)]
         for batch in batches:
             own = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
             for i in range(0, len(own), 1024):
@@ -101,16 +105,17 @@ def _emit(radius: int, part: int, rounds: int, buckets: int):
                 mixed ^= mixed >> np.uint64(32)
                 mixed *= _MIX
                 mine = np.flatnonzero((mixed >> np.uint64(40)) % np.uint64(rounds) == part)
-                bucket = ((mixed[mine] & np.uint64(0xFFFFFFFF)) % np.uint64(buckets)).astype(np.int32)
-                order = np.argsort(bucket, kind="stable")
-                bucket, mine = bucket[order], mine[order]
-                packed = np.empty(len(mine), dtype=[("v", "<u8"), ("m", "<u2")])
-                packed["v"], packed["m"] = variants[mine], mine % len(masks)
-                cuts = np.flatnonzero(np.diff(bucket, prepend=-1, append=-1))
-                blobs = [packed[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(bucket[cuts[:-1]]), pa.array(blobs, pa.binary())], names=["bucket", "blob"]
-                )
+                packed.append(np.empty(len(mine), dtype=EMITTED))
+                packed[-1]["v"], packed[-1]["m"] = variants[mine], mine % len(masks)
+                bucket.append(((mixed[mine] & np.uint64(0xFFFFFFFF)) % np.uint64(buckets)).astype(np.int32))
+        packed, bucket = np.concatenate(packed), np.concatenate(bucket)
+        order = np.argsort(bucket, kind="stable")
+        packed, bucket = packed[order], bucket[order]
+        cuts = np.flatnonzero(np.diff(bucket, prepend=-1, append=-1))
+        blobs = [packed[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(bucket[cuts[:-1]]), pa.array(blobs, pa.binary())], names=["bucket", "blob"]
+        )
 
     return run
 
@@ -123,7 +128,7 @@ def _meet(radius: int):
         blobs = [blob.as_buffer() for batch in batches for blob in batch.column(1)]
         if not blobs:
             return
-        packed = np.concatenate([np.frombuffer(b, dtype=[("v", "<u8"), ("m", "<u2")]) for b in blobs])
+        packed = np.concatenate([np.frombuffer(b, dtype=EMITTED) for b in blobs])
         variants = np.ascontiguousarray(packed["v"])
         ordered = np.sort(variants)
         twice = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
@@ -160,7 +165,7 @@ def links(prints: DataFrame, differing_bits: int = MAX_DIFFERING_BITS, rounds: i
     found = []
     for part in range(rounds):
         dealt = spread.repartition(tasks, column).mapInArrow(
-            _emit(radius, part, rounds, 16 * parts), "bucket int, blob binary"
+            _emit(radius, part, rounds, TASK_BUCKETS * parts), "bucket int, blob binary"
         )
         met = dealt.repartition(parts, "bucket").mapInArrow(_meet(radius), "a long, b long")
         found.append(materialise(met))
