@@ -6,10 +6,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontamination, digest, language, licenses, packing, quality, secrets, simhash
-from millrace.llm.statements import SECRET_SPANS
+from millrace.llm import decontamination, digest, language, licenses, packing, quality, secrets, simhash, urls
+from millrace.llm.statements import SECRET_SPANS, URL_VERDICTS
 
 
+#: The rules of host, path and verdict.
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+#: Hosts that are blocked where no rule says otherwise.
+URL_BLOCK_LIST = [("cheap-pills.example.com", "", "block"), ("spam-farm.example.org", "", "block")]
 VOCABULARY = "byte_bpe_50k.json"
 
 
@@ -21,6 +25,13 @@ def op1_quality(spark: SparkSession, sf: str) -> DataFrame:
     return quality.classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def op2_urls(spark: SparkSession, sf: str) -> DataFrame:
+    rules, listed = (
+        spark.createDataFrame(rows, "host string, path string, verdict string") for rows in (URL_RULES, URL_BLOCK_LIST)
+    )
+    return urls.judge(table(spark, sf, "pages"), rules, listed)
+
+
 def op3_language(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     found = language.identify(docs, language.fit(docs))
@@ -64,6 +75,6 @@ def op10_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits("fp").alias("fingerprint"), "component_id")
 
 
-QUERIES = {q.__name__: q for q in (op1_quality, op3_language, op4_licenses, op6_packing, op7_secrets, op8_digest, op9_decontamination, op10_simhash)}
+QUERIES = {q.__name__: q for q in (op1_quality, op2_urls, op3_language, op4_licenses, op6_packing, op7_secrets, op8_digest, op9_decontamination, op10_simhash)}
 
-ORACLE_SQL: dict[str, str] = {"op7_secrets": SECRET_SPANS}
+ORACLE_SQL: dict[str, str] = {"op2_urls": URL_VERDICTS, "op7_secrets": SECRET_SPANS}

@@ -53,3 +53,39 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
     sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM documents LEFT JOIN per_document USING (doc_id)
 """
+
+URL_VERDICTS = """
+WITH rest AS (
+    SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+    FROM pages
+),
+parts AS (
+    SELECT page_id,
+        translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+    FROM (SELECT page_id, coalesce(rest, '') AS rest FROM rest)
+),
+matched AS (
+    SELECT *, '.' || host AS dotted,
+        CASE
+            WHEN ends_with('.' || host, '.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
+            WHEN ends_with('.' || host, '.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
+            WHEN ends_with('.' || host, '.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
+            WHEN ends_with('.' || host, '.net') AND starts_with(path, '/') THEN 'net/'
+        END AS rule,
+        CASE
+            WHEN ends_with('.' || host, '.cheap-pills.example.com') THEN 'cheap-pills.example.com'
+            WHEN ends_with('.' || host, '.spam-farm.example.org') THEN 'spam-farm.example.org'
+        END AS listed
+    FROM parts
+)
+SELECT page_id, host, path, rule,
+    CASE
+        WHEN rule IN ('net/', 'example.com/de/') THEN 'block'
+        WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow'
+        WHEN listed IS NOT NULL THEN 'block'
+        ELSE 'allow'
+    END AS verdict,
+    listed
+FROM matched
+"""
