@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontamination, digest, language, licenses, packing, quality, secrets, simhash, urls
+from millrace.llm import decontamination, digest, extraction, language, licenses, packing, quality, secrets, simhash, urls
 from millrace.llm.statements import SECRET_SPANS, URL_VERDICTS
 
 
@@ -42,6 +42,10 @@ def op4_licenses(spark: SparkSession, sf: str) -> DataFrame:
     return licenses.scan(table(spark, sf, "documents"))
 
 
+def op5_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    return extraction.extract(table(spark, sf, "pages"))
+
+
 def op6_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(table(spark, sf, "documents"), public_tokenizers.path(VOCABULARY))
 
@@ -75,6 +79,6 @@ def op10_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits("fp").alias("fingerprint"), "component_id")
 
 
-QUERIES = {q.__name__: q for q in (op1_quality, op2_urls, op3_language, op4_licenses, op6_packing, op7_secrets, op8_digest, op9_decontamination, op10_simhash)}
+QUERIES = {q.__name__: q for q in (op1_quality, op2_urls, op3_language, op4_licenses, op5_extraction, op6_packing, op7_secrets, op8_digest, op9_decontamination, op10_simhash)}
 
 ORACLE_SQL: dict[str, str] = {"op2_urls": URL_VERDICTS, "op7_secrets": SECRET_SPANS}
