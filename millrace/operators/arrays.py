@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from millrace.functions.text import quoted
 from millrace.operators.matching import peak_of, with_match
-from millrace.session import materialise
+from millrace.session import discard, materialise
 
-MAX_PATTERN_ROWS = 10_000
+#: Patterns that a pass compares with each vector.
+BATCH_PATTERNS = 4096
 
 
 def negate_between(value: Column, low, high) -> Column:
@@ -52,66 +53,32 @@ def direct_product(df: DataFrame, lists: list[str], names: list[str] | None = No
 
 
 def rows_hitting_all(
-    a: DataFrame, vector: str, b: DataFrame, pattern: str, max_pattern_rows: int = MAX_PATTERN_ROWS
+    a: DataFrame, vector: str, b: DataFrame, pattern: str, batch_patterns: int = BATCH_PATTERNS
 ) -> DataFrame:
     """Rows of ``a`` whose ``vector`` shares an element with the ``pattern`` of every row of ``b``.
 
-    An empty ``b`` keeps every row. A NULL element matches nothing. The distinct
-    patterns are counted first: up to ``max_pattern_rows`` they travel to the rows
-    of ``a`` as one array; beyond that the hit patterns are counted per row.
+    An empty ``b`` keeps every row. A NULL element matches nothing. The patterns are a
+    query set: their distinct ones meet the distinct vectors in batches, the
+    shortest first, as those are missed soonest. Each batch is one pass over
+    the vectors that are left; a vector stops at the first pattern it misses.
     """
-    sets = b.select(F.array_sort(F.array_distinct(F.array_compact(quoted(pattern)))).alias("__b")).distinct()
-    found = sets.limit(max_pattern_rows + 1).count()
-    if found > max_pattern_rows:
-        return _rows_hitting_all_counted(a, vector, sets)
-    patterns = sets.agg(F.collect_list("__b")).scalar()
-    return (
-        a.withColumn("__all", patterns)
-        .where(F.forall("__all", lambda p: _shares(quoted(vector), p)))
-        .drop("__all")
-    )
-
-
-def _shares(x: Column, y: Column) -> Column:
-    return F.coalesce(F.arrays_overlap(F.array_compact(x), y), F.lit(False))
-
-
-def _rows_hitting_all_counted(a: DataFrame, vector: str, sets: DataFrame) -> DataFrame:
-    """Count the patterns each vector hits by inclusion and exclusion.
-
-    With N(S) patterns containing all of S, the patterns meeting a vector number
-    sum over its non-empty subsets S of (-1)^(|S|+1) N(S). N is one row per
-    distinct subset, so a value shared by many vectors and many patterns is one
-    join partner, never a pair per vector and pattern. Both sides unfold
-    2^width subsets, which suits matrix rows of a few columns.
-    """
-    total = sets.count()
-    weights = materialise(
-        sets.select(F.explode(_subsets(F.col("__b"))).alias("__s"))
-        .groupBy("__s")
-        .agg(F.count(F.lit(1)).alias("__n"))
-    )
     values = F.array_sort(F.array_distinct(F.array_compact(quoted(vector))))
-    vectors = a.select(values.alias("__a")).distinct()
-    hits = (
-        vectors.select("__a", F.explode(_subsets(F.col("__a"))).alias("__s"))
-        .join(weights, "__s")
-        .groupBy("__a")
-        .agg(F.sum(F.when(F.size("__s") % 2 == 1, F.col("__n")).otherwise(-F.col("__n"))).alias("__hit"))
-        .where(F.col("__hit") == F.lit(total))
-        .select("__a")
-    )
-    return with_match(a.withColumn("__a", values), materialise(hits), "__a").drop("__a")
-
-
-def _subsets(values: Column) -> Column:
-    """Non-empty subsets of an array, each in the array's order."""
-    everything = F.aggregate(
-        values,
-        F.array(F.filter(values, lambda _: F.lit(False))),
-        lambda acc, v: F.concat(acc, F.transform(acc, lambda s: F.concat(s, F.array(v)))),
+    sets = materialise(
+        b.select(F.array_sort(F.array_distinct(F.array_compact(quoted(pattern)))).alias("__b")).distinct()
     )
-    return F.filter(everything, lambda s: F.size(s) > 0)
+    batches = -(-sets.count() // batch_patterns)
+    left = materialise(a.select(F.coalesce(values, F.array().cast(sets.schema["__b"].dataType)).alias("__a")).distinct())
+    ranked = sets.select("__b", F.pmod(F.xxhash64("__b"), F.lit(max(1, batches))).alias("__batch"))
+    for batch in range(batches):
+        own = ranked.where(F.col("__batch") == batch)
+        patterns = own.agg(F.array_sort(F.collect_list(F.struct(F.size("__b").alias("n"), "__b"))).alias("p")).scalar()
+        hit = left.withColumn("__all", patterns).where(F.forall("__all", lambda p: F.arrays_overlap("__a", p["__b"])))
+        before, left = left, materialise(hit.select("__a"))
+        discard(before)
+        if left.isEmpty():
+            break
+    keyed = a.withColumn("__a", F.coalesce(values, F.array().cast(sets.schema["__b"].dataType)))
+    return with_match(keyed, left, "__a").drop("__a")
 
 
 def rows_not_constant(df: DataFrame, vector: str, floating: bool = True) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.text import quoted
-from millrace.operators.quantiles import MAX_GROUP_ROWS, percentiles_by
+from millrace.operators.quantiles import TASK_VALUES, percentiles_by
 from millrace.session import materialise
 
 QUARTILES = [0.25, 0.5, 0.75]
@@ -23,13 +23,12 @@ def describe_by(
     df: DataFrame,
     keys: list[str],
     columns: list[str] | None = None,
-    max_rows: int = MAX_GROUP_ROWS,
+    task_values: int = TASK_VALUES,
 ) -> DataFrame:
     """Per group and numeric column: count, mean, std (sample), min, quartiles, max.
 
     One row per group and column. Groups with a NULL key are left out. The moments
-    are aggregated first and stored, one row per group; their counts then tell
-    which groups are too long for a percentile buffer.
+    are one aggregate, stored with one row per group.
     """
     columns = columns or numeric_columns(df, besides=keys)
     names = [quoted(k) for k in keys]
@@ -50,21 +49,10 @@ def describe_by(
             ]
         )
     )
-    longest = F.array_max(F.array(*[F.col(f"s{i}.count") for i in range(len(columns))]))
-    hot_groups = moments.where(longest > max_rows).select(*names)
-    quartiles = F.array(*[F.lit(q) for q in QUARTILES])
-    if hot_groups.isEmpty():
-        ranks = _unfold(
-            present.groupBy(*names).agg(
-                *[F.percentile(quoted(c), quartiles).alias(f"s{i}") for i, c in enumerate(columns)]
-            ),
-            names, columns, "percentiles",
-        )
-    else:
-        melted = _unfold(
-            present.select(*names, *[quoted(c).alias(f"s{i}") for i, c in enumerate(columns)]), names, columns, "x"
-        )
-        ranks = percentiles_by(melted, keys + ["column"], "x", QUARTILES, max_rows)
+    melted = _unfold(
+        present.select(*names, *[quoted(c).alias(f"s{i}") for i, c in enumerate(columns)]), names, columns, "__x"
+    )
+    ranks = percentiles_by(melted, keys + ["column"], "__x", QUARTILES, task_values)
     return _unfold(moments, names, columns, "m").join(ranks, keys + ["column"], "left").select(
         *names,
         "column",

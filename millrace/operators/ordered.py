@@ -1,8 +1,10 @@
 """Operators over ordered series, safe for one series holding most of the rows.
 
-Series of ordinary length go through a window per series. A series longer than
-``max_rows`` is cut into ranges of its order, each small enough for a task; what
-a range needs from its predecessors travels in a table of one row per range.
+All rows are cut into ranges of series and order, one per shuffle partition, so a
+long series lies in many ranges and a range holds many short ones. What a range
+needs from its predecessors travels in a table of one row per series and range.
+The order must be unique within a series: equal entries fail the job, as their
+rows have no order.
 """
 
 from __future__ import annotations
@@ -12,49 +14,29 @@ from pyspark.sql import functions as F
 
 from millrace.functions.text import quoted
 from millrace.operators.matching import null_safe_join
-from millrace.session import materialise, materialise_counted
+from millrace.session import materialise
 
-MAX_SERIES_ROWS = 5_000_000
 
-
-def split_hot(
-    df: DataFrame, keys: list[str], max_rows: int
-) -> tuple[DataFrame, DataFrame | None, int]:
-    """Separate the key groups of more than ``max_rows`` rows from the others.
-
-    Returns the ordinary rows, the hot rows (None when there are none) and the
-    hot row count. Fewer than ``rows / max_rows`` keys can be hot, so their list
-    stays small.
-    """
-    hot_keys, found = materialise_counted(
-        df.groupBy(*[quoted(k) for k in keys])
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .where(F.col("__n") > max_rows)
-    )
-    if not found:
-        return df, None, 0
-    hot_rows = hot_keys.agg(F.sum("__n")).first()[0]
-    names = hot_keys.drop("__n")
-    return (
-        null_safe_join(df, names, keys, "left_anti"),
-        null_safe_join(df, names, keys, "left_semi"),
-        hot_rows,
-    )
-
-
-def cut_into_ranges(df: DataFrame, order: list[str], rows: int, max_rows: int) -> DataFrame:
-    """Stored copy of ``df`` with ``__part``: its range in ``order``, about ``max_rows`` / 2 rows.
+def cut_into_ranges(df: DataFrame, order: list[str], parts: int | None = None) -> DataFrame:
+    """Stored copy of ``df`` with ``__part``: its range in ``order``, by default one per shuffle partition.
 
     Range bounds come from a sample, so the part number is stored with the rows;
     recomputing it in a later stage could place a row elsewhere.
     """
-    parts = max(2, 2 * -(-rows // max_rows))
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return materialise(
         df.repartitionByRange(parts, *[quoted(c) for c in order])
         .withColumn("__part", F.spark_partition_id())
     )
 
 
+def _checked(value: Column, order: list[str], window) -> Column:
+    """``value``, or an error where the preceding entry has the same place in the order."""
+    here = F.struct(*[quoted(c).alias(f"o{i}") for i, c in enumerate(order)])
+    repeated = F.lag(here).over(window).eqNullSafe(here)
+    return F.when(repeated, F.raise_error(F.lit("the order of a series repeats an entry"))).otherwise(value)
+
+
 def _windows(keys: list[str], order: list[str]):
     return Window.partitionBy(*[quoted(k) for k in keys]).orderBy(*[quoted(c) for c in order])
 
@@ -79,69 +61,46 @@ def _carried(cut: DataFrame, keys: list[str], order: list[str], value: str) -> D
 
 
 def with_previous(
-    df: DataFrame,
-    series: list[str],
-    order: list[str],
-    value: str,
-    max_rows: int = MAX_SERIES_ROWS,
+    df: DataFrame, series: list[str], order: list[str], value: str, parts: int | None = None
 ) -> DataFrame:
     """``df`` with ``__prev``: the preceding value of the series in a struct ``v``."""
-    ordinary, hot, hot_rows = split_hot(df, series, max_rows)
-    result = ordinary.withColumn("__prev", _previous(value, _windows(series, order)))
-    if hot is None:
-        return result
-    cut = cut_into_ranges(hot, series + order, hot_rows, max_rows)
-    local = cut.withColumn("__prev", _previous(value, _windows(series + ["__part"], order)))
-    # One row per hot series and range: bounded by the number of ranges.
-    carried = F.broadcast(_carried(cut, series, order, value))
-    filled = null_safe_join(local, carried, series + ["__part"]).withColumn(
-        "__prev", F.coalesce("__prev", "__carry")
-    )
-    return result.unionByName(filled.select(*result.columns))
+    cut = cut_into_ranges(df, series + order, parts)
+    window = _windows(series + ["__part"], order)
+    local = cut.withColumn("__prev", _checked(_previous(value, window), order, window))
+    # Stored: one row per series and range, whose real size decides how it is joined.
+    carried = materialise(_carried(cut, series, order, value))
+    filled = null_safe_join(local, carried, series + ["__part"])
+    return filled.withColumn("__prev", F.coalesce("__prev", "__carry")).drop("__carry", "__part")
 
 
 def max_after(
-    df: DataFrame,
-    series: list[str],
-    order: list[str],
-    value: str,
-    marker=0,
-    max_rows: int = MAX_SERIES_ROWS,
+    df: DataFrame, series: list[str], order: list[str], value: str, marker=0, parts: int | None = None
 ) -> DataFrame:
     """Per series, the greatest value directly preceded by ``marker``; NULL if none."""
     needed = df.select(*[quoted(c) for c in dict.fromkeys(series + order + [value])])
-    paired = with_previous(needed, series, order, value, max_rows)
+    paired = with_previous(needed, series, order, value, parts)
     after = F.when(F.col("__prev").getField("v") == F.lit(marker), quoted(value))
     return paired.groupBy(*[quoted(k) for k in series]).agg(F.max(after).alias("max_after"))
 
 
 def run_length_encode(
-    df: DataFrame,
-    series: list[str],
-    order: list[str],
-    value: str,
-    max_rows: int = MAX_SERIES_ROWS,
+    df: DataFrame, series: list[str], order: list[str], value: str, parts: int | None = None
 ) -> DataFrame:
     """Runs of equal values per series: ``series, run_no, value, length``.
 
     NULLs form runs of their own. ``run_no`` counts from 1 along ``order``.
     """
     needed = df.select(*[quoted(c) for c in dict.fromkeys(series + order + [value])])
-    ordinary, hot, hot_rows = split_hot(needed, series, max_rows)
-    runs = _local_runs(ordinary, series, order, value).withColumnRenamed("__run", "run_no")
-    result = runs.select(*[quoted(k) for k in series], "run_no", quoted(value), "length")
-    if hot is None:
-        return result
-    cut = cut_into_ranges(hot, series + order, hot_rows, max_rows)
+    cut = cut_into_ranges(needed, series + order, parts)
     stitched = _stitch_runs(materialise(_local_runs(cut, series + ["__part"], order, value)), series, value)
-    return result.unionByName(stitched.select(*result.columns))
+    return stitched.select(*[quoted(k) for k in series], "run_no", quoted(value), "length")
 
 
 def _local_runs(df: DataFrame, keys: list[str], order: list[str], value: str) -> DataFrame:
     window = _windows(keys, order)
     before = _previous(value, window)
     starts = before.isNull() | ~before.getField("v").eqNullSafe(quoted(value))
-    flagged = df.withColumn("__start", starts.cast("long"))
+    flagged = df.withColumn("__start", _checked(starts.cast("long"), order, window))
     numbered = flagged.withColumn(
         "__run", F.sum("__start").over(window.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     )
@@ -174,8 +133,8 @@ def _stitch_runs(runs: DataFrame, series: list[str], value: str) -> DataFrame:
         )
         .select(*keys, "__part", (F.col("__base") - F.col("__joined")).alias("__shift"))
     )
-    # One row per hot series and range: bounded by the number of ranges.
-    placed = null_safe_join(runs, F.broadcast(offsets), series + ["__part"])
+    # Stored: one row per series and range, whose real size decides how it is joined.
+    placed = null_safe_join(runs, materialise(offsets), series + ["__part"])
     return (
         placed.withColumn("run_no", F.col("__run") + F.col("__shift"))
         .groupBy(*keys, "run_no", quoted(value))

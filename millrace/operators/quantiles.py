@@ -1,129 +1,139 @@
 """Exact percentiles with linear interpolation, for groups of any size.
 
-Groups of ordinary length use the built-in ``percentile``, which holds a group's
-values in one buffer. In a longer group equal values are counted first, so a
-repeated value weighs one row; the counts are cut into ranges of the value, and
-only the ranges that hold a wanted rank are looked into.
+A percentile needs the values at one or two ranks. Each round cuts a group at
+``CELLS`` splitters taken from a sketch, counts the rows of every cell exactly, and
+keeps only the cells that hold a wanted rank; a cell of one value is that rank's
+value. The rounds end when the largest cell left is small enough to be sorted in a
+task. Rows are scanned and counted by partial aggregates, and only what lies in
+a wanted cell is shuffled.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.text import quoted
 from millrace.operators.matching import null_safe_join
-from millrace.operators.ordered import cut_into_ranges, split_hot
+from millrace.session import discard, materialise
 
-MAX_GROUP_ROWS = 250_000
+#: Cells into which a round cuts a group.
+CELLS = 64
+#: Distinct values of a cell that a task sorts.
+TASK_VALUES = 1 << 20
 
 
 def percentiles_by(
-    df: DataFrame,
-    keys: list[str],
-    value: str,
-    fractions: list[float],
-    max_rows: int = MAX_GROUP_ROWS,
-) -> DataFrame:
-    """Per group, ``percentiles``: the value at each of ``fractions``, in order."""
-    names = [quoted(k) for k in keys]
-    present = df.where(quoted(value).isNotNull()).select(*names, quoted(value).cast("double").alias("__v"))
-    small, hot, hot_rows = split_hot(present, keys, max_rows) if keys else _whole(present, max_rows)
-    wanted = F.array(*[F.lit(float(f)) for f in fractions])
-    result = small.groupBy(*names).agg(F.percentile("__v", wanted).alias("percentiles"))
-    if hot is None:
-        return result
-    ranged = _percentiles_by_rank(hot, keys, fractions, hot_rows, max_rows)
-    return result.unionByName(ranged) if keys else ranged
-
-
-def _whole(present: DataFrame, max_rows: int) -> tuple[DataFrame, DataFrame | None, int]:
-    """The same split when all rows are one group."""
-    rows = present.count()
-    return (present, None, 0) if rows <= max_rows else (present, present, rows)
-
-
-def _percentiles_by_rank(
-    values: DataFrame, keys: list[str], fractions: list[float], rows: int, max_rows: int
+    df: DataFrame, keys: list[str], value: str, fractions: list[float], task_values: int = TASK_VALUES
 ) -> DataFrame:
-    names = [quoted(k) for k in keys]
-    counts = values.groupBy(*names, "__v").agg(F.count(F.lit(1)).alias("__n"))
-    cut = cut_into_ranges(counts, keys + ["__v"], rows, max_rows)
-    parts = cut.groupBy(*names, "__part").agg(F.sum("__n").alias("__rows"))
-    by_part = Window.partitionBy(*names).orderBy("__part")
-    offsets = parts.select(
-        *names,
-        "__part",
-        "__rows",
-        F.coalesce(
-            F.sum("__rows").over(by_part.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        ).alias("__before"),
-        F.sum("__rows").over(Window.partitionBy(*names)).alias("__total"),
-    )
-    ranks = F.array(*[pick(_position(f, F.col("__total"))) for f in fractions for pick in (F.floor, F.ceil)])
-    needed = offsets.where(
-        F.exists(ranks, lambda r: (r >= F.col("__before")) & (r < F.col("__before") + F.col("__rows")))
-    ).drop("__rows")
-    # One row per hot group and range: bounded by the number of ranges.
-    placed = null_safe_join(cut, F.broadcast(needed), keys + ["__part"])
-    inside = Window.partitionBy(*names, "__part").orderBy("__v")
-    ranked = placed.withColumn(
-        "__upto",
-        F.col("__before")
-        + F.sum("__n").over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
-    )
-    found = ranked.groupBy(*names).agg(
-        F.max("__total").alias("__total"),
-        *[
-            F.max(F.when(_covers(pick(_position(f, F.col("__total")))), F.col("__v"))).alias(f"{side}{i}")
-            for i, f in enumerate(fractions)
-            for side, pick in (("lo", F.floor), ("hi", F.ceil))
-        ],
-    )
+    """Per group, ``percentiles``: the value at each of ``fractions``, in order.
+
+    NULL values are left out, and a group of nothing else with them; NULL keys are a group. Without
+    ``keys`` all rows are one group.
+    """
+    # Without keys all rows share one that is not among the columns.
+    own = [f"__k{i}" for i in range(len(keys))] or ["__k"]
+    given = [quoted(k).alias(a) for k, a in zip(keys, own)] or [F.lit(0).alias("__k")]
+    rows = df.where(quoted(value).isNotNull()).select(*given, quoted(value).cast("double").alias("__v"))
+    totals, values = _values_at_ranks(rows.withColumn("__n", F.lit(1).cast("long")), own, fractions, not keys, task_values)
+    by_rank = values.groupBy(*own).agg(F.map_from_entries(F.collect_list(F.struct("__rank", "__value"))).alias("__at"))
+    found = null_safe_join(totals, materialise(by_rank), own)
     return found.select(
-        *names,
-        F.array(
-            *[
-                _between(F.col(f"lo{i}"), F.col(f"hi{i}"), _position(f, F.col("__total")))
-                for i, f in enumerate(fractions)
-            ]
-        ).alias("percentiles"),
+        *[F.col(a).alias(k) for k, a in zip(keys, own)],
+        F.array(*[_between(F.col("__at"), _position(f)) for f in fractions]).alias("percentiles"),
     )
 
 
-def _position(fraction: float, total: Column) -> Column:
-    return F.lit(float(fraction)) * (total - F.lit(1)).cast("double")
+def _values_at_ranks(
+    rows: DataFrame, own: list[str], fractions: list[float], alone: bool, task_values: int
+) -> tuple[DataFrame, DataFrame]:
+    """Rows per group (``own, __total``), and ``own, __rank, __value`` for all wanted zero-based ranks."""
+    ranks = F.array_distinct(F.array(*[pick(_position(f)) for f in fractions for pick in (F.floor, F.ceil)]))
+    splitters = [i / CELLS for i in range(1, CELLS)]
+    group, totals, wanted, known = list(own), None, None, []
+    while True:
+        grids = materialise(
+            rows.groupBy(*group).agg(
+                F.array_distinct(F.percentile_approx("__v", splitters, 20 * CELLS)).alias("__grid"),
+                F.sum("__n").alias("__total"),
+            )
+        )
+        if totals is None:
+            totals = grids.select(*own, "__total")
+            wanted = totals.select(*own, F.explode(ranks).alias("__rank")).withColumn("__below", F.lit(0).cast("long"))
+        cell = f"__c{len(group)}"
+        if alone and len(group) == len(own):
+            gridded = rows.withColumn("__grid", grids.select("__grid").scalar())
+        else:
+            gridded = null_safe_join(rows, grids.drop("__total"), group)
+        celled = gridded.withColumn(cell, F.size(F.filter("__grid", lambda g: g <= F.col("__v")))).drop("__grid")
+        cells = celled.groupBy(*group, cell).agg(
+            F.sum("__n").alias("__rows"), F.min("__v").alias("__low"), F.max("__v").alias("__high")
+        )
+        upto = F.sum("__rows").over(Window.partitionBy(*group).orderBy(cell))
+        placed = null_safe_join(wanted, materialise(cells.withColumn("__upto", upto)), group).where(
+            (F.col("__rank") - F.col("__below") < F.col("__upto"))
+            & (F.col("__rank") - F.col("__below") >= F.col("__upto") - F.col("__rows"))
+        )
+        located = materialise(placed)
+        single = F.col("__low").eqNullSafe(F.col("__high"))
+        known.append(located.where(single).select(*own, "__rank", F.col("__low").alias("__value")))
+        wanted = located.where(~single).select(
+            *group, cell, "__rank", (F.col("__below") + F.col("__upto") - F.col("__rows")).alias("__below")
+        )
+        inside = null_safe_join(celled, materialise(wanted.select(*group, cell).distinct()), group + [cell], "left_semi")
+        group.append(cell)
+        before, rows = rows, materialise(inside.groupBy(*group, "__v").agg(F.sum("__n").alias("__n")))
+        discard(before)
+        largest = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+        if largest is None or largest <= task_values:
+            break
+    upto = F.sum("__n").over(Window.partitionBy(*group).orderBy("__v"))
+    ordered = materialise(rows.withColumn("__upto", upto))
+    ends = null_safe_join(wanted, ordered, group).where(
+        (F.col("__rank") - F.col("__below") < F.col("__upto")) & (F.col("__rank") - F.col("__below") >= F.col("__upto") - F.col("__n"))
+    )
+    found = known + [ends.select(*own, "__rank", F.col("__v").alias("__value"))]
+    return totals, reduce(DataFrame.unionByName, found)
 
 
-def _covers(rank: Column) -> Column:
-    """Does the row's run of equal values hold the zero-based ``rank``?"""
-    return (rank < F.col("__upto")) & (rank >= F.col("__upto") - F.col("__n"))
+def _position(fraction: float) -> Column:
+    return F.lit(float(fraction)) * (F.col("__total") - F.lit(1)).cast("double")
 
 
-def _between(low: Column, high: Column, position: Column) -> Column:
+def _between(at: Column, position: Column) -> Column:
     below, above = F.floor(position), F.ceil(position)
-    return F.when((below == above) | (low == high), low).otherwise(
-        (above - position) * low + (position - below) * high
-    )
+    low, high = at[below], at[above]
+    return F.when((below == above) | (low == high), low).otherwise((above - position) * low + (position - below) * high)
 
 
-def median(df: DataFrame, column: str, max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
-    return percentiles_by(df, [], column, [0.5], max_rows).select(
-        F.col("percentiles")[0].alias("median")
-    )
+def median(df: DataFrame, column: str, task_values: int = TASK_VALUES) -> DataFrame:
+    found = percentiles_by(df, [], column, [0.5], task_values)
+    return found.agg(F.first("percentiles").alias("p")).select(F.col("p")[0].alias("median"))
 
 
 def lowest_percentile_above(
-    df: DataFrame, column: str, threshold: float, max_rows: int = MAX_GROUP_ROWS
+    df: DataFrame, column: str, threshold: float, task_values: int = TASK_VALUES
 ) -> DataFrame:
-    """First whole percentile whose value exceeds ``threshold``, and that value; NULL if none."""
-    every = [n / 100 for n in range(1, 101)]
-    ladder = percentiles_by(df, [], column, every, max_rows).select(
-        F.posexplode("percentiles").alias("pos", "value")
-    )
-    return ladder.where(F.col("value") > F.lit(threshold)).agg(
-        (F.min("pos") + 1).alias("percentile"), F.min_by("value", "pos").alias("value")
-    )
+    """First whole percentile whose value exceeds ``threshold``, and that value; NULL if none.
+
+    Which one it is follows from the rows up to the threshold and the two values
+    next to it, one aggregate; only its own value is then looked for.
+    """
+    value, limit = quoted(column).cast("double"), F.lit(float(threshold))
+    total, upto, under, over = df.agg(
+        F.count(value), F.count_if(value <= limit), F.max(F.when(value <= limit, value)), F.min(F.when(value > limit, value))
+    ).first()
+    for n in range(1, 101):
+        position = n / 100 * (total - 1)
+        low, part = int(position // 1), position % 1
+        exceeds = low >= upto or (low == upto - 1 and part > 0 and over is not None and (1 - part) * under + part * over > threshold)
+        if total and exceeds:
+            found = percentiles_by(df, [], column, [n / 100], task_values)
+            return found.select(F.lit(n).alias("percentile"), F.col("percentiles")[0].alias("value"))
+    return df.sparkSession.range(1).select(F.lit(None).cast("int").alias("percentile"), F.lit(None).cast("double").alias("value"))
 
 
 def share_above(df: DataFrame, column: str, threshold: float) -> DataFrame:

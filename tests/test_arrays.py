@@ -29,19 +29,27 @@ def test_direct_product_keeps_duplicates(frame, rows):
     assert sorted(rows(arrays.direct_product(df, ["a", "b"], ["p", "q"]))) == expected
 
 
-@pytest.mark.parametrize("limit", [10_000, 0])
-def test_rows_hitting_all(frame, rows, limit):
+@pytest.mark.parametrize("batch", [4096, 2])
+def test_rows_hitting_all(frame, rows, batch):
     rng = random.Random(3)
     # Value 1 is hot on both sides.
     a = [(i, [rng.choice([1, 1, rng.randrange(7)]) for _ in range(3)]) for i in range(60)] + [(60, None), (61, [None, 1, 2])]
     b = [([1, 2],), ([3, 1],), ([1, 2],), ([1, None],), ([5, 1],), ([2, 4],)]
     fa, fb = frame("i int, v array<int>", a), frame("p array<int>", b)
-    got = rows(arrays.rows_hitting_all(fa, "v", fb, "p", max_pattern_rows=limit))
+    got = rows(arrays.rows_hitting_all(fa, "v", fb, "p", batch_patterns=batch))
     expected = [r for r in a if r[1] and all(set(p) & set(r[1]) - {None} for (p,) in b)]
     assert expected and sorted(got) == expected
     assert arrays.rows_hitting_all(fa, "v", fb.limit(0), "p").count() == len(a)
 
 
+def test_rows_hitting_all_with_wide_rows_and_many_patterns(spark, rows):
+    wide = spark.range(200).select("id", F.transform(F.sequence(F.lit(0), F.lit(29)), lambda i: (F.col("id") * 7 + i * i) % 400).alias("v"))
+    patterns = spark.range(20_000).select(F.transform(F.sequence(F.lit(0), F.lit(29)), lambda i: (F.col("id") + i * 13) % 400).alias("p"))
+    sets = {frozenset((n + i * 13) % 400 for i in range(30)) for n in range(20_000)}
+    expected = [n for n in range(200) if all({(n * 7 + i * i) % 400 for i in range(30)} & s for s in sets)]
+    assert sorted(r[0] for r in rows(arrays.rows_hitting_all(wide, "v", patterns, "p"))) == expected
+
+
 def test_rows_not_constant_keeps_nan_rows(frame, rows):
     nan = float("nan")
     df = frame("k int, v array<double>", [(1, [2.0, 2.0, 3.0]), (2, [3.0, 3.0, 3.0]), (3, [nan, nan, nan])])
@@ -58,6 +66,7 @@ def entries(matrix):
 
 
 def test_diagonal_product(frame, rows):
+    # The published example; its answer is 3.
     example = [[1, 0, 1], [2, 0, 2], [3, 0, 3], [4, 4, 4]]
     schema = "i long, j long, value long"
     assert rows(arrays.diagonal_product(frame(schema, entries(example)))) == [(3.0,)]
@@ -72,6 +81,7 @@ def test_same_multiset(frame, rows):
     def same(x, y):
         return rows(arrays.same_multiset(x, y, "v"))[0][0]
 
+    # The published example; its answer is yes.
     assert same(vector(1, 2, 2, 4), vector(4, 2, 1, 2))
     assert not same(vector(1, 2, 2, 4), vector(4, 2, 1, 1))
     assert not same(vector(1), vector(1, 1))
@@ -80,13 +90,14 @@ def test_same_multiset(frame, rows):
 
 
 def test_pairwise_distance(frame, rows):
-    x = [[0.1, 0.2, 0.3], [0.4, 0.5, 0.6], [0.7, 0.8, 0.9], [0.1, 0.4, 0.7], [0.2, 0.5, 0.8]]
-    y = [[0.5, 0.5, 0.5], [0.1, 0.2, 0.3], [0.4, 0.2, 0.4], [0.9, 0.9, 0.9]]
+    rng = random.Random(12)
+    x, y = ([[rng.uniform(-3, 3) for _ in range(4)] for _ in range(n)] for n in (6, 3))
+    y.append(list(x[2]))
     df = frame("k int, x array<array<double>>, y array<array<double>>", [(7, x, y)])
     got = {(r[1], r[2]): r[3] for r in rows(arrays.pairwise_distance(df, "x", "y"))}
     expected = {(i, j): math.dist(p, q) for i, p in enumerate(x) for j, q in enumerate(y)}
     assert got == pytest.approx(expected)
-    assert got[(0, 1)] == 0
+    assert got[(2, 3)] == 0
     uneven = frame("x array<array<double>>, y array<array<double>>", [([[1.0]], [[1.0, 2.0]])])
     assert rows(arrays.pairwise_distance(uneven, "x", "y")) == [(0, 0, None)]
 

@@ -84,7 +84,7 @@ def test_describe(people, rows):
 
 def test_describe_is_the_same_when_every_group_is_hot(people, rows):
     plain = sorted(rows(describe_by(people, ["race", "sex"])), key=repr)
-    assert sorted(rows(describe_by(people, ["race", "sex"], max_rows=1)), key=repr) == plain
+    assert sorted(rows(describe_by(people, ["race", "sex"], task_values=1)), key=repr) == plain
 
 
 def test_marriage_prefix_is_case_sensitive(people, rows):

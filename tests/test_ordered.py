@@ -2,6 +2,7 @@ import itertools
 import random
 
 import pytest
+from pyspark.errors import PySparkException
 
 from millrace.operators import ordered
 
@@ -24,20 +25,21 @@ def by_hand(data):
     return out
 
 
-# A range holds about max_rows / 2 rows, so 4 cuts the long series into many.
-LIMITS = [5_000_000, 4]
+# Numbers of ranges: all series in one, and long series in many.
+PARTS = [1, 40]
 
 
-@pytest.mark.parametrize("limit", LIMITS)
-def test_run_length_examples(frame, rows, limit):
-    got = encode(frame, rows, series([2, 2, 2, 3, 3, 3, 2, 5]), max_rows=limit)
+@pytest.mark.parametrize("parts", PARTS)
+def test_run_length_examples(frame, rows, parts):
+    got = encode(frame, rows, series([2, 2, 2, 3, 3, 3, 2, 5]), parts=parts)
     assert [(r[2], r[3]) for r in got] == [(2, 3), (3, 3), (2, 1), (5, 1)]
-    got = encode(frame, rows, series([2, 2, 2, 3, 3, 3, 5]), max_rows=limit)
+    # The published example and its answer.
+    got = encode(frame, rows, series([2, 2, 2, 3, 3, 3, 5]), parts=parts)
     assert [(r[2], r[3]) for r in got] == [(2, 3), (3, 3), (5, 1)]
 
 
-@pytest.mark.parametrize("limit", LIMITS)
-def test_run_length_with_hot_series(frame, rows, limit):
+@pytest.mark.parametrize("parts", PARTS)
+def test_run_length_with_hot_series(frame, rows, parts):
     rng = random.Random(5)
     data = series([1] * 40, name=1)  # one run over every range
     data += series([rng.choice([1, 2, None]) for _ in range(60)], name=2)
@@ -45,17 +47,25 @@ def test_run_length_with_hot_series(frame, rows, limit):
     for name in range(3, 9):
         data += series([rng.randrange(2) for _ in range(name % 4)], name=name)
     rng.shuffle(data)
-    got = encode(frame, rows, data, max_rows=limit)
+    got = encode(frame, rows, data, parts=parts)
     assert got == by_hand(data)
     decoded = [(s, v) for s, _, v, n in got for _ in range(n)]
     assert decoded == [(s, v) for s, _, v in sorted(data, key=lambda r: (str(r[0]), r[1]))]
 
 
-@pytest.mark.parametrize("limit", LIMITS)
-def test_max_after(frame, rows, limit):
+@pytest.mark.parametrize("parts", PARTS)
+def test_max_after(frame, rows, parts):
+    # The published example; its answer is 5.
     data = series([6, 2, 0, 3, 0, 0, 5, 7, 0], name=1) + series([1, 2, 3], name=2)
     rng = random.Random(7)
     long = [rng.randrange(5) for _ in range(80)]
     data += series(long, name=3) + series([4, 0], name=4)
-    got = dict(rows(ordered.max_after(frame(SCHEMA, data), ["s"], ["i"], "v", max_rows=limit)))
+    got = dict(rows(ordered.max_after(frame(SCHEMA, data), ["s"], ["i"], "v", parts=parts)))
     assert got == {1: 5, 2: None, 3: max(b for a, b in zip(long, long[1:]) if a == 0), 4: None}
+
+
+def test_equal_entries_have_no_order(frame, rows):
+    data = [(1, 1, 2), (1, 2, 3), (1, 2, 4)]
+    for job in (ordered.max_after, ordered.run_length_encode):
+        with pytest.raises(PySparkException, match="repeats an entry"):
+            job(frame(SCHEMA, data), ["s"], ["i"], "v").collect()

@@ -75,14 +75,14 @@ def test_component_of_many_materials(small_limits, spark, skewed):
 
 def test_series_and_group_cut_into_ranges(small_limits, skewed):
     valued = skewed.withColumn("v", F.floor(F.col("id") / 600) % 2)
-    runs = run_length_encode(valued, ["key"], ["id"], "v", max_rows=20_000)
+    runs = run_length_encode(valued, ["key"], ["id"], "v")
     assert runs.agg(F.sum("length")).first()[0] == ROWS
     hot = runs.where(F.col("key") == 0)
     # Key 0 has the multiples of 3 and of 5000: each block of 600 ids is one run.
     assert hot.count() == ROWS // 600
     assert hot.agg(F.max("run_no")).first()[0] == ROWS // 600
     exact = skewed.where(F.col("key") == 0).agg(F.percentile("id", [0.1, 0.5, 0.9])).first()[0]
-    ranged = percentiles_by(skewed, ["key"], "id", [0.1, 0.5, 0.9], max_rows=20_000)
+    ranged = percentiles_by(skewed, ["key"], "id", [0.1, 0.5, 0.9], task_values=200)
     assert ranged.where(F.col("key") == 0).first()["percentiles"] == pytest.approx(exact)
     assert ranged.count() == KEYS
 
