@@ -9,19 +9,33 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from functools import reduce
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import Column, DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import Column, DataFrame, SparkSession, Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
+from pyspark.sql import types as T  # noqa: E402
 
 from millrace.functions.text import fill_text_nulls, strip_symbols  # noqa: E402
 from millrace.operators import arrays, bins, describe, groups, keyed, ordered, tally  # noqa: E402
 from millrace.operators.closure import reachable  # noqa: E402
 from millrace.plans import bom as bom_plan  # noqa: E402
 from millrace.plans import calories, census, film, reviews, rooms  # noqa: E402
-from millrace.session import materialise  # noqa: E402
+from millrace.session import materialise, scratch_path  # noqa: E402
+from millrace.sinks import exports, tables  # noqa: E402
 from millrace.sinks.constraints import check_constraints  # noqa: E402
+from millrace.sinks.published import publish, read_published  # noqa: E402
+from millrace.sources.files import (  # noqa: E402
+    has_rows,
+    missing_keys,
+    read_bom,
+    read_csv_na,
+    read_json_records,
+    read_number_list,
+)
+from millrace.sources.schemas import REVIEWS  # noqa: E402
+from millrace.streaming.pickup import ingest_new_files  # noqa: E402
 from oracle_statements import STATEMENTS  # noqa: E402
 
 FLAGSHIP_DIR = "/root/testdata/sf0.001"
@@ -229,6 +243,10 @@ def strip_document_symbols(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def clean_documents(spark: SparkSession, sf: str) -> DataFrame:
+    return reviews.clean_reviews(dirty_reviews(spark, sf))
+
+
+def dirty_reviews(spark: SparkSession, sf: str) -> DataFrame:
     raw = document_reviews(spark, sf)
     # Symbols to strip, texts that empty or turn missing when stripped, and missing ones.
     content = (
@@ -238,22 +256,29 @@ def clean_documents(spark: SparkSession, sf: str) -> DataFrame:
         .otherwise(F.col("content"))
     )
     at = F.when(F.col("thumbsUpCount") != 5, F.col("at"))
-    return reviews.clean_reviews(raw.withColumns({"content": content, "at": at}))
+    return raw.withColumns({"content": content, "at": at})
 
 
 def top_documents_text(spark: SparkSession, sf: str) -> DataFrame:
     return reviews.top_comments(document_reviews(spark, sf))
 
 
-def short_text(spark: SparkSession, sf: str) -> DataFrame:
-    turns = table(spark, sf, "conversations").select(
+def conversation_reviews(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "conversations").select(
         F.concat_ws("-", "conv_id", "turn").alias("reviewId"),
         F.col("role").alias("userName"),
         F.col("text").alias("content"),
         F.col("turn").alias("score"),
         F.lit("-").alias("at"),
     )
-    return reviews.short_content(turns, n=40)
+
+
+def short_text(spark: SparkSession, sf: str) -> DataFrame:
+    return reviews.short_content(conversation_reviews(spark, sf), n=40)
+
+
+def short_text_count(spark: SparkSession, sf: str) -> DataFrame:
+    return reviews.count_short_content(conversation_reviews(spark, sf), n=40)
 
 
 def avg_value_per_day(spark: SparkSession, sf: str) -> DataFrame:
@@ -316,9 +341,7 @@ def reachable_materials(spark: SparkSession, sf: str) -> DataFrame:
     fins = rows.where(F.col("produced_material_release_type") == "FIN")
     edges = bom_plan.produced_edges(rows, by_plant=True, produced=produced)
     seeds = bom_plan.produced_edges(fins, by_plant=True, produced=produced)
-    return reachable(
-        edges, seeds.withColumnsRenamed({"src": "root", "dst": "node"}), ["plant_id"], max_depth=4
-    )
+    return reachable(edges, seeds.withColumnsRenamed({"src": "root", "dst": "node"}), ["plant_id"])
 
 
 def produced_materials(spark: SparkSession, sf: str) -> DataFrame:
@@ -389,10 +412,10 @@ def describe_lines_by_flags(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def max_price_of_group(spark: SparkSession, sf: str) -> DataFrame:
-    part = table(spark, sf, "part")
-    return part.where((F.col("p_brand") == "Brand#7") & (F.col("p_type") == "PROMO")).agg(
-        F.max("p_retailprice").alias("max_price")
+    people = table(spark, sf, "part").select(
+        F.col("p_brand").alias("race"), F.col("p_type").alias("sex"), F.col("p_retailprice").alias("age")
     )
+    return census.max_age(people, race="Brand#7", sex="PROMO").withColumnRenamed("max_age", "max_price")
 
 
 def share_by_prefix(spark: SparkSession, sf: str) -> DataFrame:
@@ -598,8 +621,9 @@ def upsert_customers(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def insert_if_absent(spark: SparkSession, sf: str) -> DataFrame:
-    target = table(spark, sf, "customer").select("c_custkey")
-    return keyed.insert_if_absent(target, customer_changes(spark, sf), ["c_custkey"])
+    changes = customer_changes(spark, sf).where(F.col("change_id") % 2 == 0)
+    moved = changes.withColumn("c_custkey", F.col("c_custkey") + F.when(F.col("change_id") % 4 == 0, 10**9).otherwise(0))
+    return keyed.insert_if_absent(table(spark, sf, "customer"), moved, ["c_custkey"], ["changed", "change_id"])
 
 
 def constraint_violations(spark: SparkSession, sf: str) -> DataFrame:
@@ -613,10 +637,187 @@ def constraint_violations(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+PROFILED = ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"]
+
+
 def profile(spark: SparkSession, sf: str) -> DataFrame:
-    described = describe.profile(table(spark, sf, "part"), ["p_partkey", "p_size", "p_retailprice"])
-    columns = {c: F.round(F.col(c).cast("double"), 6) for c in ("p_partkey", "p_size", "p_retailprice")}
-    return described.withColumns(columns)
+    described = describe.profile(table(spark, sf, "part"), PROFILED)
+    numbers = {c: F.round(F.col(c).cast("double"), 6) for c in ("p_partkey", "p_size", "p_retailprice")}
+    return described.withColumns(numbers)
+
+
+# --- sources and sinks: tables written to the shared folder and read back ---------
+
+
+def json_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as JSON lines and back; the export writes times as text."""
+    path = scratch_path(spark)
+    orders = table(spark, sf, "orders").withColumn("o_orderpriority", F.nullif("o_orderpriority", F.lit("1-URGENT")))
+    exports.export_json(orders, path)
+    return read_json_records(spark, path, orders.schema, array=False)
+
+
+def json_missing_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Arrays of customers, one file per task, that lack the balance where it is negative."""
+    path = scratch_path(spark)
+    customers = table(spark, sf, "customer").withColumn("c_acctbal", F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal")))
+    batches = customers.groupBy(F.floor(F.col("c_custkey") / 500).alias("file")).agg(
+        F.to_json(F.collect_list(F.struct(*customers.columns))).alias("value")
+    )
+    batches.repartition(F.col("file")).select("file", "value").write.partitionBy("file").text(path)
+    return missing_keys(spark, path, customers.columns)
+
+
+def xml_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark)
+    suppliers = table(spark, sf, "supplier").withColumn("s_acctbal", F.when(F.col("s_acctbal") >= 0, F.col("s_acctbal")))
+    exports.export_xml(suppliers, path)
+    reader = spark.read.format("xml").schema(suppliers.schema).option("rowTag", "record").option("nullValue", "")
+    return reader.load(path)
+
+
+EVENT_TYPES = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("event_type", T.StringType()), T.StructField("value", T.DoubleType())])
+
+
+def csv_with_missing_values(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark)
+    events = table(spark, sf, "events").select(
+        "event_id",
+        F.when(F.col("event_type") == "view", F.concat(F.lit('say "'), "event_type", F.lit('"\nnow'))).otherwise(
+            F.when(F.col("event_type") == "click", F.lit("n/a")).otherwise(F.col("event_type"))
+        ).alias("event_type"),
+        F.when(F.col("event_type") == "error", F.lit("NaN")).otherwise(F.col("value").cast("string")).alias("value"),
+    )
+    events.write.option("header", True).option("escape", '"').csv(path)
+    return read_csv_na(spark, path, EVENT_TYPES)
+
+
+def number_lists(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark)
+    table(spark, sf, "part").select(F.concat_ws(" , ", "p_partkey", "p_size", "p_retailprice").alias("value")).write.text(path)
+    numbers = read_number_list(spark, path)
+    return numbers.groupBy("idx").agg(
+        F.countDistinct("line").alias("lines"), F.round(F.sum("value"), 2).alias("total"), F.max("value").alias("greatest")
+    )
+
+
+def bom_from_csv(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark)
+    bom_rows(spark, sf).write.option("header", True).csv(path)
+    return as_double(bom_plan.fin_quantity(read_bom(spark, path, "csv")), "fin_production_quantity")
+
+
+def review_files(spark: SparkSession, sf: str, folder: str, names: list[str]) -> None:
+    """Document reviews as one CSV file per name in ``folder``, by review id."""
+    raw = dirty_reviews(spark, sf).select(*REVIEWS.names)
+    for i, name in enumerate(names):
+        path = scratch_path(spark)
+        mine = raw.where(F.col("reviewId").cast("long") % len(names) == i)
+        mine.coalesce(1).write.option("header", True).option("escape", '"').option("nullValue", "").csv(path)
+        written = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path).select("path").first()
+        hadoop = spark._jvm.org.apache.hadoop.fs
+        source, target = hadoop.Path(written["path"]), hadoop.Path(f"{folder}/{name}")
+        files = source.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(target.getParent())
+        files.rename(source, target)
+
+
+def picked_up_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Files dropped one after the other, picked up in two runs, and cleaned."""
+    folder, out, log = (scratch_path(spark) for _ in range(3))
+    names = ["b.csv", "a.csv", "c.csv"]
+    review_files(spark, sf, folder, names)
+    for _ in range(2):
+        ingest_new_files(spark, folder, out, log).awaitTermination()
+    return spark.read.parquet(out)
+
+
+def processed_folder(spark: SparkSession, sf: str) -> DataFrame:
+    """The first file of a folder by name, cleaned and published."""
+    folder, out = scratch_path(spark), scratch_path(spark)
+    review_files(spark, sf, folder, ["b.csv", "a.csv", "c.csv"])
+    reviews.process_folder(spark, folder, out)
+    return read_published(spark, out)
+
+
+def empty_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of a CSV file per event type, some types without any, and whether the guard lets it through."""
+    events = table(spark, sf, "events").select("event_id", "event_type", F.col("value").cast("string").alias("value"))
+    found = []
+    for kind in ("click", "error", "none"):
+        path = scratch_path(spark)
+        mine = events.where(F.col("event_type") == kind)
+        mine.write.option("header", True).csv(path)
+        read = read_csv_na(spark, path, EVENT_TYPES)
+        found.append(read.agg(F.lit(kind).alias("event_type"), F.count("*").alias("rows")).withColumn("passes", F.lit(has_rows(read))))
+    return reduce(DataFrame.unionByName, found)
+
+
+def published_merges(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers published, merged with their changes, and completed by suppliers' keys."""
+    path = scratch_path(spark)
+    customers, changes = table(spark, sf, "customer"), customer_changes(spark, sf)
+    publish(customers, path)
+    changed = tables.upsert_published(
+        spark, path, changes.where(F.col("c_custkey") >= 0), ["c_custkey"], ["changed", "change_id"]
+    )
+    added = tables.insert_absent_published(spark, path, changes, ["c_custkey"], ["changed", "change_id"])
+    return read_published(spark, path).withColumns(
+        {"changed": F.lit(changed).cast("long"), "added": F.lit(added).cast("long")}
+    )
+
+
+def reloaded_table(spark: SparkSession, sf: str) -> DataFrame:
+    """A table replaced twice and appended to, with its load summary, and what is left after it was emptied."""
+    name = "loaded_" + scratch_path(spark).rsplit("/", 1)[1]
+    part = table(spark, sf, "part").withColumn("p_retailprice", F.when(F.col("p_size") > 2, F.col("p_retailprice")).otherwise(F.lit(float("nan"))))
+    tables.replace_table(part.where(F.col("p_size") == 1), name)
+    loaded = tables.replace_table(part, name)
+    tables.append(table(spark, sf, "part").where(F.col("p_size") > 40), name)
+    counted, stored, sample = tables.load_summary(loaded, spark.table(name))
+    prices = materialise(spark.table(name).agg(F.count("p_retailprice").alias("prices")))
+    shown = sample.count()
+    tables.empty_tables(spark, name)
+    left = spark.table(name).count()
+    spark.sql(f"DROP TABLE {name}")
+    numbers = {"loaded": counted, "stored": stored, "shown": shown, "left": left}
+    return prices.withColumns({k: F.lit(v).cast("long") for k, v in numbers.items()})
+
+
+# --- order contracts: position and key of every row ---------------------------------
+
+
+def numbered(df: DataFrame, *keys: str) -> DataFrame:
+    """Keys of ordered rows with their position from 1."""
+    shift, mask = 33, (1 << 33) - 1
+    at = F.monotonically_increasing_id()
+    rows = materialise(df.select(*keys).withColumn("__at", at)).withColumn("__part", F.shiftright("__at", shift))
+    sizes = rows.groupBy("__part").agg(F.count("*").alias("n"))
+    before = sizes.select("__part", (F.sum("n").over(Window.orderBy("__part")) - F.col("n")).alias("__before"))
+    place = F.col("__before") + F.col("__at").bitwiseAND(F.lit(mask)) + 1
+    return rows.join(materialise(before), "__part").select(place.alias("position"), *keys)
+
+
+ORDERED = {
+    "parts_per_type": ["category_id"],
+    "top10_suppliers_by_lines": ["actor_id"],
+    "top3_counts_suppliers_promo": ["actor_id"],
+    "customers_by_nation_balance": ["city_id"],
+    "sort_by_time": ["event_id"],
+    "avg_value_per_day": ["day"],
+    "unique_flags": None,
+    "sorted_values": None,
+    "bom_explosion_annual": ["plant", "fin_material_id", "prod_material_id", "component_id", "year"],
+}
+
+
+def order_of(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    def positions(spark: SparkSession, sf: str) -> DataFrame:
+        df = globals()[name](spark, sf)
+        return numbered(df, *(ORDERED[name] or df.columns))
+
+    positions.__name__ = f"order_of_{name}"
+    return positions
 
 
 QUERIES = [
@@ -634,6 +835,9 @@ QUERIES = [
     same_multiset, max_after_level, event_runs, pairwise_distance,
     mean_gap, sorted_values, median_price, lowest_percentile_above, share_above, std_price,
     upsert_customers, insert_if_absent, constraint_violations, profile,
+    json_round_trip, json_missing_keys, xml_round_trip, csv_with_missing_values, number_lists, bom_from_csv,
+    picked_up_files, processed_folder, empty_files, published_merges, reloaded_table, short_text_count,
+    *(order_of(name) for name in ORDERED),
 ]
 
 

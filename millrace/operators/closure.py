@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.session import materialise, materialise_counted
+from millrace.session import discard, materialise, materialise_counted, scratch_path, shuffles_removed
 
 
 def reachable(
@@ -25,10 +23,11 @@ def reachable(
     when a round adds nothing or ``max_depth`` is reached. ``prepared`` says
     that edges and seeds are distinct and the edges stored already.
 
-    The driver only learns each round's row count. Every round is written to the
+    The driver only learns each round's row count. Every frontier is written to the
     shared scratch area, which keeps lineage one round long and gives the planner
-    the frontier's real size: small frontiers are broadcast against the edges,
-    large ones shuffled, with a hot node split by the adaptive skew join.
+    its real size: small frontiers are broadcast against the edges, large ones
+    shuffled, with a hot node split by the adaptive skew join. What was seen is one
+    table bucketed by its key, to which each round appends, so only new pairs move.
     """
     scope = list(scope or [])
     key = scope + ["root", "node"]
@@ -36,18 +35,44 @@ def reachable(
     hops = kept.select(*scope, F.col("src").alias("node"), F.col("dst").alias("__next"))
     first = seeds.select(*key)
     frontier, added = materialise_counted(first if prepared else first.distinct())
-    levels = [frontier]
+    seen = _Seen(frontier, key)
     depth = 1
+    seen.add(frontier, depth)
     while added and (max_depth is None or depth < max_depth):
         stepped = (
             frontier.join(hops, scope + ["node"])
             .select(*scope, "root", F.col("__next").alias("node"))
             .distinct()
         )
-        seen = reduce(DataFrame.unionByName, levels)
-        frontier, added = materialise_counted(stepped.join(seen, key, "left_anti"))
+        before = frontier
+        frontier, added = materialise_counted(stepped.join(seen.pairs(), key, "left_anti"))
+        discard(before)
         depth += 1
         if added:
-            levels.append(frontier)
-    tagged = [level.withColumn("depth", F.lit(i)) for i, level in enumerate(levels, start=1)]
-    return reduce(DataFrame.unionByName, tagged)
+            seen.add(frontier, depth)
+    discard(frontier)
+    return seen.close()
+
+
+class _Seen:
+    """Pairs met so far with their depth, as a table of one bucket per shuffle partition."""
+
+    def __init__(self, like: DataFrame, key: list[str]):
+        self.spark, self.key = like.sparkSession, key
+        self.schema = like.withColumn("depth", F.lit(0)).schema
+        self.path = scratch_path(self.spark)
+        self.name = "seen_" + self.path.rsplit("/", 1)[1]
+        self.buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def add(self, level: DataFrame, depth: int) -> None:
+        rows = level.withColumn("depth", F.lit(depth)).repartition(self.buckets, *self.key)
+        with shuffles_removed(self.spark):
+            rows.write.bucketBy(self.buckets, *self.key).option("path", self.path).saveAsTable(self.name, mode="append")
+
+    def pairs(self) -> DataFrame:
+        return self.spark.table(self.name).select(*self.key)
+
+    def close(self) -> DataFrame:
+        """The rows, after the name is given up."""
+        self.spark.sql(f"DROP TABLE {self.name}")
+        return self.spark.read.schema(self.schema).parquet(self.path)

@@ -15,11 +15,18 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFram
     A ranking window would sort a hot key inside one task; this keeps a single
     candidate per key and task before the shuffle.
     """
+    return _edge_row(df, keys, order, F.max_by)
+
+
+def _edge_row(df: DataFrame, keys: list[str], order: list[str], pick) -> DataFrame:
+    """The row that ``pick`` takes by ``order`` per key."""
     rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.distinct()
     kept = (
         df.groupBy(*[quoted(k) for k in keys])
         .agg(
-            F.max_by(
+            pick(
                 F.struct(*[quoted(c).alias(c) for c in rest]),
                 F.struct(*[quoted(c).alias(f"o{i}") for i, c in enumerate(order)]),
             ).alias("__row")
@@ -40,7 +47,10 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], order: list[st
     return without_match(target, source, keys).unionByName(applied)
 
 
-def insert_if_absent(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of ``source`` to append: one per key, for keys ``target`` lacks."""
-    new_keys = source.select(*[quoted(c) for c in target.columns]).dropDuplicates(keys)
-    return new_keys.join(target.select(*[quoted(k) for k in keys]), keys, "left_anti")
+def insert_if_absent(target: DataFrame, source: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Rows of ``source`` to append: for each key that ``target`` lacks the first one in ``order``.
+
+    Columns of ``source`` named in ``order`` but absent from ``target`` only order the rows.
+    """
+    kept = _edge_row(source, keys, order, F.min_by).select(*[quoted(c) for c in target.columns])
+    return kept.join(target.select(*[quoted(k) for k in keys]), keys, "left_anti")

@@ -10,12 +10,12 @@ the FIN's quantity up over the matching rows.
 Component rows are summed before they meet the trees. Every row of one
 (material, component, period) joins the same FINs, so this changes no total, and
 it leaves a hot material one row per component and period. The sums are stored and
-also feed the walk, so the fact table itself is read only twice.
+also feed the walk, so the fact table itself is read twice in either reading.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.closure import reachable
@@ -23,11 +23,31 @@ from millrace.operators.matching import null_safe_join, with_match
 from millrace.session import materialise
 
 FINISHED = "FIN"
-MAX_DEPTH = 20
+# Fixed value: levels after which a reader that walks along cycles has to stop. Pass it as
+# ``max_depth`` to leave out what lies deeper; the walk here ends by itself.
+GUARD_DEPTH = 20
 
 PRODUCED_ATTRIBUTES = ["produced_material_release_type", "produced_material_production_type"]
 COMPONENT_ATTRIBUTES = ["component_material_release_type", "component_material_production_type"]
 
+# The columns of an explosion, in their order.
+EXPLOSION = [
+    "plant", "fin_material_id", "fin_material_release_type", "fin_material_production_type", "fin_production_quantity",
+    "prod_material_id", "prod_material_release_type", "prod_material_production_type",
+    "prod_material_production_quantity", "component_id", "component_material_release_type",
+    "component_material_production_type", "component_consumption_quantity", "year",
+]
+EXPLOSION_SUMS = [c for c in EXPLOSION if c.endswith("_quantity")]
+EXPLOSION_KEYS = [c for c in EXPLOSION if c not in EXPLOSION_SUMS]
+# What the columns are called while the trees are walked, where that differs.
+WALKED = {
+    "plant": "plant_id",
+    "prod_material_id": "material_id",
+    "prod_material_release_type": "produced_material_release_type",
+    "prod_material_production_type": "produced_material_production_type",
+    "component_id": "component_material",
+}
+
 
 def produced_materials(bom: DataFrame) -> DataFrame:
     """Materials produced anywhere."""
@@ -56,8 +76,13 @@ def produced_edges(rows: DataFrame, by_plant: bool, produced: DataFrame | None =
     return with_match(edges, made.withColumnRenamed("material_id", "dst"), "dst")
 
 
-def fin_members(bom: DataFrame, by_plant: bool, max_depth: int | None) -> DataFrame:
-    """Distinct ``(plant_id,) fin_id, material_id``: the tree below each FIN."""
+def fin_members(
+    bom: DataFrame, by_plant: bool, max_depth: int | None, fins: DataFrame | None = None
+) -> DataFrame:
+    """Distinct ``(plant_id,) fin_id, material_id``: the tree below each FIN.
+
+    ``fins`` are the finished materials, by default those of ``bom``.
+    """
     scope = ["plant_id"] if by_plant else []
     produced = materialise(produced_materials(bom))
     edges = materialise(produced_edges(bom, by_plant, produced))
@@ -66,7 +91,7 @@ def fin_members(bom: DataFrame, by_plant: bool, max_depth: int | None) -> DataFr
         anchors = produced_edges(bom.where(F.col("produced_material_release_type") == FINISHED), by_plant, produced)
     else:
         # Any row of a material that is finished somewhere starts a tree.
-        fins = materialise(fin_materials(bom))
+        fins = materialise(fin_materials(bom)) if fins is None else fins
         anchors = with_match(edges, fins.withColumnRenamed("fin_id", "src"), "src")
     seeds = anchors.select(*scope, F.col("src").alias("root"), F.col("dst").alias("node"))
     tree = reachable(edges, seeds, scope, max_depth, prepared=True)
@@ -98,9 +123,12 @@ def fin_attr(bom: DataFrame) -> DataFrame:
     )
 
 
-def fin_attributes(bom: DataFrame) -> DataFrame:
-    """Types and quantities of each FIN per plant, year and month."""
-    fins = materialise(fin_materials(bom))
+def fin_attributes(bom: DataFrame, fins: DataFrame | None = None) -> DataFrame:
+    """Types and quantities of each FIN per plant, year and month.
+
+    ``fins`` are the finished materials, by default those of ``bom``.
+    """
+    fins = materialise(fin_materials(bom)) if fins is None else fins
     # Distinct before the match: a FIN's many component rows collapse ahead of that shuffle.
     rows = bom.select(
         "plant_id",
@@ -125,43 +153,42 @@ def component_totals(bom: DataFrame, period: list[str]) -> DataFrame:
     )
 
 
-def bom_explosion_annual(bom: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
-    """Annual explosion: one row per FIN, tree member, component, plant and year."""
+def _named(names: list[str]) -> list[Column]:
+    return [F.col(WALKED.get(c, c)).alias(c) for c in names]
+
+
+def bom_explosion_annual(bom: DataFrame, max_depth: int | None = None, ordered: bool = True) -> DataFrame:
+    """Annual explosion: one row per FIN, tree member, component, plant and year.
+
+    ``ordered`` sorts by plant, FIN, member, component and year.
+    """
     totals = materialise(component_totals(bom, ["year"]))
     members = fin_members(totals, by_plant=True, max_depth=max_depth)
     # The FIN's years first: the trees stay small until they meet the totals, and a
     # member used by many FINs is spread over its years in that join.
     finished = materialise(fin_quantity(bom).join(fin_attr(totals), ["plant_id", "fin_id"]))
-    trees = members.join(finished, ["plant_id", "fin_id"])
+    trees = members.join(finished, ["plant_id", "fin_id"]).withColumnRenamed("fin_id", "fin_material_id")
     # Plant, FIN, member, component and year identify a row here, attributes
     # included, so no aggregate is left to do after the joins.
     exploded = trees.join(
         totals.withColumnRenamed("produced_material", "material_id"), ["plant_id", "material_id", "year"]
+    ).withColumnsRenamed(
+        {"produced_total": "prod_material_production_quantity", "component_total": "component_consumption_quantity"}
     )
-    return exploded.select(
-        F.col("plant_id").alias("plant"),
-        F.col("fin_id").alias("fin_material_id"),
-        "fin_material_release_type",
-        "fin_material_production_type",
-        "fin_production_quantity",
-        F.col("material_id").alias("prod_material_id"),
-        F.col("produced_material_release_type").alias("prod_material_release_type"),
-        F.col("produced_material_production_type").alias("prod_material_production_type"),
-        F.col("produced_total").alias("prod_material_production_quantity"),
-        F.col("component_material").alias("component_id"),
-        "component_material_release_type",
-        "component_material_production_type",
-        F.col("component_total").alias("component_consumption_quantity"),
-        "year",
-    ).orderBy("plant", "fin_material_id", "prod_material_id", "component_id", "year")
+    named = exploded.select(*_named(EXPLOSION))
+    if not ordered:
+        return named
+    # A range sort reads its input twice: let it read rows, not run the joins again.
+    return materialise(named).orderBy("plant", "fin_material_id", "prod_material_id", "component_id", "year")
 
 
 def bom_explosion_monthly(bom: DataFrame) -> DataFrame:
     """Monthly explosion: quantities of the months in which the FIN was produced, per year."""
     totals = materialise(component_totals(bom, ["year", "month"]))
-    members = fin_members(totals, by_plant=False, max_depth=None)
+    fins = materialise(fin_materials(totals))
+    members = fin_members(totals, by_plant=False, max_depth=None, fins=fins)
     finished = materialise(
-        fin_attributes(bom)
+        fin_attributes(bom, fins)
         .groupBy(
             "plant_id", "year", "month", "fin_material_id", "fin_material_release_type", "fin_material_production_type"
         )
@@ -179,46 +206,13 @@ def bom_explosion_monthly(bom: DataFrame) -> DataFrame:
         ["material_id", "plant_id", "year", "month"],
     )
     # Each of fin_rows FIN entries met each of rows component rows.
-    return (
-        matched.groupBy(
-            F.col("plant_id").alias("plant"),
-            "year",
-            "fin_material_id",
-            "fin_material_release_type",
-            "fin_material_production_type",
-            F.col("material_id").alias("prod_material_id"),
-            F.col("produced_material_release_type").alias("prod_material_release_type"),
-            F.col("produced_material_production_type").alias("prod_material_production_type"),
-            F.col("component_material").alias("component_id"),
-            "component_material_release_type",
-            "component_material_production_type",
-        )
-        .agg(
-            F.coalesce(F.sum(F.col("fin_total") * F.col("rows")), F.lit(0)).alias("fin_production_quantity"),
-            F.coalesce(F.sum(F.col("produced_total") * F.col("fin_rows")), F.lit(0)).alias(
-                "prod_material_production_quantity"
-            ),
-            F.coalesce(F.sum(F.col("component_total") * F.col("fin_rows")), F.lit(0)).alias(
-                "component_consumption_quantity"
-            ),
-        )
-        .select(
-            "plant",
-            "fin_material_id",
-            "fin_material_release_type",
-            "fin_material_production_type",
-            "fin_production_quantity",
-            "prod_material_id",
-            "prod_material_release_type",
-            "prod_material_production_type",
-            "prod_material_production_quantity",
-            "component_id",
-            "component_material_release_type",
-            "component_material_production_type",
-            "component_consumption_quantity",
-            "year",
-        )
-    )
+    met = {
+        "fin_production_quantity": F.col("fin_total") * F.col("rows"),
+        "prod_material_production_quantity": F.col("produced_total") * F.col("fin_rows"),
+        "component_consumption_quantity": F.col("component_total") * F.col("fin_rows"),
+    }
+    sums = [F.coalesce(F.sum(met[c]), F.lit(0)).alias(c) for c in EXPLOSION_SUMS]
+    return matched.groupBy(*_named(EXPLOSION_KEYS)).agg(*sums).select(*EXPLOSION)
 
 
 def register_annual_view(bom: DataFrame, name: str = "bom_explosion") -> DataFrame:

@@ -14,11 +14,10 @@ from millrace.functions.text import (
     strip_symbols,
 )
 from millrace.functions.times import TIMESTAMP_FORMATS, TIMESTAMP_TEXT, day_of, parse_first
-from millrace.operators.matching import with_match
 from millrace.operators.ranking import top_k
 from millrace.session import materialise
 from millrace.sinks.published import publish
-from millrace.sources.files import has_rows, read_csv_na
+from millrace.sources.files import first_file, has_rows, read_csv_na
 from millrace.sources.schemas import REVIEWS
 
 
@@ -66,6 +65,12 @@ def process_reviews(spark: SparkSession, csv_path: str, out: str) -> bool:
     return True
 
 
+def process_folder(spark: SparkSession, folder: str, out: str) -> str | None:
+    """Process the first CSV file of ``folder`` by name; returns its path, None if there is none or it is empty."""
+    path = first_file(spark, folder)
+    return path if path and process_reviews(spark, path, out) else None
+
+
 def _commented(reviews: DataFrame) -> DataFrame:
     """Reviews with a comment, keyed by its comparison form; tested on the raw text."""
     return reviews.where(F.col("content").isNotNull() & ~F.col("content").isin("", PLACEHOLDER)).withColumn(
@@ -76,22 +81,39 @@ def _commented(reviews: DataFrame) -> DataFrame:
 def top_comments(reviews: DataFrame, n: int = 5) -> DataFrame:
     """The ``n`` most frequent comments, in the spelling of their earliest review.
 
-    Texts are counted under a digest first, so one pass shuffles digests instead of
-    texts and leaves the comments at least as frequent as the ``n``-th, ties
-    included. Only their reviews are then grouped by text and aggregated.
+    Comments are counted under a digest, with the earliest review's small key, so
+    no text is shuffled or sorted. Texts are fetched for the comments that are at
+    least as frequent as the ``n``-th, ties included.
     """
-    keyed = _commented(reviews).withColumn("digest", F.unhex(F.sha2("key", 256)))
-    counts = materialise(keyed.groupBy("digest").agg(F.count(F.lit(1)).alias("times")))
-    least = top_k(counts, [F.col("times").desc()], n).agg(F.min("times")).scalar()
-    frequent = materialise(counts.where(F.col("times") >= least).select("digest"))
     undated = F.col("at").isNull() | (F.col("at") == PLACEHOLDER)
-    ranked = with_match(keyed, frequent, "digest").groupBy("key").agg(
-        F.count(F.lit(1)).alias("count"),
-        F.coalesce(F.sum("thumbsUpCount"), F.lit(0)).alias("totalThumbsUp"),
-        F.min_by("content", F.struct(undated.alias("u"), "at", "reviewId")).alias("comment"),
-        F.bround(F.avg("score"), 2).alias("avgScore"),
+    earliest = F.struct(undated.alias("u"), "at", "reviewId")
+    keyed = _commented(reviews).withColumn("digest", F.unhex(F.sha2("key", 256)))
+    counts = materialise(
+        keyed.groupBy("digest").agg(
+            F.count(F.lit(1)).alias("count"),
+            F.coalesce(F.sum("thumbsUpCount"), F.lit(0)).alias("totalThumbsUp"),
+            F.min(earliest).alias("first"),
+            F.bround(F.avg("score"), 2).alias("avgScore"),
+        )
     )
-    return top_k(ranked, [F.col("count").desc(), F.col("key")], n).drop("key")
+    least = top_k(counts, [F.col("count").desc()], n).agg(F.min("count")).scalar()
+    frequent = materialise(counts.where(F.col("count") >= least))
+    texts = keyed.select("digest", earliest.alias("first"), F.col("content").alias("comment"), "key")
+    same = texts["digest"] == frequent["digest"]
+    spelled = texts.join(frequent, same & texts["first"].eqNullSafe(frequent["first"])).select(
+        frequent["digest"], "count", "totalThumbsUp", "comment", "avgScore", "key"
+    )
+    # Repeated rows of the earliest review are one; only the frequent comments are left here.
+    single = spelled.groupBy("digest", "count", "totalThumbsUp", "avgScore").agg(
+        F.min(F.struct("key", "comment")).alias("text")
+    )
+    ranked = top_k(single, [F.col("count").desc(), F.col("text.key")], n)
+    return ranked.select("count", "totalThumbsUp", F.col("text.comment").alias("comment"), "avgScore")
+
+
+def count_short_content(reviews: DataFrame, n: int = 5) -> DataFrame:
+    """How many reviews ``short_content`` lists."""
+    return short_content(reviews, n).agg(F.count(F.lit(1)).alias("reviews"))
 
 
 def short_content(reviews: DataFrame, n: int = 5) -> DataFrame:

@@ -8,8 +8,6 @@ from pyspark.sql import types as T
 
 from millrace.functions.text import quoted
 
-MAX_DOCUMENT_ROWS = 1_000_000
-
 
 def _time_text(value: Column) -> Column:
     """``yyyy-MM-dd HH:mm:ss``, followed by six digits only where there is a fraction."""
@@ -31,50 +29,19 @@ def _as_text(df: DataFrame) -> DataFrame:
     return df.select(*columns)
 
 
-def _check_document(df: DataFrame, max_rows: int) -> None:
-    """A single document is written by one task: refuse what one task should not write."""
-    if df.limit(max_rows + 1).count() > max_rows:
-        raise ValueError(f"over {max_rows} rows: export them without single_document")
-
-
-def export_json(
-    df: DataFrame, path: str, single_document: bool = False, max_rows: int = MAX_DOCUMENT_ROWS
-) -> None:
-    """JSON with nulls kept and decimals and times as text.
+def export_json(df: DataFrame, path: str) -> None:
+    """JSON with nulls kept and decimals and times as text, one record per line, written by all tasks.
 
-    One record per line by default, written by all tasks; ``single_document``
-    writes one JSON array and refuses results of more than ``max_rows`` rows.
+    A single document is not offered: one task would have to write all of it.
     """
-    texts = _as_text(df)
-    if not single_document:
-        texts.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
-        return
-    _check_document(df, max_rows)
-    record = F.struct(*[quoted(c) for c in texts.columns])
-    # Ordered rows keep their order: rows are numbered by the sort, not by arrival.
-    document = texts.select(F.monotonically_increasing_id().alias("n"), record.alias("r")).agg(
-        F.to_json(
-            F.transform(F.array_sort(F.collect_list(F.struct("n", "r"))), lambda s: s.getField("r")),
-            {"ignoreNullFields": "false"},
-        ).alias("value")
-    )
-    document.coalesce(1).write.mode("overwrite").text(path)
-
+    _as_text(df).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
-def export_xml(
-    df: DataFrame, path: str, single_document: bool = False, max_rows: int = MAX_DOCUMENT_ROWS
-) -> None:
-    """XML of ``records/record/<column>``; a null is an empty element.
 
-    Every task writes a document of its own unless ``single_document`` is set,
-    which refuses results of more than ``max_rows`` rows.
-    """
-    texts = _as_text(df)
-    if single_document:
-        _check_document(df, max_rows)
-        texts = texts.coalesce(1)
+def export_xml(df: DataFrame, path: str) -> None:
+    """XML of ``records/record/<column>``; a null is an empty element. Every task writes a document of its own."""
     (
-        texts.write.mode("overwrite")
+        _as_text(df)
+        .write.mode("overwrite")
         .format("xml")
         .option("rootTag", "records")
         .option("rowTag", "record")

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.text import nan_to_null
-from millrace.operators.keyed import insert_if_absent, upsert
+from millrace.operators.keyed import insert_if_absent, latest_per_key
+from millrace.operators.matching import without_match
 from millrace.sinks.published import publish, read_published
 
 # Fixed value: rows sent to a database per batch.
@@ -60,15 +61,20 @@ def upsert_published(
 ) -> int:
     """Merge ``source`` into the published table at ``path``; returns the keys inserted or updated."""
     target = read_published(spark, path)
-    publish(upsert(target, source, keys, order), path)
-    return source.select(*keys).distinct().count()
+    latest = latest_per_key(source, keys, order).select(*target.columns)
+    seen = Observation()
+    applied = latest.observe(seen, F.count(F.lit(1)).alias("rows"))
+    publish(without_match(target, source, keys).unionByName(applied), path)
+    return seen.get["rows"]
 
 
-def insert_absent_published(spark: SparkSession, path: str, source: DataFrame, keys: list[str]) -> int:
-    """Add the rows of ``source`` whose key the published table lacks; returns their number."""
+def insert_absent_published(
+    spark: SparkSession, path: str, source: DataFrame, keys: list[str], order: list[str]
+) -> int:
+    """Add the first row of each key that the published table lacks; returns their number."""
     target = read_published(spark, path)
     seen = Observation()
-    added = insert_if_absent(target, source, keys).observe(seen, F.count(F.lit(1)).alias("rows"))
+    added = insert_if_absent(target, source, keys, order).observe(seen, F.count(F.lit(1)).alias("rows"))
     publish(target.unionByName(added), path)
     return seen.get["rows"]
 

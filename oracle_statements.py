@@ -88,13 +88,17 @@ def described(source: str, keys: str, columns: list[str]) -> str:
     return " UNION ALL ".join(describe(source, keys, c) for c in columns)
 
 
-def profiled(columns: list[str]) -> str:
+def profiled(numbers: list[str], texts: list[str]) -> str:
     statistics = {
         "count": "count({c})", "mean": "avg({c})", "stddev": "stddev_samp({c})", "min": "min({c})", "max": "max({c})",
     }
     return " UNION ALL ".join(
         f"SELECT '{name}' AS summary, "
-        + ", ".join(f"round(CAST({how.format(c=c)} AS DOUBLE), 6) AS {c}" for c in columns)
+        + ", ".join(f"round(CAST({how.format(c=c)} AS DOUBLE), 6) AS {c}" for c in numbers)
+        + ", "
+        + ", ".join(
+            f"CAST({'NULL' if name in ('mean', 'stddev') else how.format(c=c)} AS VARCHAR) AS {c}" for c in texts
+        )
         + " FROM part"
         for name, how in statistics.items()
     )
@@ -120,6 +124,12 @@ series AS (
 )
 """
 
+# What a finished material made in a month; equal quantities of a month are one.
+FIN_MONTHS = """
+          SELECT plant_id, produced_material, year, month, list_sum(list(DISTINCT produced_quantity)) AS made
+          FROM bom WHERE produced_release = 'FIN' GROUP BY ALL
+        """
+
 STATEMENTS = {
     "parts_per_type": """
         SELECT p_type AS category_id, p_type AS category_name, count(*) AS movie_count FROM part GROUP BY p_type
@@ -149,14 +159,13 @@ STATEMENTS = {
           FROM lineitem JOIN part ON p_partkey = l_partkey WHERE p_type = 'PROMO' GROUP BY l_suppkey
         )
         SELECT s_suppkey AS actor_id, s_name AS first_name, 'of nation ' || s_nationkey AS last_name, appearances
-        FROM seen JOIN supplier ON s_suppkey = l_suppkey
-        WHERE appearances IN (SELECT DISTINCT appearances FROM seen ORDER BY appearances DESC LIMIT 3)
+        FROM (SELECT *, dense_rank() OVER (ORDER BY appearances DESC) AS place FROM seen)
+        JOIN supplier ON s_suppkey = l_suppkey WHERE place <= 3
     """,
     "customers_by_nation_balance": """
         SELECT n_nationkey AS city_id, n_name AS city,
-               CAST(sum(CASE WHEN c_acctbal >= 0 THEN 1 ELSE 0 END) AS BIGINT) AS active_customers,
-               CAST(sum(CASE WHEN c_acctbal < 0 THEN 1 ELSE 0 END) AS BIGINT) AS inactive_customers
-        FROM nation JOIN customer ON c_nationkey = n_nationkey GROUP BY n_nationkey, n_name
+               count(*) FILTER (c_acctbal >= 0) AS active_customers, count(*) FILTER (c_acctbal < 0) AS inactive_customers
+        FROM customer, nation WHERE n_nationkey = c_nationkey GROUP BY ALL
     """,
     "top_brand_by_ship_hours": f"""
         SELECT 'part starts with s' AS filter, category, round(rental_hours, 3) AS rental_hours
@@ -237,16 +246,14 @@ STATEMENTS = {
           SELECT DISTINCT plant_id, src AS root, dst AS node, 1 AS depth FROM edges WHERE src IN (SELECT fin_id FROM fins)
           UNION
           SELECT w.plant_id, w.root, e.dst, w.depth + 1
-          FROM walk w JOIN edges e ON e.plant_id = w.plant_id AND e.src = w.node WHERE w.depth < 4
+          FROM walk w JOIN edges e ON e.plant_id = w.plant_id AND e.src = w.node AND e.dst <> w.node
         )
         SELECT plant_id, root, node, min(depth) AS depth FROM walk GROUP BY ALL
     """,
     "fin_quantity": f"""
-        WITH {BOM}
-        SELECT plant_id, fin_id, year, CAST(sum(produced_quantity) AS DOUBLE) AS fin_production_quantity
-        FROM (SELECT DISTINCT plant_id, produced_material AS fin_id, year, month, produced_quantity
-              FROM bom WHERE produced_release = 'FIN')
-        GROUP BY ALL
+        WITH {BOM}, monthly AS ({FIN_MONTHS})
+        SELECT plant_id, produced_material AS fin_id, year, CAST(sum(made) AS DOUBLE) AS fin_production_quantity
+        FROM monthly GROUP BY plant_id, produced_material, year
     """,
     "fin_attr": f"""
         WITH {BOM}
@@ -262,32 +269,31 @@ STATEMENTS = {
         FROM bom WHERE produced_material IN (SELECT fin_id FROM fins)
     """,
     "bom_explosion_annual": f"""
-        WITH RECURSIVE {BOM}, walk AS (
-          SELECT plant_id, src AS fin_id, dst AS material FROM edges WHERE src IN (SELECT fin_id FROM fins)
+        WITH RECURSIVE {BOM}, below AS (
+          SELECT plant_id, src AS top, dst AS part FROM edges WHERE src IN (FROM fins)
           UNION
-          SELECT w.plant_id, w.fin_id, e.dst FROM walk w JOIN edges e ON e.plant_id = w.plant_id AND e.src = w.material
-        ), quantity AS (
-          SELECT plant_id, fin_id, year, sum(q) AS fin_quantity
-          FROM (SELECT DISTINCT plant_id, produced_material AS fin_id, year, month, produced_quantity AS q
-                FROM bom WHERE produced_release = 'FIN')
-          GROUP BY ALL
-        ), attr AS (
-          SELECT DISTINCT plant_id, produced_material AS fin_id, produced_release AS fin_release, produced_type AS fin_type
-          FROM bom WHERE produced_release = 'FIN'
+          SELECT below.plant_id, top, dst FROM below, edges WHERE edges.plant_id = below.plant_id AND src = part
+        ), consumed AS (
+          SELECT plant_id, year, produced_material AS part, produced_release, produced_type, component_material,
+                 component_release, component_type, sum(produced_quantity) AS made, sum(component_quantity) AS used
+          FROM bom GROUP BY ALL
+        ), monthly AS ({FIN_MONTHS}), yearly AS (
+          SELECT plant_id, produced_material AS top, year, sum(made) AS ready FROM monthly GROUP BY ALL
+        ), kinds AS (
+          SELECT plant_id, top, unnest(found) AS kind FROM (
+            SELECT plant_id, produced_material AS top, array_agg(DISTINCT produced_type) AS found
+            FROM bom WHERE produced_release = 'FIN' GROUP BY plant_id, produced_material
+          )
         )
-        SELECT w.plant_id AS plant, w.fin_id AS fin_material_id, fin_release AS fin_material_release_type,
-               fin_type AS fin_material_production_type, CAST(fin_quantity AS DOUBLE) AS fin_production_quantity,
-               b.produced_material AS prod_material_id, produced_release AS prod_material_release_type,
-               produced_type AS prod_material_production_type,
-               CAST(sum(produced_quantity) AS DOUBLE) AS prod_material_production_quantity,
+        SELECT plant_id AS plant, top AS fin_material_id, 'FIN' AS fin_material_release_type,
+               kind AS fin_material_production_type, CAST(ready AS DOUBLE) AS fin_production_quantity,
+               part AS prod_material_id, produced_release AS prod_material_release_type,
+               produced_type AS prod_material_production_type, CAST(made AS DOUBLE) AS prod_material_production_quantity,
                component_material AS component_id, component_release AS component_material_release_type,
                component_type AS component_material_production_type,
-               CAST(sum(component_quantity) AS DOUBLE) AS component_consumption_quantity, b.year
-        FROM walk w JOIN bom b ON b.plant_id = w.plant_id AND b.produced_material = w.material
-        JOIN attr a ON a.plant_id = w.plant_id AND a.fin_id = w.fin_id
-        JOIN quantity q ON q.plant_id = w.plant_id AND q.fin_id = w.fin_id AND q.year = b.year
-        GROUP BY w.plant_id, w.fin_id, fin_release, fin_type, fin_quantity, b.produced_material, produced_release,
-                 produced_type, component_material, component_release, component_type, b.year
+               CAST(used AS DOUBLE) AS component_consumption_quantity, year
+        FROM consumed JOIN below USING (plant_id, part) JOIN yearly USING (plant_id, top, year)
+        JOIN kinds USING (plant_id, top)
     """,
     "bom_explosion_monthly": f"""
         WITH RECURSIVE {BOM}, links AS (SELECT DISTINCT src, dst FROM edges), walk AS (
@@ -445,8 +451,13 @@ STATEMENTS = {
         SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM latest
     """,
     "insert_if_absent": f"""
-        WITH {CHANGES}
-        SELECT DISTINCT c_custkey FROM changes WHERE c_custkey NOT IN (SELECT c_custkey FROM customer)
+        WITH {CHANGES}, moved AS (
+          SELECT * REPLACE (c_custkey + CASE WHEN change_id % 4 = 0 THEN 1000000000 ELSE 0 END AS c_custkey)
+          FROM changes WHERE change_id % 2 = 0
+        )
+        SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM moved
+        WHERE c_custkey NOT IN (SELECT c_custkey FROM customer)
+        QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY changed, change_id) = 1
     """,
     "constraint_violations": """
         SELECT 'key repeats' AS rule, 'l_orderkey,l_linenumber' AS "column", l_orderkey || ',' || l_linenumber AS value,
@@ -461,5 +472,64 @@ STATEMENTS = {
         SELECT 'unknown reference', 'l_partkey', CAST(l_partkey AS VARCHAR), count(*) FROM lineitem
         WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size > 2) GROUP BY l_partkey
     """,
-    "profile": profiled(["p_partkey", "p_size", "p_retailprice"]),
+    "profile": profiled(["p_partkey", "p_size", "p_retailprice"], ["p_name", "p_brand", "p_type"]),
+    "json_round_trip": "SELECT * REPLACE (nullif(o_orderpriority, '1-URGENT') AS o_orderpriority) FROM orders",
+    "json_missing_keys": """
+        SELECT 'c_acctbal' AS "column", count(*) AS records FROM customer WHERE c_acctbal < 0 HAVING count(*) > 0
+    """,
+    "xml_round_trip": "SELECT * REPLACE (CASE WHEN s_acctbal >= 0 THEN s_acctbal END AS s_acctbal) FROM supplier",
+    "csv_with_missing_values": """
+        SELECT event_id,
+               CASE event_type WHEN 'view' THEN 'say "view"' || chr(10) || 'now' WHEN 'click' THEN NULL ELSE event_type END AS event_type,
+               CASE WHEN event_type <> 'error' THEN value END AS value
+        FROM events
+    """,
+    "number_lists": " UNION ALL ".join(
+        f"SELECT {i} AS idx, count(*) AS lines, round(sum(CAST({c} AS DOUBLE)), 2) AS total, max(CAST({c} AS DOUBLE)) AS greatest FROM part"
+        for i, c in enumerate(["p_partkey", "p_size", "p_retailprice"])
+    ),
+    "empty_files": """
+        SELECT kind AS event_type, count(event_id) AS rows, count(event_id) > 0 AS passes
+        FROM (VALUES ('click'), ('error'), ('none')) k(kind) LEFT JOIN events ON event_type = kind GROUP BY kind
+    """,
+    "reloaded_table": """
+        SELECT count(*) AS loaded, count(*) + count(*) FILTER (p_size > 40) AS stored, CAST(5 AS BIGINT) AS shown,
+               CAST(0 AS BIGINT) AS left, count(*) FILTER (p_size > 2) + count(*) FILTER (p_size > 40) AS prices
+        FROM part
+    """,
+    "short_text_count": "SELECT count(*) AS reviews FROM conversations WHERE length(text) < 40",
 }
+
+
+def ordered(name: str, order: str, columns: str, source: str | None = None) -> str:
+    """Position and key of each row of a statement's result in ``order``."""
+    return f"SELECT row_number() OVER (ORDER BY {order}) AS position, {columns} FROM ({source or STATEMENTS[name]})"
+
+
+STATEMENTS |= {
+    "bom_from_csv": STATEMENTS["fin_quantity"],
+    "picked_up_files": STATEMENTS["clean_documents"],
+    "processed_folder": f"""SELECT * FROM ({STATEMENTS["clean_documents"]}) WHERE CAST("reviewId" AS BIGINT) % 3 = 1""",
+    "published_merges": f"""
+        SELECT *, (SELECT count(DISTINCT o_custkey) FROM orders) AS changed, (SELECT count(*) FROM supplier) AS added
+        FROM ({STATEMENTS["upsert_customers"]})
+    """,
+    "order_of_parts_per_type": ordered("parts_per_type", "movie_count DESC, category_id", "category_id"),
+    "order_of_top10_suppliers_by_lines": ordered("top10_suppliers_by_lines", "rentals DESC, actor_id", "actor_id"),
+    "order_of_top3_counts_suppliers_promo": ordered("top3_counts_suppliers_promo", "appearances DESC, actor_id", "actor_id"),
+    "order_of_customers_by_nation_balance": ordered("customers_by_nation_balance", "inactive_customers DESC, city_id", "city_id"),
+    "order_of_sort_by_time": ordered(
+        "sort_by_time", "time NULLS LAST, event_id", "event_id",
+        """SELECT event_id, CASE event_type WHEN 'error' THEN NULL WHEN 'click' THEN date_trunc('day', ts)
+           WHEN 'view' THEN date_trunc('second', ts) ELSE ts END AS time FROM events""",
+    ),
+    "order_of_avg_value_per_day": ordered("avg_value_per_day", "day", "day"),
+    "order_of_unique_flags": ordered(
+        "unique_flags", "l_returnflag, l_linestatus, l_linenumber", "l_returnflag, l_linestatus, l_linenumber"
+    ),
+    "order_of_sorted_values": ordered("sorted_values", "p_retailprice", "p_retailprice"),
+    "order_of_bom_explosion_annual": ordered(
+        "bom_explosion_annual", "plant, fin_material_id, prod_material_id, component_id, year",
+        "plant, fin_material_id, prod_material_id, component_id, year",
+    ),
+}

@@ -17,7 +17,7 @@ def line(year, month, made, made_type, release, made_qty, part, part_type, part_
     return (year, month, made, made_type, release, amount(made_qty), part, part_type, part_release, amount(part_qty), plant)
 
 
-def annual_by_hand(data, max_depth=20):
+def annual_by_hand(data, max_depth=None):
     """The annual result straight from its definition, row by row."""
     produced = {r[2] for r in data}
     out = defaultdict(lambda: [Decimal(0), Decimal(0), False, False])
@@ -133,11 +133,13 @@ def test_random(frame, rows, seed):
     assert monthly(frame, rows, data) == monthly_by_hand(data)
 
 
-def test_depth_cap_holds_for_annual_only(frame, rows):
+def test_depth_guard_only_where_asked_for(frame, rows):
     data = [line(2023, 1, 1, 1, "FIN", "1", 2, 1, "PROD", "1")]
     data += [line(2023, 1, i, 1, "PROD", "1", i + 1, 1, "PROD", "1") for i in range(2, 27)]
     data += [line(2023, 1, 27, 1, "PROD", "1", 99, 1, "RM", "1")]
-    assert {k[5] for k in annual(frame, rows, data)} == set(range(2, 22))
+    assert {k[5] for k in annual(frame, rows, data)} == set(range(2, 28))
+    guarded = plan.bom_explosion_annual(frame(BOM, data), plan.GUARD_DEPTH, ordered=False)
+    assert {r.prod_material_id for r in guarded.collect()} == set(range(2, 22))
     assert {k[4] for k in monthly(frame, rows, data)} == set(range(2, 28))
 
 

@@ -90,3 +90,14 @@ def test_process_reviews_leaves_target_on_empty_input(spark, rows, tmp_path):
     assert rows(read_published(spark, out)) == [
         ("r1", "u", 'two\nlines, "quoted" ', 5, None, "2024-01-01 00:00:00")
     ]
+
+
+def test_first_file_of_a_folder(spark, rows, tmp_path):
+    header = "reviewId,userName,content,score,thumbsUpCount,at\n"
+    folder, out = tmp_path / "in", str(tmp_path / "out")
+    folder.mkdir()
+    assert plan.process_folder(spark, str(folder), out) is None
+    for name in ("b", "a"):
+        (folder / f"{name}.csv").write_text(header + f"{name},u,c,5,,2024-01-01 00:00:00\n")
+    assert plan.process_folder(spark, str(folder), out).endswith("/a.csv")
+    assert [r[0] for r in rows(read_published(spark, out))] == ["a"]
