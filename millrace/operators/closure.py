@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from millrace.session import discard, materialise, materialise_counted, scratch_path, shuffles_removed
+from millrace.session import materialise, scratch_path, shuffles_removed
 
 
 def reachable(
@@ -23,39 +23,34 @@ def reachable(
     when a round adds nothing or ``max_depth`` is reached. ``prepared`` says
     that edges and seeds are distinct and the edges stored already.
 
-    The driver only learns each round's row count. Every frontier is written to the
-    shared scratch area, which keeps lineage one round long and gives the planner
-    its real size: small frontiers are broadcast against the edges, large ones
-    shuffled, with a hot node split by the adaptive skew join. What was seen is one
-    table bucketed by its key, to which each round appends, so only new pairs move.
+    The driver only learns each round's row count. What was seen is one stored table,
+    bucketed by its key and partitioned by depth: a round appends its new pairs
+    and the next one reads that partition, so lineage is one round long and only new
+    pairs are moved. The stored frontier's size tells the planner whether to
+    broadcast it against the edges or to shuffle, with a hot node split by
+    the adaptive skew join.
     """
     scope = list(scope or [])
     key = scope + ["root", "node"]
     kept = edges if prepared else materialise(edges.select(*scope, "src", "dst").distinct())
     hops = kept.select(*scope, F.col("src").alias("node"), F.col("dst").alias("__next"))
     first = seeds.select(*key)
-    frontier, added = materialise_counted(first if prepared else first.distinct())
-    seen = _Seen(frontier, key)
+    seen = _Seen(first, key)
     depth = 1
-    seen.add(frontier, depth)
+    added = seen.add(first if prepared else first.distinct(), depth)
     while added and (max_depth is None or depth < max_depth):
         stepped = (
-            frontier.join(hops, scope + ["node"])
+            seen.level(depth).join(hops, scope + ["node"])
             .select(*scope, "root", F.col("__next").alias("node"))
             .distinct()
         )
-        before = frontier
-        frontier, added = materialise_counted(stepped.join(seen.pairs(), key, "left_anti"))
-        discard(before)
         depth += 1
-        if added:
-            seen.add(frontier, depth)
-    discard(frontier)
+        added = seen.add(stepped.join(seen.pairs(), key, "left_anti"), depth)
     return seen.close()
 
 
 class _Seen:
-    """Pairs met so far with their depth, as a table of one bucket per shuffle partition."""
+    """Pairs met so far, as a table of one bucket per shuffle partition and one partition per depth."""
 
     def __init__(self, like: DataFrame, key: list[str]):
         self.spark, self.key = like.sparkSession, key
@@ -64,14 +59,23 @@ class _Seen:
         self.name = "seen_" + self.path.rsplit("/", 1)[1]
         self.buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
 
-    def add(self, level: DataFrame, depth: int) -> None:
-        rows = level.withColumn("depth", F.lit(depth)).repartition(self.buckets, *self.key)
+    def add(self, level: DataFrame, depth: int) -> int:
+        """Store the pairs of one depth; returns their number."""
+        counted = Observation()
+        rows = level.observe(counted, F.count(F.lit(1)).alias("rows")).withColumn("depth", F.lit(depth))
+        placed = rows.repartition(self.buckets, *self.key)
         with shuffles_removed(self.spark):
-            rows.write.bucketBy(self.buckets, *self.key).option("path", self.path).saveAsTable(self.name, mode="append")
+            placed.write.partitionBy("depth").bucketBy(self.buckets, *self.key).option("path", self.path).saveAsTable(
+                self.name, mode="append"
+            )
+        return counted.get["rows"]
 
     def pairs(self) -> DataFrame:
         return self.spark.table(self.name).select(*self.key)
 
+    def level(self, depth: int) -> DataFrame:
+        return self.spark.table(self.name).where(F.col("depth") == depth).select(*self.key)
+
     def close(self) -> DataFrame:
         """The rows, after the name is given up."""
         self.spark.sql(f"DROP TABLE {self.name}")

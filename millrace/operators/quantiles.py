@@ -39,7 +39,7 @@ def percentiles_by(
     rows = df.where(quoted(value).isNotNull()).select(*given, quoted(value).cast("double").alias("__v"))
     totals, values = _values_at_ranks(rows.withColumn("__n", F.lit(1).cast("long")), own, fractions, not keys, task_values)
     by_rank = values.groupBy(*own).agg(F.map_from_entries(F.collect_list(F.struct("__rank", "__value"))).alias("__at"))
-    found = null_safe_join(totals, materialise(by_rank), own)
+    found = null_safe_join(totals, by_rank, own)
     return found.select(
         *[F.col(a).alias(k) for k, a in zip(keys, own)],
         F.array(*[_between(F.col("__at"), _position(f)) for f in fractions]).alias("percentiles"),
@@ -73,7 +73,7 @@ def _values_at_ranks(
             F.sum("__n").alias("__rows"), F.min("__v").alias("__low"), F.max("__v").alias("__high")
         )
         upto = F.sum("__rows").over(Window.partitionBy(*group).orderBy(cell))
-        placed = null_safe_join(wanted, materialise(cells.withColumn("__upto", upto)), group).where(
+        placed = null_safe_join(wanted, cells.withColumn("__upto", upto), group).where(
             (F.col("__rank") - F.col("__below") < F.col("__upto"))
             & (F.col("__rank") - F.col("__below") >= F.col("__upto") - F.col("__rows"))
         )
@@ -83,7 +83,7 @@ def _values_at_ranks(
         wanted = located.where(~single).select(
             *group, cell, "__rank", (F.col("__below") + F.col("__upto") - F.col("__rows")).alias("__below")
         )
-        inside = null_safe_join(celled, materialise(wanted.select(*group, cell).distinct()), group + [cell], "left_semi")
+        inside = null_safe_join(celled, wanted.select(*group, cell).distinct(), group + [cell], "left_semi")
         group.append(cell)
         before, rows = rows, materialise(inside.groupBy(*group, "__v").agg(F.sum("__n").alias("__n")))
         discard(before)
@@ -91,7 +91,7 @@ def _values_at_ranks(
         if largest is None or largest <= task_values:
             break
     upto = F.sum("__n").over(Window.partitionBy(*group).orderBy("__v"))
-    ordered = materialise(rows.withColumn("__upto", upto))
+    ordered = rows.withColumn("__upto", upto)
     ends = null_safe_join(wanted, ordered, group).where(
         (F.col("__rank") - F.col("__below") < F.col("__upto")) & (F.col("__rank") - F.col("__below") >= F.col("__upto") - F.col("__n"))
     )
