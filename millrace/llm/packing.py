@@ -39,7 +39,7 @@ GAP, STEP = 256, 64
 #: Tokens that a task gathers before it packs.
 CHUNK = 1 << 18
 #: Words whose ids a task keeps before it begins anew, and bytes of text that it encodes at once.
-KEPT_WORDS = 800_000
+KEPT_WORDS = 400_000
 BLOCK_BYTES = 8 << 20
 
 SCHEMA = (
@@ -74,9 +74,9 @@ class Encoder:
         for token, i in ranks.items():
             self.sentence_end[i] = token[-1:] in (b".", b"!", b"?") or b"\n" in token
             self.after_space[i] = token[:1] == b" "
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
         """Empty the store: ids of all words end to end, where each word's begin, and their number."""
         self.words: dict[str, int] = {}
         self.flat, self.at, self.size = (np.zeros(0, dtype=t) for t in ("<u4", "i8", "i8"))
@@ -107,7 +107,7 @@ class Encoder:
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, a 0 after each, and where each text's end in them."""
         if len(self.words) > KEPT_WORDS:
-            self._forget()
+            self.forget()
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         texts = pa.concat_arrays([texts])  # without an offset
         offsets = np.frombuffer(texts.buffers()[1], dtype="i8", count=len(texts) + 1)
@@ -318,5 +318,7 @@ def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH) -> DataFrame:
                 if stream.size >= CHUNK:
                     yield from stream.pack(last=False)
         yield from stream.pack(last=True)
+        # The worker lives on, and other stages need its memory.
+        known.forget()
 
     return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
