@@ -59,9 +59,14 @@ def repeats(recall: float = RECALL, sampled: int = SAMPLED, alike: float = ALIKE
     return math.ceil(math.log(1 - recall) / math.log(1 - alike**sampled))
 
 
-def window_size(words: int) -> tuple[int, int]:
-    """Window length and stride for items of so many words; short items are one window, at every word."""
-    return next(((size, stride) for size, stride, least in SIZES if words >= least), (words, 1))
+def window_sizes(words: int) -> list[tuple[int, int]]:
+    """Window lengths and strides for items of so many words; short items are one window, at every word.
+
+    Longer items have the longest length that fits and the shortest one, which more
+    often falls between two edits.
+    """
+    fitting = [(size, stride) for size, stride, least in SIZES if words >= least]
+    return list(dict.fromkeys([fitting[0], fitting[-1]])) if fitting else [(words, 1)]
 
 
 def keys(codes: np.ndarray, starts: np.ndarray, size: int, walk: int) -> np.ndarray:
@@ -104,7 +109,8 @@ class Index:
             words = words_of(text)
             if not words:
                 continue
-            sizes[window_size(len(words))].append(len(self.items))
+            for size in window_sizes(len(words)):
+                sizes[size].append(len(self.items))
             self.ids.append(item_id)
             self.items.append(np.array([known.setdefault(w, len(known) + 1) for w in words], dtype=np.int64))
             self.bounds.append(math.floor((1 - similarity) * len(words) + 1e-9))
@@ -167,6 +173,10 @@ class Index:
             begin = int(ends[text]) - len(coded[text])
             low = max(begin, at - slack)
             part = codes[low : min(int(ends[text]), at + len(self.items[item]) + slack)]
+            # Words that are nowhere in the part are edited in any case.
+            there = set(part.tolist())
+            if sum(word not in there for word in self.items[item].tolist()) > slack:
+                continue
             edits = fit(self.items[item], part)
             if edits <= slack:
                 done.add((text, item))
