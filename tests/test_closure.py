@@ -59,8 +59,3 @@ def test_no_seeds(frame, rows):
 def test_long_chain(frame, rows, depth, count):
     edges = [(i, i + 1) for i in range(1, 25)]
     assert len(run(frame, rows, edges, [(0, 1)], depth)) == count
-
-
-def test_chain_of_many_rounds(frame, rows):
-    edges = [(i, i + 1) for i in range(1, 61)] + [(60, 1)]
-    assert len(run(frame, rows, edges, [(0, 1)])) == 61
