@@ -19,7 +19,7 @@ from millrace.functions.text import quoted
 from millrace.operators.matching import null_safe_join
 from millrace.session import discard, materialise
 
-#: Cells into which a round cuts a group.
+#: Cells into which a round cuts a group, a power of two.
 CELLS = 64
 #: Distinct values of a cell that a task sorts.
 TASK_VALUES = 1 << 20
@@ -68,7 +68,7 @@ def _values_at_ranks(
             gridded = rows.withColumn("__grid", grids.select("__grid").scalar())
         else:
             gridded = null_safe_join(rows, grids.drop("__total"), group)
-        celled = gridded.withColumn(cell, F.size(F.filter("__grid", lambda g: g <= F.col("__v")))).drop("__grid")
+        celled = _with_cell(gridded, cell).drop("__grid")
         cells = celled.groupBy(*group, cell).agg(
             F.sum("__n").alias("__rows"), F.min("__v").alias("__low"), F.max("__v").alias("__high")
         )
@@ -99,6 +99,16 @@ def _values_at_ranks(
     return totals, reduce(DataFrame.unionByName, found)
 
 
+def _with_cell(rows: DataFrame, cell: str) -> DataFrame:
+    """``cell``: how many of the sorted splitters in ``__grid`` a row's value reaches, by binary search."""
+    rows, step = rows.withColumn(cell, F.lit(0)), CELLS // 2
+    while step:
+        reached = F.get("__grid", F.col(cell) + F.lit(step - 1)) <= F.col("__v")
+        rows = rows.withColumn(cell, F.col(cell) + F.when(reached, F.lit(step)).otherwise(F.lit(0)))
+        step //= 2
+    return rows
+
+
 def _position(fraction: float) -> Column:
     return F.lit(float(fraction)) * (F.col("__total") - F.lit(1)).cast("double")
 
