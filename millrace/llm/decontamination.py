@@ -6,14 +6,15 @@ bit of the step and the word; strings a few edits apart fall into step again, so
 their embeddings differ in few places. Sampling some places gives a key, and
 several walks with keys of their own give the wanted recall. A document's windows
 are taken at a stride and an item's at every word, so that an unedited stretch
-of an item always has a window in step with one of the document. Where keys meet,
-the exact edit distance between the whole item and the best-fitting part of the
-document decides.
+of an item always has a window in step with one of the document. Within the edit
+bound a run of up to four of an item's words stays whole, and equal windows walk alike
+by any walk, so windows as long as that run, taken at every word of item and document,
+find every passage within the bound. Where keys meet, the exact edit distance between
+the whole item and the best-fitting part of the document decides.
 
 The items are a stated query set: they are sent to the tasks in blocks of a
 bounded size, and each block reads the documents once, without a shuffle. Words
-that no item of a block has are one symbol, so that edited passages, not exact
-ones, may meet in one division into blocks and miss in another.
+that no item of a block has are one symbol, which moves a walk like any other.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ import math
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import reduce
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -40,6 +42,10 @@ BLOCK_BYTES = 4 << 20
 BATCH_WORDS = 1 << 21
 #: Window length, stride between a document's windows, and fewest words of items of this size.
 SIZES = ((32, 9, 40), (16, 5, 20), (8, 3, 10))
+#: Most words of the windows that find all within the bound.
+RUN_WORDS = 4
+#: Codes: after a window's end, and words that no item has. Words of items follow.
+PAD, FOREIGN = 0, 1
 
 SCHEMA = "doc_id long, item_id long, edits long, item_words long, first_word long"
 
@@ -60,26 +66,34 @@ def repeats(recall: float = RECALL, sampled: int = SAMPLED, alike: float = ALIKE
 
 
 def window_sizes(words: int) -> list[tuple[int, int]]:
-    """Window lengths and strides for items of so many words; short items are one window, at every word.
+    """Lengths and strides of the sampled windows for items of so many words, none for short items.
 
-    Longer items have the longest length that fits and the shortest one, which more
+    Items have the longest length that fits and the shortest one, which more
     often falls between two edits.
     """
     fitting = [(size, stride) for size, stride, least in SIZES if words >= least]
-    return list(dict.fromkeys([fitting[0], fitting[-1]])) if fitting else [(words, 1)]
+    return list(dict.fromkeys([fitting[0], fitting[-1]])) if fitting else []
+
+
+def run_words(words: int, edits: int) -> int:
+    """Words of a run that so many edits leave whole in an item of so many words, ``RUN_WORDS`` at most.
+
+    Edits touch as many words at most and part the others into ``edits + 1`` runs.
+    """
+    return max(1, min(RUN_WORDS, -(-(words - edits) // (edits + 1))))
 
 
 def keys(codes: np.ndarray, starts: np.ndarray, size: int, walk: int) -> np.ndarray:
-    """Key of each window of ``codes`` by walk number ``walk``. Words count as code 0 after a window's end."""
+    """Key of each window of ``codes`` by walk number ``walk``. Words count as ``PAD`` after a window's end."""
     rng = np.random.default_rng([size, walk])
     steps = 2 * size
     sampled = set(rng.choice(steps, min(SAMPLED, steps), replace=False).tolist())
     odd = rng.integers(1, 1 << 63, steps, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     at, last = starts.copy(), starts + size
     key = np.zeros(len(starts), dtype=np.uint64)
-    padded = np.append(codes, 0).astype(np.uint64)
+    padded = np.append(codes, PAD).astype(np.uint64)
     for step in range(max(sampled) + 1):
-        symbol = np.where(at < last, padded[np.minimum(at, len(codes))], 0).astype(np.uint64)
+        symbol = np.where(at < last, padded[np.minimum(at, len(codes))], PAD).astype(np.uint64)
         if step in sampled:
             key = (key ^ symbol) * np.uint64(0x9E3779B97F4A7C15)
             key ^= key >> np.uint64(29)
@@ -87,15 +101,20 @@ def keys(codes: np.ndarray, starts: np.ndarray, size: int, walk: int) -> np.ndar
     return key
 
 
-def fit(item: np.ndarray, text: np.ndarray) -> int:
-    """Least number of word edits between ``item`` and any part of ``text``."""
+def fits(item: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """Least numbers of word edits between ``item`` and the parts of ``text`` that end before each place."""
     place = np.arange(len(text) + 1)
     row = np.zeros(len(text) + 1, dtype=np.int64)
     for word in item:
         above = np.minimum(row[1:] + 1, row[:-1] + (text != word))
         new = np.concatenate([[row[0] + 1], above])
         row = np.minimum.accumulate(new - place) + place
-    return int(row.min())
+    return row
+
+
+def fit(item: np.ndarray, text: np.ndarray) -> int:
+    """Least number of word edits between ``item`` and any part of ``text``."""
+    return int(fits(item, text).min())
 
 
 class Index:
@@ -104,7 +123,7 @@ class Index:
     def __init__(self, items: list[tuple[int | None, str | None]], similarity: float = SIMILARITY, recall: float = RECALL):
         known: dict[bytes, int] = {}
         self.ids, self.items, self.bounds = [], [], []
-        sizes = defaultdict(list)
+        sizes, runs = defaultdict(list), defaultdict(list)
         for item_id, text in items:
             words = words_of(text)
             if not words:
@@ -112,16 +131,18 @@ class Index:
             for size in window_sizes(len(words)):
                 sizes[size].append(len(self.items))
             self.ids.append(item_id)
-            self.items.append(np.array([known.setdefault(w, len(known) + 1) for w in words], dtype=np.int64))
+            self.items.append(np.array([known.setdefault(w, len(known) + FOREIGN + 1) for w in words], dtype=np.int64))
             self.bounds.append(math.floor((1 - similarity) * len(words) + 1e-9))
+            runs[run_words(len(words), self.bounds[-1]), 1].append(len(self.items) - 1)
         self.known, self.similarity, self.tables = known, similarity, []
         codes = np.concatenate([*self.items, np.zeros(0, dtype=np.int64)])
         begin = np.cumsum([0] + [len(i) for i in self.items])
-        for (size, stride), members in sizes.items():
+        groups = [(*k, m, repeats(recall)) for k, m in sizes.items()] + [(*k, m, 1) for k, m in runs.items()]
+        for size, stride, members, walks in groups:
             starts = [np.arange(begin[m], begin[m + 1] - size + 1) for m in members]
             item = np.repeat(members, [len(s) for s in starts])
             starts = np.concatenate(starts)
-            for walk in range(repeats(recall)):
+            for walk in range(walks):
                 key = keys(codes, starts, size, walk)
                 order = np.argsort(key, kind="stable")
                 self.tables.append((size, stride, walk, key[order], item[order], (starts - begin[item])[order]))
@@ -135,7 +156,7 @@ class Index:
         coded, first = [], 0
         waiting = 0
         for i, text in enumerate(texts):
-            coded.append(np.array([get(w, 0) for w in words_of(text)], dtype=np.int64))
+            coded.append(np.array([get(w, FOREIGN) for w in words_of(text)], dtype=np.int64))
             waiting += len(coded[-1])
             if waiting >= BATCH_WORDS or i == len(texts) - 1:
                 yield from self._near(coded, first)
@@ -144,7 +165,7 @@ class Index:
     def _near(self, coded: list[np.ndarray], first: int) -> Iterator[tuple[int, int, int, int]]:
         codes = np.concatenate(coded)
         ends = np.cumsum([len(c) for c in coded])
-        heard = np.concatenate([[0], np.cumsum(codes > 0)])
+        heard = np.concatenate([[0], np.cumsum(codes > FOREIGN)])
         found = set()
         starts_by_size: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for size, stride, walk, key, item, offset in self.tables:
@@ -165,22 +186,32 @@ class Index:
             entry = np.repeat(low[hit] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
             window = np.repeat(hit, counts)
             found.update(zip(text[window].tolist(), item[entry].tolist(), (starts[window] - offset[entry]).tolist()))
-        done = set()
-        for text, item, at in sorted(found):
-            if (text, item) in done:
-                continue
-            slack = self.bounds[item]
-            begin = int(ends[text]) - len(coded[text])
-            low = max(begin, at - slack)
-            part = codes[low : min(int(ends[text]), at + len(self.items[item]) + slack)]
+        for (text, item), places in groupby(sorted(found), key=lambda f: f[:2]):
+            best = self._best(coded[text], item, [at - int(ends[text]) + len(coded[text]) for *_, at in places])
+            if best:
+                yield first + text, item, *best
+
+    def _best(self, text: np.ndarray, item: int, places: list[int]) -> tuple[int, int] | None:
+        """Fewest edits between an item and the text near to ``places``, if within the bound, and about where."""
+        words, slack = self.items[item], self.bounds[item]
+        best = None
+        while places:
+            low = max(0, places[0] - slack)
+            # Parts that overlap are one.
+            near = 1
+            while near < len(places) and places[near] - places[near - 1] <= len(words) + 2 * slack:
+                near += 1
+            part = text[low : places[near - 1] + len(words) + slack]
+            places = places[near:]
             # Words that are nowhere in the part are edited in any case.
             there = set(part.tolist())
-            if sum(word not in there for word in self.items[item].tolist()) > slack:
+            if sum(word not in there for word in words.tolist()) > slack:
                 continue
-            edits = fit(self.items[item], part)
-            if edits <= slack:
-                done.add((text, item))
-                yield first + text, item, edits, max(0, at - begin)
+            edits = fits(words, part)
+            end = int(edits.argmin())
+            if edits[end] <= slack and (best is None or edits[end] < best[0]):
+                best = int(edits[end]), max(0, low + end - len(words))
+        return best
 
 
 def indexes(benchmark: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL) -> Iterator[Index]:
@@ -197,9 +228,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     """Pairs of document and item: ``doc_id, item_id, edits, item_words, first_word``.
 
     A pair is found if some part of the document is within ``edits`` word edits of the
-    whole item, at most ``1 - similarity`` of the item's words; ``recall`` is the
-    chance for windows that agree in four fifths of places, and exact passages are
-    always found. Null and empty texts match nothing. Ids may be null or repeat:
+    whole item, at most ``1 - similarity`` of the item's words. All such pairs are found by
+    their unedited runs; ``recall`` is the chance for the sampled windows that agree in four
+    fifths of places. Null and empty texts match nothing. Ids may be null or repeat:
     each row of either table counts. Further columns are not read.
     """
     context = docs.sparkSession.sparkContext

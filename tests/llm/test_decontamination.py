@@ -97,3 +97,26 @@ def test_repeated_rows_and_no_rows(spark, frame):
     assert D.contaminated(none, benchmark).count() == 0 and D.without_contaminated(none, benchmark).count() == 0
     assert D.contaminated(docs, frame(ITEMS, [])).count() == 0
     assert D.without_contaminated(docs, frame(ITEMS, [])).count() == 3
+
+
+@pytest.mark.parametrize("n", [5, 6, 7, 9, 10, 11, 15, 19, 20, 24, 40, 60, 100])
+def test_all_within_the_bound_with_foreign_words(n):
+    rng = random.Random(n)
+    items = [(i, [f"i{rng.randrange(400)}" for _ in range(n)]) for i in range(40)]
+    index = D.Index([(i, " ".join(words)) for i, words in items])
+    texts = []
+    for _, words in items:
+        passage = list(words)
+        for at in sorted(rng.sample(range(n), n // 5), reverse=True):
+            edit = rng.choice(["swap", "drop", "add"])
+            passage[at : at + (edit != "add")] = [] if edit == "drop" else [f"f{rng.randrange(10**6)}"]
+        around = [[f"f{rng.randrange(10**6)}" for _ in range(rng.randint(0, 50))] for _ in range(2)]
+        texts.append(" ".join(around[0] + passage + around[1]))
+    got = {(t, i) for t, i, *_ in index.matches(texts)}
+    assert {(i, i) for i, _ in items} <= got
+
+
+def test_fewest_edits_of_all_places():
+    item = "one two three four five six seven eight nine ten"
+    text = f"{item.replace('five', 'x')} {'y ' * 40} {item} {'y ' * 40} {item.replace('two', 'x')}"
+    assert list(D.Index([(3, item)]).matches([text])) == [(0, 0, 0, 50)]
