@@ -10,7 +10,7 @@ labels that it names and for whether it can be met by permissive licences alone.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from typing import NamedTuple
 
@@ -103,7 +103,15 @@ def postfix(tokens: list[str]) -> list[str]:
 
 def evaluate(order: list[str]) -> Expression:
     """Value of an expression in postfix order. An exception is no licence: it only leaves its own as it is."""
-    values: list[Expression | str] = []
+    values: list[str | bool] = []  # an identifier, or whether permissive licences meet what is evaluated
+    labels: set[str] = set()
+
+    def met(value: str | bool) -> bool:
+        if isinstance(value, str):
+            labels.add(value)
+            return value.startswith(PERMISSIVE)
+        return value
+
     for token in order:
         if token not in BINDING:
             values.append(token)
@@ -112,34 +120,63 @@ def evaluate(order: list[str]) -> Expression:
         if token == "with":
             if not isinstance(left, str) or not isinstance(right, str):
                 raise ValueError("an exception follows an identifier")
-            one = _licence(left)
-            values.append(Expression(one.labels | {f"{left}-with-{right}"}, one.permissive))
+            labels.add(f"{left}-with-{right}")
+            values.append(met(left))
             continue
-        a, b = (_licence(v) if isinstance(v, str) else v for v in (left, right))
-        both = a.permissive and b.permissive if token == "and" else a.permissive or b.permissive
-        values.append(Expression(a.labels | b.labels, both))
+        a, b = met(left), met(right)
+        values.append(a and b if token == "and" else a or b)
     (value,) = values
-    return _licence(value) if isinstance(value, str) else value
+    permissive = met(value)
+    return Expression(frozenset(labels), permissive)
 
 
-def _licence(name: str) -> Expression:
-    return Expression(frozenset([name]), name.startswith(PERMISSIVE))
+def expression_tokens(tokens: Iterable[str]) -> list[str]:
+    """The longest beginning of ``tokens`` that is an expression, in one pass; empty if there is none."""
+    read, complete = [], 0
+    operand = True  # an identifier or a bracket is to come
+    # Of the innermost open bracket: whether it has no operator so far, whether ``with`` waits
+    # for its exception, and whether the last operand is an identifier alone.
+    single, attached, plain = True, False, False
+    around = []
+    for token in tokens:
+        if token == "(":
+            if not operand:
+                break
+            around.append((single, attached))
+            single, attached = True, False
+        elif token in BINDING:
+            if operand or token == "with" and not plain:
+                break
+            single, attached, operand = False, token == "with", True
+        else:
+            if token == ")":
+                if operand or not around:
+                    break
+                plain = single and plain
+                single, attached = around.pop()
+            elif operand:
+                plain = True
+            else:
+                break
+            operand = False
+            if attached:
+                if not plain:
+                    break
+                attached = plain = False
+        read.append(token)
+        if not operand and not around:
+            complete = len(read)
+    return read[:complete]
 
 
-def read_expression(line: str) -> tuple[Expression | None, bool]:
-    """The longest expression at the beginning of ``line`` (lower case), and whether the line had none.
+def read_expression(text: str, start: int = 0, stop: int | None = None) -> tuple[Expression | None, bool]:
+    """The longest expression at the beginning of ``text[start:stop]`` (lower case), and whether there is none.
 
     Prose may follow an expression, so tokens are taken as long as they make one.
     """
-    tokens = []
-    for token in _TOKEN.finditer(line):
-        tokens.append(token[0].rstrip(".:-") or token[0])
-    for stop in range(min(len(tokens), 200), 0, -1):
-        try:
-            return evaluate(postfix(tokens[:stop])), False
-        except ValueError:
-            continue
-    return None, True
+    found = _TOKEN.finditer(text, start, len(text) if stop is None else stop)
+    tokens = expression_tokens(token[0].rstrip(".:-") or token[0] for token in found)
+    return (evaluate(postfix(tokens)), False) if tokens else (None, True)
 
 
 @lru_cache(maxsize=1)
@@ -185,9 +222,12 @@ def scan_text(text: str | None) -> tuple:
     expressions = broken = 0
     permissive = None
     lowered = data.lower().decode("utf-8", "surrogatepass")
+    stop = -1
     for end, _ in _tags().iter(lowered):
-        stop = lowered.find("\n", end)
-        value, none = read_expression(lowered[end + 1 : stop if stop >= 0 else len(lowered)][:4000])
+        if stop < end:
+            stop = lowered.find("\n", end)
+            stop = stop if stop >= 0 else len(lowered)
+        value, none = read_expression(lowered, end + 1, stop)
         if none:
             broken += 1
             continue

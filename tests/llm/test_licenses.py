@@ -75,3 +75,29 @@ def test_rows(spark, frame):
     tagged = by_id[None]
     assert (tagged.labels, tagged.n_expressions, tagged.n_broken, tagged.permissive) == ("gpl-2.0-only,mit,zlib", 1, 1, True)
     assert L.scan(frame(SCHEMA, [])).count() == 0
+
+
+@pytest.mark.parametrize("n", [150, 3000, 50_000])
+@pytest.mark.parametrize("marks", ["", "()"])
+def test_long_expressions(n, marks):
+    names = [f"licence-{i}.0" for i in range(n)]
+    line = marks[:1] + " OR ".join(names) + marks[1:]
+    got = L.scan_text(f"x\n// SPDX-License-Identifier: {line} is what holds\nmit")
+    assert set(got[5].split(",")) == set(names) and got[7:] == (1, 0, False)
+
+
+def test_longest_expression_against_every_prefix():
+    rng = random.Random(5)
+    found = 0
+    for _ in range(20_000):
+        tokens = [rng.choice(["(", ")", "or", "and", "with", "mit", "gpl", "x", "x"]) for _ in range(rng.randint(1, 12))]
+        want = None, True
+        for stop in range(len(tokens), 0, -1):
+            try:
+                want = L.evaluate(L.postfix(tokens[:stop])), False
+                break
+            except ValueError:
+                continue
+        found += not want[1] and len(tokens) > stop > 3
+        assert L.read_expression(" ".join(tokens)) == want, tokens
+    assert found > 100
