@@ -43,7 +43,7 @@ def op4_licenses(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op5_extraction(spark: SparkSession, sf: str) -> DataFrame:
-    return extraction.extract(table(spark, sf, "pages"))
+    return extraction.main_text(table(spark, sf, "pages"))
 
 
 def op6_packing(spark: SparkSession, sf: str) -> DataFrame:
