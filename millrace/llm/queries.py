@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import alignment, decontamination, digest, extraction, language, licenses, packing, quality, secrets, simhash, urls
+from millrace.llm import alignment, decontamination, digest, extraction, language, licenses, minhash, packing, quality, secrets, simhash, urls
 from millrace.llm.statements import SECRET_SPANS, URL_VERDICTS
 
 
@@ -80,11 +80,15 @@ def op10_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits("fp").alias("fingerprint"), "component_id")
 
 
+def op12_minhash(spark: SparkSession, sf: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf, "documents"))
+
+
 def op13_alignment(spark: SparkSession, sf: str) -> DataFrame:
     paths = (public_tokenizers.path(name) for name in (VOCABULARY, PIECE_MODEL))
     return alignment.align(table(spark, sf, "documents"), *paths)
 
 
-QUERIES = {q.__name__: q for q in (op1_quality, op2_urls, op3_language, op4_licenses, op5_extraction, op6_packing, op7_secrets, op8_digest, op9_decontamination, op10_simhash, op13_alignment)}
+QUERIES = {q.__name__: q for q in (op1_quality, op2_urls, op3_language, op4_licenses, op5_extraction, op6_packing, op7_secrets, op8_digest, op9_decontamination, op10_simhash, op12_minhash, op13_alignment)}
 
 ORACLE_SQL: dict[str, str] = {"op2_urls": URL_VERDICTS, "op7_secrets": SECRET_SPANS}
