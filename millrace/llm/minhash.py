@@ -4,13 +4,16 @@ Every distinct shingle set gets a signature. Sets that share a band of it meet i
 There, tasks compare signatures batch by batch: after each batch a pair goes if the posterior
 chance that its similarity reaches the bound (uniform prior, so the tail of a binomial
 distribution) is below the chosen chance of a miss. What survives all batches is verified on
-full sets.
+full sets, in the same task, the most alike first, unless links found before connect it already;
+so a task returns links that connect its members and no other pairs. A pair is looked at in the
+bucket of the first band that both share only.
 
-A group of near-copies has quadratically many links, but few of them connect it. So the first round
-verifies a few surviving pairs a member; the second one takes all surviving pairs whose ends
-the first has not connected, hence no link is lost between components. Buckets are dealt in
-blocks. In the first round a bucket's pivots, a sample, go to all its blocks to connect them; in the second one
-the members outside the bucket's largest component meet every block, as others are connected.
+A bucket is dealt in blocks. In the first round a bucket's pivots, a sample, go to all its blocks
+to connect them. The second round takes buckets of several blocks that are not connected yet:
+the members outside the largest component meet every block. Then all pairs of members of different
+components have met, hence no link is lost between components.
+
+Full sets are formed again from the texts, for members of buckets only.
 """
 
 from __future__ import annotations
@@ -34,19 +37,18 @@ SHINGLE_WORDS = 2
 PERCENT = 80
 #: Sets at the bound share none of 40 bands of 5 hashes in one of ten million cases.
 BANDS, BAND_HASHES = 40, 5
-HASHES = BANDS * BAND_HASHES
+#: Signatures have more hashes than bands use; a byte of each is kept to compare them.
+HASHES = 320
 #: Chance at which a pair is given up after a batch of so many hashes.
 MISS = 1e-7
 BATCH = 40
 #: Members of a bucket that meet in one block, on average, and the pivots that all its blocks have.
 BLOCK, PIVOTS = 512, 16
-#: Surviving partners that the first round takes per member: the most alike, and the most alike pivots.
-ALIKE, ALIKE_PIVOTS = 3, 2
-#: Bytes of text hashed at once, and rows compared at once.
+#: Bytes of text hashed at once; rows and bytes of sets compared at once, if no block has more.
 TEXT_BYTES = 1 << 21
-ROWS = 8192
+ROWS, SET_BYTES = 4096, 32 << 20
 
-_SETS = "place long, doc_id long, n long, d1 long, d2 long, keys array<long>, sketch binary, hashes binary"
+_SETS = "place long, doc_id long, t long, n long, d1 long, d2 long, keys array<long>, sketch binary"
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -118,7 +120,7 @@ def signatures(digests: np.ndarray, begins: np.ndarray) -> np.ndarray:
 
 def band_keys(signature: np.ndarray) -> np.ndarray:
     """A digest of each band and its number."""
-    bands = signature.reshape(len(signature), BANDS, BAND_HASHES)
+    bands = signature[:, : BANDS * BAND_HASHES].reshape(len(signature), BANDS, BAND_HASHES)
     key = np.broadcast_to(np.arange(BANDS, dtype="u8"), bands.shape[:2])
     for i in range(BAND_HASHES):
         key = _mix(key * np.uint64(0x9E3779B97F4A7C15) + bands[:, :, i])
@@ -149,16 +151,17 @@ def _hashed(words: int):
                 signature = signatures(digests, at[:-1][filled])
                 keys = np.zeros((len(n), BANDS), dtype="i8")
                 keys[filled] = band_keys(signature).view("i8")
-                sketch = np.zeros((len(n), HASHES), dtype="u2")
-                sketch[filled] = signature & 0xFFFF
+                sketch = np.zeros((len(n), HASHES), dtype="u1")
+                sketch[filled] = signature & 0xFF
                 blobs = [digests[i:j].tobytes() for i, j in zip(at[:-1], at[1:])]
                 whole = np.array([divmod(xxhash.xxh128_intdigest(b), 1 << 64) for b in blobs], dtype="u8").reshape(-1, 2).view("i8")
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(place + np.arange(len(n))), batch.column(0).slice(first, stop - first).cast(pa.int64()), pa.array(n),
+                        pa.array(place + np.arange(len(n))), batch.column(0).slice(first, stop - first).cast(pa.int64()),
+                        batch.column(2).slice(first, stop - first), pa.array(n),
                         pa.array(whole[:, 0]), pa.array(whole[:, 1]),
                         pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1) * BANDS, pa.int32()), pa.array(keys.ravel())),
-                        pa.array([s.tobytes() for s in sketch], pa.binary()), pa.array(blobs, pa.binary()),
+                        pa.array([s.tobytes() for s in sketch], pa.binary()),
                     ],
                     names=[c.split()[0] for c in _SETS.split(", ")],
                 )
@@ -167,6 +170,21 @@ def _hashed(words: int):
     return run
 
 
+def _formed(words: int):
+    """Function from nodes and texts to nodes and whole sets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, stop in _slices(batch.column(1)):
+                digests, at = shingle_sets(batch.column(1).slice(first, stop - first), words)
+                blobs = [digests[i:j].tobytes() for i, j in zip(at[:-1], at[1:])]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(first, stop - first), pa.array(blobs, pa.binary())], names=["node", "hashes"]
+                )
+
+    return run
+
+
 @lru_cache(maxsize=8)
 def least_agreements(percent: int, miss: float = MISS) -> list[int]:
     """Per batch the hashes that must agree so far for a pair to stay.
@@ -196,105 +214,107 @@ def surviving(sketch: np.ndarray, n: np.ndarray, i: np.ndarray, j: np.ndarray, p
     return i, j, agreed
 
 
-def _first_partners(i, j, agreed, pivot):
-    """Of each row's surviving partners the first, the most alike, and the most alike pivots."""
-    row, partner, agreed = np.concatenate([i, j]), np.concatenate([j, i]), np.concatenate([agreed, agreed])
-    chosen = np.zeros(len(row), dtype=bool)
-    for order, among, most in (
-        (np.lexsort((partner, row)), np.ones(len(row), dtype=bool), 1),
-        (np.lexsort((partner, -agreed, row)), np.ones(len(row), dtype=bool), ALIKE),
-        (np.lexsort((partner, -agreed, row)), pivot[partner], ALIKE_PIVOTS),
-    ):
-        order = order[among[order]]
-        begins = np.flatnonzero(np.diff(row[order], prepend=-1))
-        rank = np.arange(len(order)) - np.repeat(begins, np.diff(np.append(begins, len(order))))
-        chosen[order[rank < most]] = True
-    return row[chosen], partner[chosen]
+def _connecting(tile, i, j, agreed, node, root, sets, percent: int) -> list[tuple[int, int]]:
+    """Links, verified on whole sets, that connect what the survivors ``i, j`` connect."""
+    leads: dict[tuple[int, int], tuple[int, int]] = {}
+
+    def lead(x: tuple[int, int]) -> tuple[int, int]:
+        while (y := leads.get(x, x)) != x:
+            leads[x] = x = leads.get(y, y)
+        return x
 
+    links = []
+    order = np.lexsort((j, i, -agreed))
+    for x, y in zip(i[order].tolist(), j[order].tolist()):
+        one, other = lead((tile[x], root[x])), lead((tile[y], root[y]))
+        if one == other:
+            continue
+        a, b = (np.frombuffer(sets[z], dtype="u8") for z in (x, y))
+        both = len(np.intersect1d(a, b, assume_unique=True))
+        if 100 * both >= percent * (len(a) + len(b) - both):
+            leads[max(one, other)] = min(one, other)
+            links.append((node[x], node[y]))
+    return links
 
-def _compared(percent: int, miss: float, first_round: bool):
-    """Function from rows sorted by tile to pairs of nodes that survive.
 
-    In the first round ``side`` marks pivots, and each row takes a few partners. In the second one all
-    survivors are taken that have one row on each side and differ in ``root``.
+def _met(percent: int, miss: float):
+    """Function from rows sorted by tile to links between rows that differ in ``root``.
+
+    ``side`` is null where all rows of a tile meet; else those on different sides do.
     """
 
-    def pairs(rows: pa.Table) -> pa.RecordBatch:
-        tile, side, n, node, root = (rows[c].to_numpy() for c in ("tile", "side", "n", "node", "root"))
-        sketch = np.frombuffer(b"".join(rows["sketch"].to_pylist()), dtype="u2").reshape(-1, HASHES)
+    def linked(rows: pa.Table) -> pa.RecordBatch:
+        tile, band, n, node, root = (rows[c].to_numpy() for c in ("tile", "band", "n", "node", "root"))
+        side = pc.fill_null(rows["side"], -1).to_numpy()
+        sketch = np.frombuffer(b"".join(rows["sketch"].to_pylist()), dtype="u1").reshape(-1, HASHES)
+        keys = rows["keys"].combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
         found = [(np.zeros(0, "i8"),) * 3]
         i, step = np.arange(len(tile) - 1), 1
         while len(i):
-            j = i + step
-            wanted = node[i] != node[j]
-            if not first_round:
-                wanted &= (side[i] != side[j]) & (root[i] != root[j])
-            found.append(surviving(sketch, n, i[wanted], j[wanted], percent, miss))
-            step += 1
             i = i[i + step < len(tile)]
             i = i[tile[i] == tile[i + step]]
+            j = i + step
+            meet = (root[i] != root[j]) & ((side[i] < 0) | (side[i] != side[j]))
+            x, y, agreed = surviving(sketch, n, i[meet], j[meet], percent, miss)
+            first = np.argmax(keys[x] == keys[y], axis=1) == band[x] if len(x) else np.zeros(0, dtype=bool)
+            found.append((x[first], y[first], agreed[first]))
+            step += 1
         i, j, agreed = map(np.concatenate, zip(*found))
-        if first_round:
-            i, j = _first_partners(i, j, agreed, side == 1)
-        ends = np.unique(np.sort(np.stack([node[i], node[j]], axis=1), axis=1), axis=0)
-        return pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], names=["a", "b"])
+        sets = [s.as_buffer() for s in rows["hashes"].combine_chunks()] if len(i) else []
+        links = _connecting(tile.tolist(), i, j, agreed, node.tolist(), root.tolist(), sets, percent)
+        return pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for batch in batches:
-            held.append(batch)
-            size += len(batch)
-            if size < ROWS:
-                continue
-            rows = pa.Table.from_batches(held)
-            tile = rows["tile"].to_numpy()
-            stop = int(np.searchsorted(np.cumsum(np.diff(tile, prepend=tile[0]) != 0), np.count_nonzero(np.diff(tile))))
-            if stop:  # the last tile may go on
-                yield pairs(rows.slice(0, stop))
-            held, size = rows.slice(stop).to_batches(), size - stop
+        held, size, weight = [], 0, 0
+        for whole in batches:
+            for at in range(0, len(whole), 512):
+                batch = whole.slice(at, 512)
+                held.append(batch)
+                size += len(batch)
+                weight += 8 * pc.sum(batch.column("n")).as_py()
+                if size < ROWS and weight < SET_BYTES:
+                    continue
+                rows = pa.Table.from_batches(held)
+                begins = np.flatnonzero(np.diff(rows["tile"].to_numpy()))
+                if len(begins):  # the last tile may go on
+                    stop = int(begins[-1]) + 1
+                    yield linked(rows.slice(0, stop))
+                    rows = rows.slice(stop)
+                    held, size, weight = rows.to_batches(), len(rows), 8 * pc.sum(rows["n"]).as_py()
         if size:
-            yield pairs(pa.Table.from_batches(held))
+            yield linked(pa.Table.from_batches(held))
 
     return run
 
 
-def _survivors(members: DataFrame, sets: DataFrame, percent: int, miss: float, first_round: bool) -> DataFrame:
-    """Distinct pairs from ``members`` (``tile, side, node, root``)."""
-    sketched = members.join(sets.select(F.col("place").alias("node"), "n", "sketch"), "node")
-    dealt = sketched.select("tile", "side", "n", "node", "root", "sketch").repartition("tile").sortWithinPartitions("tile", "side", "node")
-    return materialise(dealt.mapInArrow(_compared(percent, miss, first_round), "a long, b long").distinct())
-
+def _whole_sets(docs: DataFrame, classes: DataFrame, members: DataFrame, words: int) -> DataFrame:
+    """``node, hashes`` of all members of buckets, from the texts."""
+    nodes = materialise(members.select("node").distinct())
+    wanted = materialise(classes.join(nodes, "node", "left_semi").select("node", F.col("first").alias("__id"), F.col("t").alias("__t")))
+    same = (F.col("t") == F.col("__t")) & F.col("doc_id").eqNullSafe(F.col("__id"))
+    texts = docs.join(wanted, same).select("node", "text").dropDuplicates(["node"])
+    formed = materialise(texts.mapInArrow(_formed(words), "node long, hashes binary"))
+    discard(nodes, wanted)
+    return formed
 
-def _verified(percent: int):
-    """Function from pairs with both sets to those that reach the bound."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            linked = []
-            for left, right in zip(batch.column(2), batch.column(3)):
-                x, y = (np.frombuffer(side.as_buffer(), dtype="u8") for side in (left, right))
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                linked.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(linked, pa.bool_()))
-
-    return run
-
-
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``a, b`` whose full sets reach the bound."""
-    left, right = (sets.select(F.col("place").alias(c), F.col("hashes").alias(f"set_{c}")) for c in ("a", "b"))
-    whole = pairs.join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b")
-    return materialise(whole.mapInArrow(_verified(percent), "a long, b long"))
+def _links(tiles: DataFrame, sets: DataFrame, whole: DataFrame, percent: int, miss: float) -> DataFrame:
+    """Links ``a, b`` from ``tiles`` (``tile, band, side, node, root``)."""
+    own = sets.select(F.col("place").alias("node"), "n", "sketch", "keys").join(whole, "node")
+    rows = tiles.join(own, "node").select("tile", "band", "side", "n", "node", "root", "sketch", "keys", "hashes")
+    dealt = rows.repartition("tile").sortWithinPartitions("tile", "node")
+    return materialise(dealt.mapInArrow(_met(percent, miss), "a long, b long"))
 
 
 def _bucket_members(sets: DataFrame, classes: DataFrame) -> DataFrame:
-    """``bucket, m, node`` of buckets of two or more; of buckets with the same members one stays."""
+    """``bucket, band, m, node`` of buckets of two or more; of buckets with the same members the first band's stays."""
     own = sets.select(F.col("place").alias("node"), "keys").join(classes.select("node"), "node", "left_semi")
-    banded = own.select("node", F.explode("keys").alias("bucket"))
+    banded = own.select("node", F.posexplode("keys").alias("band", "bucket"))
     sums = [F.bit_xor(F.xxhash64("node", F.lit(i))).alias(f"x{i}") for i in (0, 1)]
-    sizes = banded.groupBy("bucket").agg(F.count("*").alias("m"), F.min("node").alias("least"), *sums).where("m > 1")
-    buckets = materialise(sizes.groupBy("m", "least", "x0", "x1").agg(F.min("bucket").alias("bucket")).select("bucket", "m"))
-    return materialise(banded.join(buckets, "bucket"))
+    sizes = banded.groupBy("bucket").agg(F.count("*").alias("m"), F.min("node").alias("least"), F.min("band").alias("band"), *sums)
+    first = F.min(F.struct("band", "bucket")).alias("first")
+    buckets = sizes.where("m > 1").groupBy("m", "least", "x0", "x1").agg(first).select("first.bucket", "m")
+    return materialise(banded.join(materialise(buckets), "bucket"))
 
 
 def _draw(seed: int, below) -> F.Column:
@@ -311,16 +331,16 @@ def _first_tiles(members: DataFrame) -> DataFrame:
     blocks = F.ceil(F.col("m") / BLOCK).cast("long")
     dealt = members.withColumn("blocks", blocks).withColumn("block", _draw(1, F.col("blocks")))
     pivot = (F.col("blocks") > 1) & (_draw(2, F.col("m")) < PIVOTS)
-    at_home = dealt.select("bucket", "block", "node", pivot.cast("int").alias("side"))
-    sent = dealt.where(pivot).select("bucket", "node", "block", _every(F.col("blocks")).alias("other")).where("block != other")
-    tiles = at_home.unionByName(sent.select("bucket", F.col("other").alias("block"), "node", F.lit(1).alias("side")))
-    return tiles.select(F.xxhash64("bucket", "block").alias("tile"), "side", "node", F.col("node").alias("root"))
+    sent = dealt.where(pivot).select("bucket", "band", "node", "block", _every(F.col("blocks")).alias("other")).where("block != other")
+    tiles = dealt.select("bucket", "band", "block", "node").union(sent.select("bucket", "band", "other", "node"))
+    nobody = F.lit(None).cast("int").alias("side")
+    return tiles.select(F.xxhash64("bucket", "block").alias("tile"), "band", nobody, "node", F.col("node").alias("root"))
 
 
 def _second_tiles(members: DataFrame, joined: DataFrame) -> DataFrame:
-    """Of buckets with several components: all members on one side, those outside the largest on the other."""
-    rooted = members.join(joined, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    rooted = materialise(rooted)
+    """Of buckets with several blocks and components: all members on one side, those outside the largest on the other."""
+    wide = members.where(F.col("m") > BLOCK)
+    rooted = materialise(wide.join(joined, "node", "left").withColumn("root", F.coalesce("root", "node")))
     parts = rooted.groupBy("bucket", "root").agg(F.count("*").alias("n"), F.max("m").alias("m"))
     open_ = parts.groupBy("bucket").agg(
         F.max_by("root", F.struct("n", "root")).alias("major"), F.max("n").alias("n"), F.max("m").alias("all")
@@ -330,12 +350,12 @@ def _second_tiles(members: DataFrame, joined: DataFrame) -> DataFrame:
         F.ceil(F.col("all") / BLOCK).cast("long").alias("blocks"),
         F.ceil((F.col("all") - F.col("n")) / BLOCK).cast("long").alias("minors"),
     ))
-    dealt = rooted.join(open_, "bucket")
-    everyone = dealt.select("bucket", "node", "root", F.lit(0).alias("side"), _draw(3, F.col("blocks")).alias("x"), _every(F.col("minors")).alias("y"))
+    dealt = rooted.join(open_, "bucket").select("bucket", "band", "node", "root", "major", "blocks", "minors")
+    everyone = dealt.select("*", F.lit(0).alias("side"), _draw(3, F.col("blocks")).alias("x"), _every(F.col("minors")).alias("y"))
     outside = dealt.where("root != major")
-    outside = outside.select("bucket", "node", "root", F.lit(1).alias("side"), _draw(4, F.col("minors")).alias("y"), _every(F.col("blocks")).alias("x"))
+    outside = outside.select("*", F.lit(1).alias("side"), _draw(4, F.col("minors")).alias("y"), _every(F.col("blocks")).alias("x"))
     tiles = everyone.unionByName(outside)
-    return tiles.select(F.xxhash64("bucket", "x", "y").alias("tile"), "side", "node", "root")
+    return tiles.select(F.xxhash64("bucket", "x", "y").alias("tile"), "band", "side", "node", "root")
 
 
 def near_duplicates(
@@ -353,21 +373,26 @@ def near_duplicates(
     is null (and ``kept`` true) where a component has no other. Only ``doc_id`` and ``text`` are read. No rows give no rows.
     Shingles are compared by 64-bit digests, sets by 128-bit ones.
     """
-    sets = materialise(docs.select("doc_id", "text").mapInArrow(_hashed(words), _SETS))
+    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("t"))
+    sets = materialise(docs.mapInArrow(_hashed(words), _SETS))
     filled = sets.where("n > 0")
-    classes = materialise(filled.groupBy("d1", "d2").agg(F.min("place").alias("node"), F.min("doc_id").alias("least")))
+    first = F.min(F.struct("place", "doc_id", "t")).alias("row")
+    classes = filled.groupBy("d1", "d2").agg(first, F.min("doc_id").alias("least"))
+    classes = materialise(
+        classes.select("d1", "d2", F.col("row.place").alias("node"), F.col("row.doc_id").alias("first"), F.col("row.t").alias("t"), "least")
+    )
     members = _bucket_members(filled, classes)
-    tried = _survivors(_first_tiles(members), filled, percent, miss, True)
-    links = verified(tried, filled, percent)
+    whole = _whole_sets(docs, classes, members, words)
+    links = _links(_first_tiles(members), filled, whole, percent, miss)
     joined = materialise(stars(links))
-    left = _survivors(_second_tiles(members, joined), filled, percent, miss, False)
-    more = verified(left.join(tried, ["a", "b"], "left_anti"), filled, percent)
-    rooted = stars(links.unionByName(more))
+    more = _links(_second_tiles(members, joined), filled, whole, percent, miss)
+    rooted = materialise(stars(links.union(more)))
+    discard(whole, links, more, joined)
     named = materialise(classes.join(rooted, "node", "left").select("d1", "d2", "least", F.coalesce("root", "node").alias("root")))
     ids = materialise(named.groupBy("root").agg(F.min("least").alias("component")))
     by_set = materialise(named.select("d1", "d2", "root").join(ids, "root").select("d1", "d2", "component"))
     own = sets.select("doc_id", F.col("n").alias("n_shingles"), "d1", "d2").join(by_set, ["d1", "d2"], "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
     done = materialise(own.select("doc_id", "n_shingles", component.alias("component_id")))
-    discard(sets, classes, members, tried, links, joined, left, more, named, ids, by_set)
+    discard(sets, classes, members, rooted, named, ids, by_set)
     return done.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

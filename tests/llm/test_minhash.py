@@ -116,7 +116,7 @@ def test_recall_of_bands():
             signature = minhash.signatures(np.concatenate([a, b]), np.array([0, len(a)]))
             keys = minhash.band_keys(signature)
             lost += not (keys[0] == keys[1]).any()
-            sketch = (signature & 0xFFFF).astype("u2")
+            sketch = (signature & 0xFF).astype("u1")
             i, *_ = minhash.surviving(sketch, np.array([len(a), len(b)]), np.array([0]), np.array([1]), 80, minhash.MISS)
             lost += not len(i)
     assert lost <= 1
