@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import alignment, decontamination, digest, extraction, language, licenses, minhash, packing, quality, secrets, simhash, urls
-from millrace.llm.statements import SECRET_SPANS, URL_VERDICTS
+from millrace.llm import alignment, decontamination, digest, divergence, extraction, language, licenses, minhash, packing, quality, secrets, simhash, urls
+from millrace.llm.statements import SECRET_SPANS, SOURCE_DIVERGENCE, URL_VERDICTS
 
 
 #: The rules of host, path and verdict.
@@ -80,6 +80,10 @@ def op10_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits("fp").alias("fingerprint"), "component_id")
 
 
+def op11_divergence(spark: SparkSession, sf: str) -> DataFrame:
+    return divergence.audit(table(spark, sf, "documents"))
+
+
 def op12_minhash(spark: SparkSession, sf: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf, "documents"))
 
@@ -89,6 +93,6 @@ def op13_alignment(spark: SparkSession, sf: str) -> DataFrame:
     return alignment.align(table(spark, sf, "documents"), *paths)
 
 
-QUERIES = {q.__name__: q for q in (op1_quality, op2_urls, op3_language, op4_licenses, op5_extraction, op6_packing, op7_secrets, op8_digest, op9_decontamination, op10_simhash, op12_minhash, op13_alignment)}
+QUERIES = {q.__name__: q for q in (op1_quality, op2_urls, op3_language, op4_licenses, op5_extraction, op6_packing, op7_secrets, op8_digest, op9_decontamination, op10_simhash, op11_divergence, op12_minhash, op13_alignment)}
 
-ORACLE_SQL: dict[str, str] = {"op2_urls": URL_VERDICTS, "op7_secrets": SECRET_SPANS}
+ORACLE_SQL: dict[str, str] = {"op2_urls": URL_VERDICTS, "op7_secrets": SECRET_SPANS, "op11_divergence": SOURCE_DIVERGENCE}

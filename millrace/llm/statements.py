@@ -2,7 +2,7 @@
 
 _ASSIGN = (
     "([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]"
-    "|[aA][pP][iI]_?[kK][eE][yY])[\"'']?\\x20*[:=]\\x20*[\"'']?([A-Za-z0-9+/_.=-]+)"
+    "|[aA][pP][iI]_?[kK][eE][yY])[\"'']?\x20*[:=]\x20*[\"'']?([A-Za-z0-9+/_.=-]+)"
 )
 _KINDS = {
     "assign": _ASSIGN,
@@ -89,3 +89,49 @@ SELECT page_id, host, path, rule,
     listed
 FROM matched
 """
+
+SOURCE_DIVERGENCE = r"""
+WITH texts AS (
+    SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM documents
+),
+places AS (SELECT r, lang, source, unnest(terms) AS term FROM texts),
+kept AS (SELECT lang, term FROM places GROUP BY lang, term HAVING count(DISTINCT r) >= 3),
+sizes AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM texts),
+counts AS (SELECT lang, source, term, count(*) AS n FROM places SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term),
+grid AS (
+    SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n
+    FROM groups g JOIN kept k USING (lang) LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+),
+shares AS (
+    SELECT lang, source, term, n,
+        (1 + (1000000000 * (n + 1)::HUGEINT) // (sum(n) OVER (PARTITION BY lang, source) + v))::BIGINT AS p
+    FROM grid JOIN sizes USING (lang)
+),
+of_lang AS (
+    SELECT lang, term, (1 + (1000000000 * (sum(n) + 1)::HUGEINT) // (sum(sum(n)) OVER (PARTITION BY lang) + any_value(v)))::BIGINT AS q
+    FROM grid JOIN sizes USING (lang) GROUP BY lang, term
+),
+sums AS (
+    SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+    FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+    GROUP BY a.lang, a.source, b.source
+),
+pairs AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+        LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+),
+terms AS (
+    SELECT s.lang, s.source, 'term' AS part, s.term AS item, (s.p - q) * (s.p - q) // q AS value
+    FROM shares s JOIN of_lang USING (lang, term) WHERE n > 0 AND s.p > q
+),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+    FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
+)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
