@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm import alignment, decontamination, digest, divergence, extraction, language, licenses, minhash, packing, quality, secrets, simhash, urls
 from millrace.llm.statements import SECRET_SPANS, SOURCE_DIVERGENCE, URL_VERDICTS
+from millrace.session import scratch_path
 
 
 #: The rules of host, path and verdict.
@@ -53,7 +54,11 @@ def op6_packing(spark: SparkSession, sf: str) -> DataFrame:
 
 def op7_secrets(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    found, _ = secrets.paths_with_findings(docs)
+    # The base rules first; then the ledger leaves only the added ones to scan, and last nothing.
+    ledger = scratch_path(spark)
+    secrets.extend_ledger(docs, ledger, secrets.BASE)
+    secrets.extend_ledger(docs, ledger)
+    found, _ = secrets.paths_with_findings(docs, secrets.read_ledger(spark, ledger))
 
     def of(kind: str):
         return F.filter("spans", lambda s: s["kind"] == kind)

@@ -10,8 +10,8 @@ _KINDS = {
     "hex": "[0-9a-f]{24,}",
     "forge": "gh[opsru]_[A-Za-z0-9]{36,}",
     "chat": "xox[abposr]-[A-Za-z0-9-]{10,}",
-    "webtoken": "eyJ[A-Za-z0-9_-]{10,}\\.[A-Za-z0-9_-]{10,}\\.[A-Za-z0-9_-]{5,}",
-    "pem": "-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY-----",
+    "webtoken": "(^|[^A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]{10,}\\.[A-Za-z0-9_-]{10,}\\.[A-Za-z0-9_-]{5,})",
+    "pem": "-----BEGIN [A-Z0-9 ]*PRIVATE KEY-----",
 }
 _COUNTS = {
     "assign": f"length(regexp_extract(m, '{_ASSIGN}', 2)) >= 6",
@@ -21,8 +21,10 @@ _COUNTS = {
 
 def _places(rank: int, kind: str) -> str:
     pattern = _KINDS[kind]
+    # A web token has a border before it, which is no part of it.
+    own = f"regexp_extract(m, '{pattern}', 2)" if kind == "webtoken" else "m"
     return f"""
-        SELECT doc_id, {rank} AS kind_rank, '{kind}' AS kind, stop - length(m) AS start, stop
+        SELECT doc_id, {rank} AS kind_rank, '{kind}' AS kind, stop - length({own}) AS start, stop
         FROM (
             SELECT doc_id, m, sum(length(gap) + length(m)) OVER (PARTITION BY doc_id ORDER BY i) AS stop
             FROM (

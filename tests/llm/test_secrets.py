@@ -1,6 +1,7 @@
 """Spans, ledger and redaction against a plain scan with the pattern definitions."""
 
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -86,3 +87,55 @@ def test_no_rows_and_no_python(spark, frame):
 def test_plan_has_no_python(spark, frame, what):
     df = getattr(secrets, what)(frame(SCHEMA, rows()).select("doc_id", F.col("text")))
     assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+LONG = 1 << 20
+HOSTILE = {
+    "capital words": "-----BEGIN " + "AB " * (LONG // 3),
+    "headers": "-----BEGIN PRIVATE KEY" * (LONG // 22),
+    "token starts": "eyJ" * (LONG // 3),
+    "token parts": "eyJabcdefghijk." * (LONG // 15) + "!",
+    "token parts and dashes": "eyJ-abcdefghijk" * (LONG // 15),
+    "access": "AKIA" * (LONG // 4),
+    "hex": "abcdef0 " * (LONG // 8) + "a" * LONG,
+    "names": "password" * (LONG // 8) + " " * LONG,
+    "names and signs": "token : " * (LONG // 8),
+    "forge": "ghp_" * (LONG // 4),
+    "chat": "xoxb-" * (LONG // 5),
+}
+
+
+@pytest.mark.parametrize("what", sorted(HOSTILE))
+def test_long_hostile_texts(frame, what):
+    """A megabyte against all rules, in seconds."""
+    text = HOSTILE[what]
+    begun = time.monotonic()
+    (row,) = secrets.paths_with_findings(frame("doc_id long, text string", [(1, text)]))[0].collect()
+    assert time.monotonic() - begun < 30
+    assert [tuple(s) for s in row.spans if s.rank < 3] == plain_base(text)
+
+
+def test_added_kinds(frame):
+    web = "eyJ" + "a1_-" * 4 + "." + "b" * 10 + "." + "c-_c5"
+    texts = [f"{web} x{web} -{web}", f"{web},{web}", "-----BEGIN PRIVATE KEY-----", "-----BEGIN A B2 PRIVATE KEY-----", "-----BEGIN a PRIVATE KEY-----"]
+    got = secrets.paths_with_findings(frame("doc_id long, text string", list(enumerate(texts))))[0]
+    kinds = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in got.collect()}
+    n = len(web)
+    assert kinds == {
+        0: [("webtoken", 0, n)], 1: [("webtoken", 0, n), ("webtoken", n + 1, 2 * n + 1)],
+        2: [("pem", 0, len(texts[2]))], 3: [("pem", 0, len(texts[3]))], 4: [],
+    }
+
+
+def test_kept_ledger(spark, frame, tmp_path):
+    path = str(tmp_path / "ledger")
+    df = frame(SCHEMA, rows())
+    blobs = len(set(TEXTS) - {None})
+    assert secrets.extend_ledger(df, path, secrets.BASE) == blobs
+    assert secrets.extend_ledger(df, path) == blobs  # the added rules
+    assert secrets.extend_ledger(df, path) == 0
+    assert secrets.extend_ledger(frame(SCHEMA, [(1, "new text", 8, "", 0), (2, "", 0, "", 0)]), path) == 1
+    kept, new = secrets.paths_with_findings(df, secrets.read_ledger(spark, path))
+    fresh, _ = secrets.paths_with_findings(df)
+    assert new.count() == 0 and sorted(map(str, kept.collect())) == sorted(map(str, fresh.collect()))
+    assert sorted(map(str, secrets.redact(df, secrets.read_ledger(spark, path)).collect())) == sorted(map(str, secrets.redact(df).collect()))
