@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm import decontamination, packing, quality, secrets, simhash
-from millrace.session import discard, materialise
+from millrace.session import discard, materialise, scratch_path
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,8 +30,10 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with a mark in the place of each secret."""
-    return secrets.redact(docs)
+    """All documents, with a mark in the place of each secret; a ledger tells what has been scanned."""
+    ledger = scratch_path(spark)
+    secrets.extend_ledger(docs, ledger)
+    return secrets.redact(docs, secrets.read_ledger(spark, ledger))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
