@@ -35,7 +35,7 @@ from millrace.sources.files import (  # noqa: E402
     read_number_list,
 )
 from millrace.sources.schemas import REVIEWS  # noqa: E402
-from millrace.streaming.pickup import ingest_new_files  # noqa: E402
+from millrace.streaming.pickup import publish_new_files  # noqa: E402
 from oracle_statements import STATEMENTS  # noqa: E402
 
 FLAGSHIP_DIR = "/root/testdata/sf0.001"
@@ -621,7 +621,7 @@ def upsert_customers(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def insert_if_absent(spark: SparkSession, sf: str) -> DataFrame:
-    changes = customer_changes(spark, sf).where(F.col("change_id") % 2 == 0)
+    changes = customer_changes(spark, sf)
     moved = changes.withColumn("c_custkey", F.col("c_custkey") + F.when(F.col("change_id") % 4 == 0, 10**9).otherwise(0))
     return keyed.insert_if_absent(table(spark, sf, "customer"), moved, ["c_custkey"], ["changed", "change_id"])
 
@@ -707,44 +707,45 @@ def bom_from_csv(spark: SparkSession, sf: str) -> DataFrame:
     return as_double(bom_plan.fin_quantity(read_bom(spark, path, "csv")), "fin_production_quantity")
 
 
-def review_files(spark: SparkSession, sf: str, folder: str, names: list[str]) -> None:
-    """Document reviews as one CSV file per name in ``folder``, by review id."""
-    raw = dirty_reviews(spark, sf).select(*REVIEWS.names)
-    for i, name in enumerate(names):
-        path = scratch_path(spark)
-        mine = raw.where(F.col("reviewId").cast("long") % len(names) == i)
-        mine.coalesce(1).write.option("header", True).option("escape", '"').option("nullValue", "").csv(path)
-        written = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path).select("path").first()
-        hadoop = spark._jvm.org.apache.hadoop.fs
-        source, target = hadoop.Path(written["path"]), hadoop.Path(f"{folder}/{name}")
-        files = source.getFileSystem(spark._jsc.hadoopConfiguration())
-        files.mkdirs(target.getParent())
-        files.rename(source, target)
+def drop_files(df: DataFrame, folder: str, name: str) -> None:
+    """``df`` as CSV files ``name.part-*.csv`` in ``folder``, one per task, each renamed into place."""
+    spark, path = df.sparkSession, scratch_path(df.sparkSession)
+    df.write.option("header", True).option("escape", '"').option("nullValue", "").csv(path)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    files = hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(hadoop.Path(folder))
+    for i, written in enumerate(files.globStatus(hadoop.Path(f"{path}/part-*"))):
+        files.rename(written.getPath(), hadoop.Path(f"{folder}/{name}.part-{i:05d}.csv"))
 
 
 def picked_up_files(spark: SparkSession, sf: str) -> DataFrame:
-    """Files dropped one after the other, picked up in two runs, and cleaned."""
+    """Drops of many files each, picked up in three runs, the last without new files, and published batch by batch."""
     folder, out, log = (scratch_path(spark) for _ in range(3))
-    names = ["b.csv", "a.csv", "c.csv"]
-    review_files(spark, sf, folder, names)
-    for _ in range(2):
-        ingest_new_files(spark, folder, out, log).awaitTermination()
-    return spark.read.parquet(out)
+    raw = dirty_reviews(spark, sf).select(*REVIEWS.names)
+    for name, scored in (("b", F.col("score").isNull()), ("a", F.col("score").isNotNull()), ("", None)):
+        if scored is not None:
+            drop_files(raw.where(scored), folder, name)
+        publish_new_files(spark, folder, out, log).awaitTermination()
+    return read_published(spark, out)
 
 
 def processed_folder(spark: SparkSession, sf: str) -> DataFrame:
-    """The first file of a folder by name, cleaned and published."""
+    """The first drop of a folder by name, cleaned and published; a later one is left alone."""
     folder, out = scratch_path(spark), scratch_path(spark)
-    review_files(spark, sf, folder, ["b.csv", "a.csv", "c.csv"])
+    drop_files(conversation_reviews(spark, sf).withColumn("thumbsUpCount", F.lit(0)).select(*REVIEWS.names), folder, "b")
+    drop_files(dirty_reviews(spark, sf).select(*REVIEWS.names), folder, "a")
     reviews.process_folder(spark, folder, out)
     return read_published(spark, out)
 
 
+EVENT_KINDS = ("click", "view", "purchase", "signup", "error", "none")
+
+
 def empty_files(spark: SparkSession, sf: str) -> DataFrame:
-    """Rows of a CSV file per event type, some types without any, and whether the guard lets it through."""
+    """Rows of CSV files per event type, one type without any, and whether the guard lets them through."""
     events = table(spark, sf, "events").select("event_id", "event_type", F.col("value").cast("string").alias("value"))
     found = []
-    for kind in ("click", "error", "none"):
+    for kind in EVENT_KINDS:
         path = scratch_path(spark)
         mine = events.where(F.col("event_type") == kind)
         mine.write.option("header", True).csv(path)
@@ -767,6 +768,17 @@ def published_merges(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def keyed_merges(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers in parts by key, merged with their changes and completed; how many keys and parts that took."""
+    path, customers = scratch_path(spark), table(spark, sf, "customer")
+    keyed_table = tables.KeyedTable(spark, path, customers.schema, ["c_custkey"], parts=16)
+    keyed_table.load(customers)
+    changes, order = customer_changes(spark, sf), ["changed", "change_id"]
+    changed = keyed_table.upsert(changes.where(F.col("c_custkey") >= 0), order)
+    added = keyed_table.insert_if_absent(changes, order)
+    return keyed_table.read().withColumns({"changed": F.lit(changed).cast("long"), "added": F.lit(added).cast("long")})
+
+
 def reloaded_table(spark: SparkSession, sf: str) -> DataFrame:
     """A table replaced twice and appended to, with its load summary, and what is left after it was emptied."""
     name = "loaded_" + scratch_path(spark).rsplit("/", 1)[1]
@@ -836,7 +848,7 @@ QUERIES = [
     mean_gap, sorted_values, median_price, lowest_percentile_above, share_above, std_price,
     upsert_customers, insert_if_absent, constraint_violations, profile,
     json_round_trip, json_missing_keys, xml_round_trip, csv_with_missing_values, number_lists, bom_from_csv,
-    picked_up_files, processed_folder, empty_files, published_merges, reloaded_table, short_text_count,
+    picked_up_files, processed_folder, empty_files, published_merges, keyed_merges, reloaded_table, short_text_count,
     *(order_of(name) for name in ORDERED),
 ]
 

@@ -12,7 +12,7 @@ from millrace.operators.matching import peak_of, with_match
 from millrace.session import discard, materialise
 
 #: Patterns that a pass compares with each vector.
-BATCH_PATTERNS = 4096
+BATCH_PATTERNS = 32_768
 
 
 def negate_between(value: Column, low, high) -> Column:
@@ -57,27 +57,34 @@ def rows_hitting_all(
 ) -> DataFrame:
     """Rows of ``a`` whose ``vector`` shares an element with the ``pattern`` of every row of ``b``.
 
-    An empty ``b`` keeps every row. A NULL element matches nothing. The patterns are a
-    query set: their distinct ones meet the distinct vectors in batches, the
-    shortest first, as those are missed soonest. Each batch is one pass over
-    the vectors that are left; a vector stops at the first pattern it misses.
+    An empty ``b`` keeps every row. A NULL element matches nothing. No vector meets a pattern: the
+    distinct patterns are numbered, the shortest first, and an index has per element the bitmap of
+    the patterns that hold it. The bitmaps of a vector's elements, joined by OR, are full if it hits all
+    patterns. A bitmap has ``batch_patterns`` bits (32,768 at most), so there is one round for so many
+    patterns, over the distinct vectors that are left; a vector's bitmaps are joined where the vector is.
     """
     values = F.array_sort(F.array_distinct(F.array_compact(quoted(vector))))
-    sets = materialise(
-        b.select(F.array_sort(F.array_distinct(F.array_compact(quoted(pattern)))).alias("__b")).distinct()
+    sets = b.select(F.array_sort(F.array_distinct(F.array_compact(quoted(pattern)))).alias("__b")).distinct()
+    size = F.lit(batch_patterns).cast("long")
+    # Numbers rise within a partition of the sort, so a round holds patterns of one partition.
+    at = F.monotonically_increasing_id()
+    numbered = materialise(
+        sets.orderBy(F.size("__b"), "__b").select("__b", F.call_function("div", at, size).alias("__round"), (at % size).alias("__bit"))
     )
-    batches = -(-sets.count() // batch_patterns)
-    left = materialise(a.select(F.coalesce(values, F.array().cast(sets.schema["__b"].dataType)).alias("__a")).distinct())
-    ranked = sets.select("__b", F.pmod(F.xxhash64("__b"), F.lit(max(1, batches))).alias("__batch"))
-    for batch in range(batches):
-        own = ranked.where(F.col("__batch") == batch)
-        patterns = own.agg(F.array_sort(F.collect_list(F.struct(F.size("__b").alias("n"), "__b"))).alias("p")).scalar()
-        hit = left.withColumn("__all", patterns).where(F.forall("__all", lambda p: F.arrays_overlap("__a", p["__b"])))
-        before, left = left, materialise(hit.select("__a"))
+    empty = F.array().cast(sets.schema["__b"].dataType)
+    left = materialise(a.select(F.coalesce(values, empty).alias("__a")).distinct())
+    # One number per round.
+    for row in numbered.select("__round").distinct().orderBy("__round").collect():
+        own = numbered.where(F.col("__round") == row["__round"])
+        full = own.agg(F.bitmap_construct_agg("__bit").alias("full")).scalar()
+        index = own.select(F.explode("__b").alias("__e"), "__bit").groupBy("__e").agg(F.bitmap_construct_agg("__bit").alias("__bits"))
+        elements = left.repartition("__a").select("__a", F.explode("__a").alias("__e"))
+        hit = elements.join(materialise(index), "__e").groupBy("__a").agg(F.bitmap_or_agg("__bits").alias("__hit"))
+        before, left = left, materialise(hit.where(F.col("__hit") == full).select("__a"))
         discard(before)
         if left.isEmpty():
             break
-    keyed = a.withColumn("__a", F.coalesce(values, F.array().cast(sets.schema["__b"].dataType)))
+    keyed = a.withColumn("__a", F.coalesce(values, empty))
     return with_match(keyed, left, "__a").drop("__a")
 
 

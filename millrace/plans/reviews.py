@@ -17,7 +17,7 @@ from millrace.functions.times import TIMESTAMP_FORMATS, TIMESTAMP_TEXT, day_of,
 from millrace.operators.ranking import top_k
 from millrace.session import materialise
 from millrace.sinks.published import publish
-from millrace.sources.files import first_file, has_rows, read_csv_na
+from millrace.sources.files import first_drop, has_rows, read_csv_na
 from millrace.sources.schemas import REVIEWS
 
 
@@ -66,8 +66,8 @@ def process_reviews(spark: SparkSession, csv_path: str, out: str) -> bool:
 
 
 def process_folder(spark: SparkSession, folder: str, out: str) -> str | None:
-    """Process the first CSV file of ``folder`` by name; returns its path, None if there is none or it is empty."""
-    path = first_file(spark, folder)
+    """Process the first drop of ``folder`` by name, a CSV file or its parts; returns its path, None if there is none or it is empty."""
+    path = first_drop(spark, folder)
     return path if path and process_reviews(spark, path, out) else None
 
 

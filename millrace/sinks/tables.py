@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions.text import nan_to_null
+from millrace.functions.text import nan_to_null, quoted
 from millrace.operators.keyed import insert_if_absent, latest_per_key
 from millrace.operators.matching import without_match
-from millrace.sinks.published import publish, read_published
+from millrace.session import materialise
+from millrace.sinks.published import part_of, publish, publish_parts, read_parts, read_published
 
 # Fixed value: rows sent to a database per batch.
 BATCH_ROWS = 1000
@@ -79,6 +80,50 @@ def insert_absent_published(
     return seen.get["rows"]
 
 
+class KeyedTable:
+    """Published table in parts by a hash of its keys; a merge rewrites the parts it touches.
+
+    ``parts`` is fixed when the table is made: as many as make a part a good size for a task.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, schema, keys: list[str], parts: int):
+        self.spark, self.path, self.schema, self.keys, self.parts = spark, path, schema, keys, parts
+
+    def load(self, df: DataFrame) -> None:
+        """Replace all rows."""
+        publish_parts(df.select(*self._columns()), self.path, self.keys, self.parts)
+
+    def read(self) -> DataFrame:
+        return read_parts(self.spark, self.path, self.schema)
+
+    def upsert(self, source: DataFrame, order: list[str]) -> int:
+        """Apply ``source`` in ``order``; returns the keys inserted or updated."""
+        latest = materialise(latest_per_key(source, self.keys, order).select(*self._columns()))
+        touched = self._touched(latest)
+        if touched:
+            target = read_parts(self.spark, self.path, self.schema, touched)
+            publish_parts(without_match(target, latest, self.keys).unionByName(latest), self.path, self.keys, self.parts, touched)
+        return latest.count()
+
+    def insert_if_absent(self, source: DataFrame, order: list[str]) -> int:
+        """Add the first row of each key that the table lacks; returns their number."""
+        wanted = self._touched(source)
+        target = read_parts(self.spark, self.path, self.schema, wanted)
+        added = materialise(insert_if_absent(target, source, self.keys, order))
+        touched = self._touched(added)
+        if touched:
+            rows = read_parts(self.spark, self.path, self.schema, touched)
+            publish_parts(rows.unionByName(added), self.path, self.keys, self.parts, touched)
+        return added.count()
+
+    def _columns(self) -> list:
+        return [quoted(name) for name in self.schema.names]
+
+    def _touched(self, rows: DataFrame) -> set[int]:
+        # At most one number per part.
+        return {r["part"] for r in rows.select(part_of(self.keys, self.parts).alias("part")).distinct().collect()}
+
+
 def load_summary(loaded: int, stored: DataFrame, sample: int = 5) -> tuple[int, int, DataFrame]:
     """Rows loaded, rows stored, and a few stored rows."""
     return loaded, stored.count(), stored.limit(sample)

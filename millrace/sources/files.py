@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,6 +49,21 @@ def first_file(spark: SparkSession, folder: str, pattern: str = "*.csv") -> str
     return listed.agg(F.min("path")).first()[0]
 
 
+def first_drop(spark: SparkSession, folder: str) -> str | None:
+    """Path, or pattern of paths, of the first drop by name in ``folder`` itself, None when there is none.
+
+    A drop is one file ``name.csv``, or all files ``name.part-*.csv``: a large one can so be written and
+    read by many tasks. Only the listing is used; no file is opened.
+    """
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder)
+    drop = F.regexp_replace("path", r"\.part-[^/]*\.csv$", ".part-")
+    name = F.regexp_replace(drop, r"(\.part-|\.csv)$", "")
+    first = listed.agg(F.min(F.struct(name.alias("name"), drop.alias("drop")))["drop"]).first()[0]
+    if first is None or not first.endswith(".part-"):
+        return first
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", first) + "*.csv"
+
+
 def has_rows(df: DataFrame) -> bool:
     """Is there at least one row? A zero-byte and a header-only file have none."""
     return not df.isEmpty()

@@ -453,7 +453,7 @@ STATEMENTS = {
     "insert_if_absent": f"""
         WITH {CHANGES}, moved AS (
           SELECT * REPLACE (c_custkey + CASE WHEN change_id % 4 = 0 THEN 1000000000 ELSE 0 END AS c_custkey)
-          FROM changes WHERE change_id % 2 = 0
+          FROM changes
         )
         SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM moved
         WHERE c_custkey NOT IN (SELECT c_custkey FROM customer)
@@ -490,7 +490,7 @@ STATEMENTS = {
     ),
     "empty_files": """
         SELECT kind AS event_type, count(event_id) AS rows, count(event_id) > 0 AS passes
-        FROM (VALUES ('click'), ('error'), ('none')) k(kind) LEFT JOIN events ON event_type = kind GROUP BY kind
+        FROM (VALUES ('click'), ('view'), ('purchase'), ('signup'), ('error'), ('none')) k(kind) LEFT JOIN events ON event_type = kind GROUP BY kind
     """,
     "reloaded_table": """
         SELECT count(*) AS loaded, count(*) + count(*) FILTER (p_size > 40) AS stored, CAST(5 AS BIGINT) AS shown,
@@ -509,11 +509,15 @@ def ordered(name: str, order: str, columns: str, source: str | None = None) -> s
 STATEMENTS |= {
     "bom_from_csv": STATEMENTS["fin_quantity"],
     "picked_up_files": STATEMENTS["clean_documents"],
-    "processed_folder": f"""SELECT * FROM ({STATEMENTS["clean_documents"]}) WHERE CAST("reviewId" AS BIGINT) % 3 = 1""",
+    "processed_folder": STATEMENTS["clean_documents"],
     "published_merges": f"""
         SELECT *, (SELECT count(DISTINCT o_custkey) FROM orders) AS changed, (SELECT count(*) FROM supplier) AS added
         FROM ({STATEMENTS["upsert_customers"]})
     """,
+    "keyed_merges": f"""
+        SELECT *, (SELECT count(DISTINCT o_custkey) FROM orders) AS changed, (SELECT count(*) FROM supplier) AS added
+        FROM ({STATEMENTS["upsert_customers"]})
+    """,
     "order_of_parts_per_type": ordered("parts_per_type", "movie_count DESC, category_id", "category_id"),
     "order_of_top10_suppliers_by_lines": ordered("top10_suppliers_by_lines", "rentals DESC, actor_id", "actor_id"),
     "order_of_top3_counts_suppliers_promo": ordered("top3_counts_suppliers_promo", "appearances DESC, actor_id", "actor_id"),

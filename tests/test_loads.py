@@ -281,3 +281,48 @@ def test_profile(frame):
     got = {r["summary"]: r["a"] for r in profile(df).collect()}
     assert (got["count"], got["mean"], got["min"], got["max"]) == ("2", "2.0", "1", "3")
     assert preview(df, 2).count() == 2
+
+
+def test_first_drop_of_parts(spark, rows, tmp_path):
+    assert files.first_drop(spark, str(tmp_path)) is None
+    header = ",".join(REVIEWS.names) + "\n"
+    for name in ("b.csv", "a +1.part-0.csv", "a +1.part-1.csv", "a +1x.csv", "a1.part-0.csv"):
+        (tmp_path / name).write_text(header + f"{name},u,c,5,,-\n")
+    (tmp_path / "a1.part-0.csv").unlink()
+    found = files.read_csv_na(spark, files.first_drop(spark, str(tmp_path)), REVIEWS)
+    assert sorted(r[0] for r in rows(found)) == ["a +1.part-0.csv", "a +1.part-1.csv"]
+
+
+def test_merges_touch_few_parts(spark, frame, tmp_path):
+    """Changes to one key in a hundred rewrite the parts of those keys only."""
+    schema = "k long, g string, v int"
+    old = [(i, "y" if i % 5 else "x", i) for i in range(500)]
+    target = frame(schema, old)
+    keyed_table = tables.KeyedTable(spark, str(tmp_path), target.schema, ["k", "g"], parts=64)
+    keyed_table.load(target)
+    before = published.part_directories(spark, str(tmp_path))[1]
+    assert len(before) > 60
+    source = frame("k long, g string, v int, at int", [(i, "x", -1, 0) for i in range(0, 25, 5)] + [(0, "x", -2, 1), (1, "y", -3, 0)])
+    assert keyed_table.upsert(source, ["at"]) == 6
+    expected = {(k, g): v for k, g, v in old} | {(i, "x"): -1 for i in range(0, 25, 5)} | {(0, "x"): -2, (1, "y"): -3}
+    assert {(r.k, r.g): r.v for r in keyed_table.read().collect()} == expected
+    after = published.part_directories(spark, str(tmp_path))[1]
+    moved = {p for p in after if after[p] != before.get(p)}
+    assert 1 <= len(moved) <= 6 and before.keys() == after.keys()
+    more = frame("k long, g string, v int, at int", [(0, "x", 7, 0), (9000, "n", 8, 1), (9000, "n", 9, 0)])
+    assert keyed_table.insert_if_absent(more, ["at"]) == 1
+    assert {(r.k, r.g): r.v for r in keyed_table.read().collect()} == expected | {(9000, "n"): 9}
+    assert len([p for p, d in published.part_directories(spark, str(tmp_path))[1].items() if d != after.get(p)]) == 1
+    assert keyed_table.insert_if_absent(more, ["at"]) == 0 == keyed_table.upsert(source.limit(0), ["at"])
+
+
+def test_keyed_table_without_rows(spark, frame, tmp_path):
+    empty = frame("k long, v int", [])
+    keyed_table = tables.KeyedTable(spark, str(tmp_path), empty.schema, ["k"], parts=4)
+    assert keyed_table.read().count() == 0
+    keyed_table.load(empty)
+    assert keyed_table.read().count() == 0
+    assert keyed_table.upsert(frame("k long, v int", [(1, 2)]), ["v"]) == 1
+    assert keyed_table.read().count() == 1
+    keyed_table.load(empty)
+    assert keyed_table.read().count() == 0
