@@ -8,10 +8,10 @@ full sets, in the same task, the most alike first, unless links found before con
 so a task returns links that connect its members and no other pairs. A pair is looked at in the
 bucket of the first band that both share only.
 
-A bucket is dealt in blocks. In the first round a bucket's pivots, a sample, go to all its blocks
-to connect them. The second round takes buckets of several blocks that are not connected yet:
-the members outside the largest component meet every block. Then all pairs of members of different
-components have met, hence no link is lost between components.
+A bucket is dealt in blocks. The first round takes the buckets of a few bands, which connect most of
+what is alike; a bucket's pivots, a sample, go to all its blocks. The second round takes the buckets of all bands
+that are not connected yet: where there are several blocks, the members outside the largest component meet
+every one. Then all pairs of members of different components have met, hence no link is lost between components.
 
 Full sets are formed again from the texts, for members of buckets only.
 """
@@ -42,13 +42,16 @@ HASHES = 320
 #: Chance at which a pair is given up after a batch of so many hashes.
 MISS = 1e-7
 BATCH = 40
+#: Bands of the first round.
+FIRST_BANDS = 4
 #: Members of a bucket that meet in one block, on average, and the pivots that all its blocks have.
 BLOCK, PIVOTS = 512, 16
 #: Bytes of text hashed at once; rows and bytes of sets compared at once, if no block has more.
 TEXT_BYTES = 1 << 21
 ROWS, SET_BYTES = 4096, 32 << 20
 
-_SETS = "place long, doc_id long, t long, n long, d1 long, d2 long, keys array<long>, sketch binary"
+_SETS = "place long, doc_id long, t long, n long, d1 long, d2 long, keys array<long>"
+_MEMBERS = "node long, n long, keys array<long>, sketch binary, hashes binary"
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -138,49 +141,50 @@ def _slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
         first = stop
 
 
+def _listed(keys: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1) * BANDS, pa.int32()), pa.array(keys.ravel()))
+
+
+def _parts(batches: Iterator[pa.RecordBatch], words: int):
+    """Slices of batches whose second column are texts, with sizes, sets, signatures and band keys."""
+    for batch in batches:
+        for first, stop in _slices(batch.column(1)):
+            part = batch.slice(first, stop - first)
+            digests, at = shingle_sets(part.column(1), words)
+            n = np.diff(at)
+            filled = np.flatnonzero(n)
+            signature = np.zeros((len(n), HASHES), dtype="u4")
+            signature[filled] = signatures(digests, at[:-1][filled])
+            keys = np.zeros((len(n), BANDS), dtype="i8")
+            keys[filled] = band_keys(signature[filled]).view("i8")
+            yield part, n, [digests[i:j].tobytes() for i, j in zip(at[:-1], at[1:])], signature, keys
+
+
 def _hashed(words: int):
-    """Function from texts to their sets, signatures and bands, each row under a number of its own."""
+    """Function from texts to their sets' digests and bands, each row under a number of its own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = TaskContext.get().partitionId() << 33
-        for batch in batches:
-            for first, stop in _slices(batch.column(1)):
-                digests, at = shingle_sets(batch.column(1).slice(first, stop - first), words)
-                n = np.diff(at)
-                filled = np.flatnonzero(n)
-                signature = signatures(digests, at[:-1][filled])
-                keys = np.zeros((len(n), BANDS), dtype="i8")
-                keys[filled] = band_keys(signature).view("i8")
-                sketch = np.zeros((len(n), HASHES), dtype="u1")
-                sketch[filled] = signature & 0xFF
-                blobs = [digests[i:j].tobytes() for i, j in zip(at[:-1], at[1:])]
-                whole = np.array([divmod(xxhash.xxh128_intdigest(b), 1 << 64) for b in blobs], dtype="u8").reshape(-1, 2).view("i8")
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(place + np.arange(len(n))), batch.column(0).slice(first, stop - first).cast(pa.int64()),
-                        batch.column(2).slice(first, stop - first), pa.array(n),
-                        pa.array(whole[:, 0]), pa.array(whole[:, 1]),
-                        pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1) * BANDS, pa.int32()), pa.array(keys.ravel())),
-                        pa.array([s.tobytes() for s in sketch], pa.binary()),
-                    ],
-                    names=[c.split()[0] for c in _SETS.split(", ")],
-                )
-                place += len(n)
+        for part, n, blobs, _, keys in _parts(batches, words):
+            whole = np.array([divmod(xxhash.xxh128_intdigest(b), 1 << 64) for b in blobs], dtype="u8").reshape(-1, 2).view("i8")
+            columns = [
+                pa.array(place + np.arange(len(n))), part.column(0).cast(pa.int64()), part.column(2), pa.array(n),
+                pa.array(whole[:, 0]), pa.array(whole[:, 1]), _listed(keys),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in _SETS.split(", ")])
+            place += len(n)
 
     return run
 
 
 def _formed(words: int):
-    """Function from nodes and texts to nodes and whole sets."""
+    """Function from nodes and texts to all that a member of buckets is compared by."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for first, stop in _slices(batch.column(1)):
-                digests, at = shingle_sets(batch.column(1).slice(first, stop - first), words)
-                blobs = [digests[i:j].tobytes() for i, j in zip(at[:-1], at[1:])]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, stop - first), pa.array(blobs, pa.binary())], names=["node", "hashes"]
-                )
+        for part, n, blobs, signature, keys in _parts(batches, words):
+            sketch = [row.tobytes() for row in (signature & 0xFF).astype("u1")]
+            columns = [part.column(0), pa.array(n), _listed(keys), pa.array(sketch, pa.binary()), pa.array(blobs, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in _MEMBERS.split(", ")])
 
     return run
 
@@ -288,22 +292,24 @@ def _met(percent: int, miss: float):
 
 
 def _whole_sets(docs: DataFrame, classes: DataFrame, members: DataFrame, words: int) -> DataFrame:
-    """``node, hashes`` of all members of buckets, from the texts."""
+    """Sets and signatures of all members of buckets, from the texts."""
     nodes = materialise(members.select("node").distinct())
     wanted = materialise(classes.join(nodes, "node", "left_semi").select("node", F.col("first").alias("__id"), F.col("t").alias("__t")))
     same = (F.col("t") == F.col("__t")) & F.col("doc_id").eqNullSafe(F.col("__id"))
     texts = docs.join(wanted, same).select("node", "text").dropDuplicates(["node"])
-    formed = materialise(texts.mapInArrow(_formed(words), "node long, hashes binary"))
+    formed = materialise(texts.mapInArrow(_formed(words), _MEMBERS))
     discard(nodes, wanted)
     return formed
 
 
-def _links(tiles: DataFrame, sets: DataFrame, whole: DataFrame, percent: int, miss: float) -> DataFrame:
+def _links(tiles: DataFrame, whole: DataFrame, percent: int, miss: float) -> DataFrame:
     """Links ``a, b`` from ``tiles`` (``tile, band, side, node, root``)."""
-    own = sets.select(F.col("place").alias("node"), "n", "sketch", "keys").join(whole, "node")
-    rows = tiles.join(own, "node").select("tile", "band", "side", "n", "node", "root", "sketch", "keys", "hashes")
+    tiles = materialise(tiles)
+    rows = tiles.join(whole, "node").select("tile", "band", "side", "n", "node", "root", "sketch", "keys", "hashes")
     dealt = rows.repartition("tile").sortWithinPartitions("tile", "node")
-    return materialise(dealt.mapInArrow(_met(percent, miss), "a long, b long"))
+    links = materialise(dealt.mapInArrow(_met(percent, miss), "a long, b long"))
+    discard(tiles)
+    return links
 
 
 def _bucket_members(sets: DataFrame, classes: DataFrame) -> DataFrame:
@@ -327,9 +333,9 @@ def _every(count) -> F.Column:
 
 
 def _first_tiles(members: DataFrame) -> DataFrame:
-    """Members by block of their bucket; of a bucket with more blocks the pivots in all of them."""
+    """Members of the first bands by block of their bucket; of a bucket with more blocks the pivots in all of them."""
     blocks = F.ceil(F.col("m") / BLOCK).cast("long")
-    dealt = members.withColumn("blocks", blocks).withColumn("block", _draw(1, F.col("blocks")))
+    dealt = members.where(F.col("band") < FIRST_BANDS).withColumn("blocks", blocks).withColumn("block", _draw(1, F.col("blocks")))
     pivot = (F.col("blocks") > 1) & (_draw(2, F.col("m")) < PIVOTS)
     sent = dealt.where(pivot).select("bucket", "band", "node", "block", _every(F.col("blocks")).alias("other")).where("block != other")
     tiles = dealt.select("bucket", "band", "block", "node").union(sent.select("bucket", "band", "other", "node"))
@@ -338,9 +344,8 @@ def _first_tiles(members: DataFrame) -> DataFrame:
 
 
 def _second_tiles(members: DataFrame, joined: DataFrame) -> DataFrame:
-    """Of buckets with several blocks and components: all members on one side, those outside the largest on the other."""
-    wide = members.where(F.col("m") > BLOCK)
-    rooted = materialise(wide.join(joined, "node", "left").withColumn("root", F.coalesce("root", "node")))
+    """Buckets with several components: in one tile, or all members against those outside the largest one, by blocks."""
+    rooted = materialise(members.join(joined, "node", "left").withColumn("root", F.coalesce("root", "node")))
     parts = rooted.groupBy("bucket", "root").agg(F.count("*").alias("n"), F.max("m").alias("m"))
     open_ = parts.groupBy("bucket").agg(
         F.max_by("root", F.struct("n", "root")).alias("major"), F.max("n").alias("n"), F.max("m").alias("all")
@@ -351,11 +356,14 @@ def _second_tiles(members: DataFrame, joined: DataFrame) -> DataFrame:
         F.ceil((F.col("all") - F.col("n")) / BLOCK).cast("long").alias("minors"),
     ))
     dealt = rooted.join(open_, "bucket").select("bucket", "band", "node", "root", "major", "blocks", "minors")
-    everyone = dealt.select("*", F.lit(0).alias("side"), _draw(3, F.col("blocks")).alias("x"), _every(F.col("minors")).alias("y"))
-    outside = dealt.where("root != major")
+    narrow, wide = dealt.where("blocks = 1"), dealt.where("blocks > 1")
+    nobody = F.lit(None).cast("int").alias("side")
+    together = narrow.select(F.xxhash64("bucket").alias("tile"), "band", nobody, "node", "root")
+    everyone = wide.select("*", F.lit(0).alias("side"), _draw(3, F.col("blocks")).alias("x"), _every(F.col("minors")).alias("y"))
+    outside = wide.where("root != major")
     outside = outside.select("*", F.lit(1).alias("side"), _draw(4, F.col("minors")).alias("y"), _every(F.col("blocks")).alias("x"))
     tiles = everyone.unionByName(outside)
-    return tiles.select(F.xxhash64("bucket", "x", "y").alias("tile"), "band", "side", "node", "root")
+    return together.unionByName(tiles.select(F.xxhash64("bucket", "x", "y").alias("tile"), "band", "side", "node", "root"))
 
 
 def near_duplicates(
@@ -383,9 +391,9 @@ def near_duplicates(
     )
     members = _bucket_members(filled, classes)
     whole = _whole_sets(docs, classes, members, words)
-    links = _links(_first_tiles(members), filled, whole, percent, miss)
+    links = _links(_first_tiles(members), whole, percent, miss)
     joined = materialise(stars(links))
-    more = _links(_second_tiles(members, joined), filled, whole, percent, miss)
+    more = _links(_second_tiles(members, joined), whole, percent, miss)
     rooted = materialise(stars(links.union(more)))
     discard(whole, links, more, joined)
     named = materialise(classes.join(rooted, "node", "left").select("d1", "d2", "least", F.coalesce("root", "node").alias("root")))
