@@ -13,12 +13,15 @@ from functools import reduce
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from py4j.protocol import Py4JJavaError  # noqa: E402
+from pyspark.errors import PySparkException  # noqa: E402
 from pyspark.sql import Column, DataFrame, SparkSession, Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 from pyspark.sql import types as T  # noqa: E402
 
 from millrace.functions.text import fill_text_nulls, strip_symbols  # noqa: E402
 from millrace.operators import arrays, bins, describe, groups, keyed, ordered, tally  # noqa: E402
+from millrace.operators.chains import reachable_over_chains  # noqa: E402
 from millrace.operators.closure import reachable  # noqa: E402
 from millrace.plans import bom as bom_plan  # noqa: E402
 from millrace.plans import calories, census, film, reviews, rooms  # noqa: E402
@@ -344,6 +347,16 @@ def reachable_materials(spark: SparkSession, sf: str) -> DataFrame:
     return reachable(edges, seeds.withColumnsRenamed({"src": "root", "dst": "node"}), ["plant_id"])
 
 
+def reachable_over_successors(spark: SparkSession, sf: str) -> DataFrame:
+    """Parts that succeed each brand's first part, in one ring of all parts by key."""
+    part = table(spark, sf, "part").select("p_partkey", "p_brand")
+    follows = part.select(F.col("p_partkey").alias("src"), (F.col("p_partkey") + 1).alias("dst"))
+    follows = follows.join(part.select(F.col("p_partkey").alias("dst")), "dst", "left_semi").select("src", "dst")
+    closing = part.agg(F.max("p_partkey").alias("src"), F.min("p_partkey").alias("dst"))
+    seeds = part.groupBy(F.col("p_brand").alias("root")).agg(F.min("p_partkey").alias("node"))
+    return reachable_over_chains(follows.union(closing), seeds)
+
+
 def produced_materials(spark: SparkSession, sf: str) -> DataFrame:
     return bom_plan.produced_materials(bom_rows(spark, sf))
 
@@ -676,6 +689,25 @@ def xml_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     return reader.load(path)
 
 
+def json_document(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as one JSON array in parts, and its records read back; the lines that open and close it stand apart."""
+    path = scratch_path(spark)
+    orders = table(spark, sf, "orders").withColumn("o_orderpriority", F.nullif("o_orderpriority", F.lit("1-URGENT")))
+    exports.export_json_document(orders, path, ["o_orderdate", "o_orderkey"])
+    lines = spark.read.text(path).where("value NOT IN ('[', ']')")
+    record = F.from_json(F.ltrim("value", F.lit(",")), orders.schema, {"mode": "FAILFAST"})
+    return lines.select(record.alias("record")).select("record.*")
+
+
+def xml_document(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers as one XML document in parts, and its records read back."""
+    path = scratch_path(spark)
+    customers = table(spark, sf, "customer").withColumn("c_acctbal", F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal")))
+    exports.export_xml_document(customers, path, ["c_nationkey", "c_custkey"])
+    reader = spark.read.format("xml").schema(customers.schema).option("rowTag", "record").option("nullValue", "")
+    return reader.load(path)
+
+
 EVENT_TYPES = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("event_type", T.StringType()), T.StructField("value", T.DoubleType())])
 
 
@@ -796,6 +828,23 @@ def reloaded_table(spark: SparkSession, sf: str) -> DataFrame:
     return prices.withColumns({k: F.lit(v).cast("long") for k, v in numbers.items()})
 
 
+def switched_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of a table after two loads and a third one that fails half-way."""
+    folder = scratch_path(spark)
+    name = "switched_" + folder.rsplit("/", 1)[1]
+    part = table(spark, sf, "part")
+    tables.switch_table(part.where(F.col("p_size") == 1), name, folder)
+    tables.switch_table(part, name, folder)
+    halfway = F.when(F.col("p_size") > 40, F.raise_error(F.lit("load ended"))).otherwise(F.col("p_name"))
+    try:
+        tables.switch_table(part.withColumn("p_name", halfway), name, folder)
+    except (PySparkException, Py4JJavaError):
+        pass
+    rows = materialise(spark.table(name))
+    spark.sql(f"DROP TABLE {name}")
+    return rows
+
+
 # --- order contracts: position and key of every row ---------------------------------
 
 
@@ -848,7 +897,8 @@ QUERIES = [
     mean_gap, sorted_values, median_price, lowest_percentile_above, share_above, std_price,
     upsert_customers, insert_if_absent, constraint_violations, profile,
     json_round_trip, json_missing_keys, xml_round_trip, csv_with_missing_values, number_lists, bom_from_csv,
-    picked_up_files, processed_folder, empty_files, published_merges, keyed_merges, reloaded_table, short_text_count,
+    picked_up_files, processed_folder, empty_files, published_merges, keyed_merges, reloaded_table, switched_table, short_text_count,
+    json_document, xml_document, reachable_over_successors,
     *(order_of(name) for name in ORDERED),
 ]
 

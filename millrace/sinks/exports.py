@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.text import quoted
+from millrace.session import discard, materialise
 
 
 def _time_text(value: Column) -> Column:
@@ -16,7 +17,7 @@ def _time_text(value: Column) -> Column:
     return F.when(fraction == "000000", whole).otherwise(F.concat_ws(".", whole, fraction))
 
 
-def _as_text(df: DataFrame) -> DataFrame:
+def _text_columns(df: DataFrame) -> list[Column]:
     """Decimals, dates and timestamps as text; other types as they are."""
     columns = []
     for f in df.schema.fields:
@@ -26,21 +27,18 @@ def _as_text(df: DataFrame) -> DataFrame:
         elif isinstance(f.dataType, (T.DecimalType, T.DateType)):
             column = column.cast("string")
         columns.append(column.alias(f.name))
-    return df.select(*columns)
+    return columns
 
 
 def export_json(df: DataFrame, path: str) -> None:
-    """JSON with nulls kept and decimals and times as text, one record per line, written by all tasks.
-
-    A single document is not offered: one task would have to write all of it.
-    """
-    _as_text(df).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+    """JSON with nulls kept and decimals and times as text, one record per line, written by all tasks."""
+    df.select(*_text_columns(df)).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
 def export_xml(df: DataFrame, path: str) -> None:
     """XML of ``records/record/<column>``; a null is an empty element. Every task writes a document of its own."""
     (
-        _as_text(df)
+        df.select(*_text_columns(df))
         .write.mode("overwrite")
         .format("xml")
         .option("rootTag", "records")
@@ -48,3 +46,42 @@ def export_xml(df: DataFrame, path: str) -> None:
         .option("nullValue", "")
         .save(path)
     )
+
+
+def export_json_document(df: DataFrame, path: str, order: list[str]) -> None:
+    """One JSON array of all records in ``order``, in parts.
+
+    The parts' bytes in the order of their names are the document: the first part opens it, the last
+    one closes it, and a comma stands before every record but the first. A part by itself is none.
+    Values are those of ``export_json``. Records of one key are all written; no records make an empty array.
+    """
+    record = F.to_json(F.struct(*_text_columns(df)), {"ignoreNullFields": "false"})
+    _document(df, path, order, record, ",", "[", "]")
+
+
+def export_xml_document(df: DataFrame, path: str, order: list[str]) -> None:
+    """One XML document ``records/record/<column>`` of all records in ``order``, in parts as ``export_json_document``.
+
+    No records make an empty root.
+    """
+    record = F.to_xml(F.struct(*_text_columns(df)), {"rowTag": "record", "nullValue": ""})
+    _document(df, path, order, record, "", '<?xml version="1.0" encoding="UTF-8"?>\n<records>', "</records>")
+
+
+def _document(df: DataFrame, path: str, order: list[str], record: Column, separator: str, opening: str, closing: str) -> None:
+    """Range-sorted lines; the opening one sorts before all records, the closing one after them."""
+    keys = [f"__k{i}" for i in range(len(order))]
+    # The number parts records of one key. It is stored with them, so each reading finds the same one.
+    stored = materialise(
+        df.select(*[quoted(c).alias(k) for c, k in zip(order, keys)], F.monotonically_increasing_id().alias("__number"), record.alias("value"))
+    )
+    first = stored.agg(F.min(F.struct(*keys, "__number")).getField("__number").alias("first")).scalar()
+    lead = F.when(F.col("__number") == first, F.lit("")).otherwise(F.lit(separator))
+    lines = stored.select(F.lit(1).alias("__kind"), *keys, "__number", F.concat(lead, "value").alias("value"))
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in stored.schema.fields[:-1]]
+    opens = F.col("id") == 0
+    ends = df.sparkSession.range(2).select(
+        F.when(opens, 0).otherwise(2).alias("__kind"), *nothing, F.when(opens, F.lit(opening)).otherwise(F.lit(closing)).alias("value")
+    )
+    lines.union(ends).orderBy("__kind", *keys, "__number").select("value").write.mode("overwrite").text(path)
+    discard(stored)

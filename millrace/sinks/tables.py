@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +25,38 @@ def replace_table(df: DataFrame, name: str) -> int:
     return seen.get["rows"]
 
 
+def switch_table(df: DataFrame, name: str, folder: str) -> int:
+    """Reload ``name`` with NaN as NULL, all or nothing; returns the rows written.
+
+    The rows go to a new place under ``folder``; once they are complete the catalog is told to look there, so
+    readers see the old rows or the new ones and a load that fails changes nothing. The first load makes
+    the table. Its columns stay the same; others are refused before anything is written. Earlier places are
+    kept for readers that began there; ``places_left`` lists them.
+    """
+    spark, place = df.sparkSession, f"{folder.rstrip('/')}/load-{uuid.uuid4().hex}"
+    known = spark.catalog.tableExists(name)
+    if known and (given := df.dtypes) != (held := spark.table(name).dtypes):
+        raise ValueError(f"{name} has the columns {held}, not {given}")
+    seen = Observation()
+    counted = nan_to_null(df).observe(seen, F.count(F.lit(1)).alias("rows"))
+    counted.write.parquet(place)
+    if known:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{place}'")
+        spark.catalog.refreshTable(name)
+    else:
+        spark.catalog.createTable(name, path=place, source="parquet")
+    return seen.get["rows"]
+
+
+def places_left(spark: SparkSession, name: str, folder: str) -> list[str]:
+    """Places under ``folder`` that ``name`` does not read: earlier loads and those that failed."""
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()["data_type"]
+    root = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [str(f.getPath().toString()) for f in files.listStatus(root) if f.getPath().getName().startswith("load-")]
+    return sorted(p for p in found if p.rsplit("/", 1)[1] != described.rsplit("/", 1)[1])
+
+
 def append(df: DataFrame, name: str) -> None:
     """Add rows to ``name``; nothing is compared or removed."""
     df.write.mode("append").saveAsTable(name)

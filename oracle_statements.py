@@ -492,6 +492,15 @@ STATEMENTS = {
         SELECT kind AS event_type, count(event_id) AS rows, count(event_id) > 0 AS passes
         FROM (VALUES ('click'), ('view'), ('purchase'), ('signup'), ('error'), ('none')) k(kind) LEFT JOIN events ON event_type = kind GROUP BY kind
     """,
+    "json_document": "SELECT * REPLACE (nullif(o_orderpriority, '1-URGENT') AS o_orderpriority) FROM orders",
+    "xml_document": "SELECT * REPLACE (CASE WHEN c_acctbal >= 0 THEN c_acctbal END AS c_acctbal) FROM customer",
+    "switched_table": "SELECT * FROM part",
+    "reachable_over_successors": """
+        WITH ring AS (SELECT p_partkey AS node, row_number() OVER (ORDER BY p_partkey) AS place, count(*) OVER () AS size FROM part),
+             starts AS (SELECT p_brand AS root, min(p_partkey) AS node FROM part GROUP BY p_brand)
+        SELECT root, ring.node, CAST((ring.place - first.place + ring.size) % ring.size + 1 AS INT) AS depth
+        FROM starts JOIN ring AS first USING (node) CROSS JOIN ring
+    """,
     "reloaded_table": """
         SELECT count(*) AS loaded, count(*) + count(*) FILTER (p_size > 40) AS stored, CAST(5 AS BIGINT) AS shown,
                CAST(0 AS BIGINT) AS left, count(*) FILTER (p_size > 2) + count(*) FILTER (p_size > 40) AS prices

@@ -211,6 +211,26 @@ def test_table_loads(spark, frame, rows):
     assert spark.table("loads").count() == spark.table("parents").count() == 0
 
 
+def test_switched_table(spark, frame, rows, tmp_path):
+    df = frame("id int, x double", [(1, float("nan")), (2, 0.5)])
+    folder = str(tmp_path / "loads")
+    assert tables.switch_table(df, "switched", folder) == 2
+    reader = spark.table("switched")
+    assert tables.switch_table(df.where("id = 2"), "switched", folder) == 1
+    assert rows(spark.table("switched")) == [(2, 0.5)]
+    broken = frame("id int, x double", [(i, float(i)) for i in range(100)])
+    broken = broken.withColumn("x", F.when(F.col("id") == 99, F.raise_error(F.lit("no"))).otherwise(F.col("x")))
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        tables.switch_table(broken, "switched", folder)
+    assert rows(spark.table("switched")) == [(2, 0.5)]
+    with pytest.raises(ValueError, match="switched"):
+        tables.switch_table(df.withColumn("y", F.lit(1)), "switched", folder)
+    assert sorted(rows(reader.select("id"))) in ([(1,), (2,)], [(2,)])
+    assert len(tables.places_left(spark, "switched", folder)) == 2
+    assert tables.switch_table(df.where("false"), "switched", folder) == 0
+    assert spark.table("switched").count() == 0
+
+
 def test_jdbc_write_options():
     options = tables.jdbc_write_options("jdbc:x", "bom_data", {"year": "INTEGER", "plant_id": "TEXT"}, {"user": "u"})
     assert options["createTableColumnTypes"] == "year INTEGER, plant_id TEXT"
@@ -263,6 +283,26 @@ def test_xml_export(mixed, tmp_path):
     assert sorted(got, key=lambda r: r["id"]) == [{k: None if v is None else str(v) for k, v in r.items()} for r in EXPECTED]
 
 
+def test_documents_in_parts(spark, frame, mixed, tmp_path):
+    exports.export_json_document(mixed, str(tmp_path / "j"), ["id"])
+    assert json.loads(text(tmp_path / "j")) == EXPECTED
+    exports.export_xml_document(mixed, str(tmp_path / "x"), ["id"])
+    got = [{f.tag: f.text for f in record} for record in ET.fromstring(text(tmp_path / "x"))]
+    assert got == [{k: None if v is None else str(v) for k, v in r.items()} for r in EXPECTED]
+    many = frame("k int, value string, `__kind` int", [(i % 7 or None, f'<{i}>,\n"]', i) for i in range(200)] * 2).repartition(5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    exports.export_json_document(many, str(tmp_path / "m"), ["k", "value"])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(glob.glob(f"{tmp_path}/m/part-*")) > 1
+    parsed = json.loads(text(tmp_path / "m"))
+    assert [(r["k"] or 0, r["value"]) for r in parsed] == sorted((i % 7, f'<{i}>,\n"]') for i in [*range(200)] * 2)
+    exports.export_xml_document(many, str(tmp_path / "mx"), ["k"])
+    assert len(ET.fromstring(text(tmp_path / "mx"))) == 400
+    for export, parse in ((exports.export_json_document, json.loads), (exports.export_xml_document, ET.fromstring)):
+        export(mixed.where("false"), str(tmp_path / "none"), ["id"])
+        assert len(parse(text(tmp_path / "none"))) == 0
+
+
 def test_load_query_export(spark, rows, tmp_path):
     (tmp_path / "rooms.json").write_text('[{"id": 1, "name": "a"}, {"id": 2, "name": "b"}]')
     (tmp_path / "students.json").write_text(
