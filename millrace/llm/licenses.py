@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import pairwise, takewhile
 from typing import NamedTuple
 
 import ahocorasick
@@ -169,12 +170,17 @@ def expression_tokens(tokens: Iterable[str]) -> list[str]:
     return read[:complete]
 
 
-def read_expression(text: str, start: int = 0, stop: int | None = None) -> tuple[Expression | None, bool]:
+def read_expression(
+    text: str, start: int = 0, stop: int | None = None, tagged: bool = False
+) -> tuple[Expression | None, bool]:
     """The longest expression at the beginning of ``text[start:stop]`` (lower case), and whether there is none.
 
-    Prose may follow an expression, so tokens are taken as long as they make one.
+    Prose may follow an expression, so tokens are taken as long as they make one. Where a tag begins at
+    ``stop`` (``tagged``), an identifier that runs into it is none.
     """
     found = _TOKEN.finditer(text, start, len(text) if stop is None else stop)
+    if tagged:
+        found = takewhile(lambda token: token.end() < stop or token[0] in "()", found)
     tokens = expression_tokens(token[0].rstrip(".:-") or token[0] for token in found)
     return (evaluate(postfix(tokens)), False) if tokens else (None, True)
 
@@ -202,7 +208,8 @@ def scan_text(text: str | None) -> tuple:
 
     Places are counted in words from 0. The score is the chance that the text
     states a licence, had every notice and expression found a chance of one half
-    to be one, base phrases of three quarters.
+    to be one, base phrases of three quarters. An expression ends where another tag begins, so each
+    part of a line is read once.
     """
     data = (text or "").encode("utf-8", "surrogatepass")
     words = data.translate(_WORDS).split()
@@ -222,12 +229,13 @@ def scan_text(text: str | None) -> tuple:
     expressions = broken = 0
     permissive = None
     lowered = data.lower().decode("utf-8", "surrogatepass")
-    stop = -1
-    for end, _ in _tags().iter(lowered):
-        if stop < end:
-            stop = lowered.find("\n", end)
-            stop = stop if stop >= 0 else len(lowered)
-        value, none = read_expression(lowered, end + 1, stop)
+    line = -1
+    tags = [(end + 1 - len(tag), end + 1) for end, tag in _tags().iter(lowered)]
+    for (_, start), (following, _) in pairwise([*tags, (len(lowered) + 1, 0)]):
+        if line < start:
+            line = lowered.find("\n", start)
+            line = line if line >= 0 else len(lowered)
+        value, none = read_expression(lowered, start, min(line, following), following <= line)
         if none:
             broken += 1
             continue

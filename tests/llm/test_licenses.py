@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import pytest
 
@@ -86,6 +87,21 @@ def test_long_expressions(n, marks):
     assert set(got[5].split(",")) == set(names) and got[7:] == (1, 0, False)
 
 
+@pytest.mark.parametrize(
+    ("line", "want"),
+    [
+        ("spdx-license-identifier:mit or " * 60_000, ("mit", 60_000, 0)),
+        ("spdx-license-identifier:" * 60_000 + "isc", ("isc", 1, 59_999)),
+        ("spdx-license-identifier:(" * 60_000, ("", 0, 60_000)),
+        ("SPDX-License-Identifier: MIT or (Zlib)License-Expression: ISC and x-license-expression:0BSD", ("0bsd,isc,mit,zlib", 3, 0)),
+    ],
+)
+def test_tags_of_one_line(line, want):
+    begun = time.perf_counter()
+    got = L.scan_text(line)
+    assert (got[5], got[7], got[8]) == want and time.perf_counter() - begun < 10
+
+
 def test_longest_expression_against_every_prefix():
     rng = random.Random(5)
     found = 0
