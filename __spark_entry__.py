@@ -37,6 +37,7 @@ from millrace.sources.files import (  # noqa: E402
     read_json_records,
     read_number_list,
 )
+from millrace.sources.ranges import read_csv_ranges  # noqa: E402
 from millrace.sources.schemas import REVIEWS  # noqa: E402
 from millrace.streaming.pickup import publish_new_files  # noqa: E402
 from oracle_statements import STATEMENTS  # noqa: E402
@@ -724,6 +725,19 @@ def csv_with_missing_values(spark: SparkSession, sf: str) -> DataFrame:
     return read_csv_na(spark, path, EVENT_TYPES)
 
 
+NOTES = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("note", T.StringType())])
+
+
+def csv_in_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents as CSV values that hold quotes and line feeds, read back in ranges of files."""
+    path = scratch_path(spark)
+    note = F.concat("text", F.lit('\nfrom "'), "source", F.lit('",\n\nin '), F.coalesce("lang", F.lit("no language")))
+    documents = table(spark, sf, "documents").select("doc_id", note.alias("note"), F.col("lang").alias("spoken"))
+    whole = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    documents.write.options(header=True, escape='"', **whole).csv(path)
+    return read_csv_ranges(spark, path, NOTES)
+
+
 def number_lists(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark)
     table(spark, sf, "part").select(F.concat_ws(" , ", "p_partkey", "p_size", "p_retailprice").alias("value")).write.text(path)
@@ -896,7 +910,7 @@ QUERIES = [
     same_multiset, max_after_level, event_runs, pairwise_distance,
     mean_gap, sorted_values, median_price, lowest_percentile_above, share_above, std_price,
     upsert_customers, insert_if_absent, constraint_violations, profile,
-    json_round_trip, json_missing_keys, xml_round_trip, csv_with_missing_values, number_lists, bom_from_csv,
+    json_round_trip, json_missing_keys, xml_round_trip, csv_with_missing_values, csv_in_ranges, number_lists, bom_from_csv,
     picked_up_files, processed_folder, empty_files, published_merges, keyed_merges, reloaded_table, switched_table, short_text_count,
     json_document, xml_document, reachable_over_successors,
     *(order_of(name) for name in ORDERED),

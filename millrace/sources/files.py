@@ -12,6 +12,10 @@ from millrace.functions.text import na_to_null, nan_to_null, quoted
 from millrace.sources.schemas import BOM
 
 
+#: Quotes inside quoted values are doubled.
+CSV = {"escape": '"'}
+
+
 def read_csv_na(
     spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True, stream: bool = False
 ) -> DataFrame:
@@ -21,18 +25,28 @@ def read_csv_na(
     stream takes exactly the columns of ``schema``, in its order). Every column is
     read as text, cleared of missing-value texts and then cast, so a text that is
     not a number fails instead of turning into NULL. Files with quoted newlines
-    cannot be split; pass ``multi_line=False`` for large files known to have none.
+    cannot be split by this reader: ``ranges.read_csv_ranges`` reads large ones. Pass ``multi_line=False``
+    for large files known to have none.
     """
-    options = {"header": True, "multiLine": multi_line, "escape": '"'}
+    options = {"header": True, "multiLine": multi_line, **CSV}
     if stream:
         texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
     else:
-        texts = spark.read.options(**options).csv(path).schema
+        texts = csv_columns(spark, path, multi_line)
         if not texts.fields:  # a zero-byte file has no header
             return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
     # Every file's header is compared with the first one's: a file of another column order fails.
     reader = spark.readStream if stream else spark.read
-    raw = reader.schema(texts).options(**options, enforceSchema=False).csv(path)
+    return cleared(reader.schema(texts).options(**options, enforceSchema=False).csv(path), schema)
+
+
+def csv_columns(spark: SparkSession, path: str, multi_line: bool = True) -> T.StructType:
+    """The columns of CSV files by their first header, all as text; none for a zero-byte file."""
+    return spark.read.options(header=True, multiLine=multi_line, **CSV).csv(path).schema
+
+
+def cleared(raw: DataFrame, schema: T.StructType) -> DataFrame:
+    """Text columns cleared of missing-value texts, those of ``schema`` first and cast."""
     others = [c for c in raw.columns if c not in schema.names]
     return raw.select(
         *[na_to_null(quoted(f.name)).cast(f.dataType).alias(f.name) for f in schema.fields],

@@ -484,6 +484,10 @@ STATEMENTS = {
                CASE WHEN event_type <> 'error' THEN value END AS value
         FROM events
     """,
+    "csv_in_ranges": """
+        SELECT doc_id, text || chr(10) || 'from "' || source || '",' || chr(10) || chr(10) || 'in ' || coalesce(lang, 'no language') AS note, lang AS spoken
+        FROM documents
+    """,
     "number_lists": " UNION ALL ".join(
         f"SELECT {i} AS idx, count(*) AS lines, round(sum(CAST({c} AS DOUBLE)), 2) AS total, max(CAST({c} AS DOUBLE)) AS greatest FROM part"
         for i, c in enumerate(["p_partkey", "p_size", "p_retailprice"])
