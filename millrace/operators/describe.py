@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.text import quoted
-from millrace.operators.quantiles import TASK_VALUES, percentiles_by
-from millrace.session import materialise
+from millrace.operators.quantiles import TASK_VALUES, percentiles_of
 
 QUARTILES = [0.25, 0.5, 0.75]
 
@@ -27,52 +26,41 @@ def describe_by(
 ) -> DataFrame:
     """Per group and numeric column: count, mean, std (sample), min, quartiles, max.
 
-    One row per group and column. Groups with a NULL key are left out. The moments
-    are one aggregate, stored with one row per group.
+    One row per group and column. Groups with a NULL key are left out. The moments come from the
+    scan that brackets the quartiles.
     """
     columns = columns or numeric_columns(df, besides=keys)
-    names = [quoted(k) for k in keys]
-    present = df.select(*names, *[quoted(c).cast("double").alias(c) for c in columns])
+    present = df.select(*[quoted(k) for k in keys], *[quoted(c).cast("double").alias(f"s{i}") for i, c in enumerate(columns)])
     for k in keys:
         present = present.where(quoted(k).isNotNull())
-    moments = materialise(
-        present.groupBy(*names).agg(
-            *[
-                F.struct(
-                    F.count(quoted(c)).alias("count"),
-                    F.avg(quoted(c)).alias("mean"),
-                    F.stddev_samp(quoted(c)).alias("std"),
-                    F.min(quoted(c)).alias("min"),
-                    F.max(quoted(c)).alias("max"),
-                ).alias(f"s{i}")
-                for i, c in enumerate(columns)
-            ]
+    moments = [
+        F.struct(
+            F.lit(c).alias("column"),
+            F.count(f"s{i}").alias("count"),
+            F.avg(f"s{i}").alias("mean"),
+            F.stddev_samp(f"s{i}").alias("std"),
+            F.min(f"s{i}").alias("min"),
+            F.max(f"s{i}").alias("max"),
         )
-    )
-    melted = _unfold(
-        present.select(*names, *[quoted(c).alias(f"s{i}") for i, c in enumerate(columns)]), names, columns, "__x"
-    )
-    ranks = percentiles_by(melted, keys + ["column"], "__x", QUARTILES, task_values)
-    return _unfold(moments, names, columns, "m").join(ranks, keys + ["column"], "left").select(
-        *names,
-        "column",
-        "m.count",
-        "m.mean",
-        "m.std",
-        "m.min",
+        for i, c in enumerate(columns)
+    ]
+    places = [f"s{i}" for i in range(len(columns))]
+    described = percentiles_of(present, keys, places, QUARTILES, [F.array(*moments).alias("moments")], task_values)
+    each = described.select(*[quoted(k) for k in keys], F.inline(F.arrays_zip("moments", "percentiles")))
+    return each.select(
+        *[quoted(k) for k in keys],
+        "moments.column",
+        "moments.count",
+        "moments.mean",
+        "moments.std",
+        "moments.min",
         F.col("percentiles")[0].alias("p25"),
         F.col("percentiles")[1].alias("p50"),
         F.col("percentiles")[2].alias("p75"),
-        "m.max",
+        "moments.max",
     )
 
 
-def _unfold(wide: DataFrame, names: list, columns: list[str], value: str) -> DataFrame:
-    """One row per column of ``wide``'s ``s0, s1, ..``: ``names, column, value``."""
-    pairs = [F.struct(F.lit(c).alias("column"), F.col(f"s{i}").alias(value)) for i, c in enumerate(columns)]
-    return wide.select(*names, F.inline(F.array(*pairs)))
-
-
 def profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Count, mean, standard deviation, minimum and maximum of each column, as text."""
     return df.describe(*(columns or []))

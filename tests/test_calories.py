@@ -3,6 +3,9 @@ import random
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
+from millrace.operators import quantiles
 from millrace.operators.quantiles import percentiles_by
 from millrace.plans import calories
 
@@ -48,3 +51,19 @@ def test_grouped_percentiles_match_numpy(frame, rows, limit):
     assert set(got) == set(groups)
     for g, values in data.items():
         assert got[g] == pytest.approx(list(np.percentile(values, [100 * f for f in fractions])))
+
+
+@pytest.mark.parametrize("accuracy", [1, 3, 2000])
+def test_ranks_outside_their_bracket(spark, rows, monkeypatch, accuracy):
+    """A coarse sketch misplaces brackets; the values are found in the parts beside them."""
+    monkeypatch.setattr(quantiles, "ACCURACY", accuracy)
+    df = spark.range(60_000).selectExpr("id % 3 AS g", "pow(pmod(hash(id), 30011), 2) AS v", "IF(id % 3 = 1, NULL, pmod(hash(id), 7)) AS w")
+    fractions = [0.0, 0.01, 0.25, 0.5, 0.777, 1.0]
+    data = df.toPandas()
+    for limit in (500, quantiles.TASK_VALUES):
+        got = rows(quantiles.percentiles_of(df, ["g"], ["v", "w"], fractions, [F.count("*").alias("n")], limit))
+        assert sorted(r[0] for r in got) == [0, 1, 2]
+        for g, n, (v, w) in got:
+            own = data[data.g == g]
+            assert n == len(own) and v == pytest.approx(list(np.percentile(own.v, [100 * f for f in fractions])))
+            assert w == ([None] * 6 if g == 1 else pytest.approx(list(np.percentile(own.w, [100 * f for f in fractions]))))
