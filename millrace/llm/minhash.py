@@ -13,7 +13,8 @@ what is alike; a bucket's pivots, a sample, go to all its blocks. The second rou
 that are not connected yet: where there are several blocks, the members outside the largest component meet
 every one. Then all pairs of members of different components have met, hence no link is lost between components.
 
-Full sets are formed again from the texts, for members of buckets only.
+Each round compares signatures twice: first without the sets, which leaves the rows that are in a pair to be verified;
+only these rows are sent on with their sets. Full sets are formed again from the texts, for members of buckets only.
 """
 
 from __future__ import annotations
@@ -51,6 +52,7 @@ TEXT_BYTES = 1 << 21
 ROWS, SET_BYTES = 4096, 32 << 20
 
 _SETS = "place long, doc_id long, t long, n long, d1 long, d2 long, keys array<long>"
+_TILES = ["tile", "band", "side", "node", "root"]
 _MEMBERS = "node long, n long, keys array<long>, sketch binary, hashes binary"
 
 
@@ -241,6 +243,64 @@ def _connecting(tile, i, j, agreed, node, root, sets, percent: int) -> list[tupl
     return links
 
 
+def _pairs(rows: pa.Table, percent: int, miss: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of rows of a tile that are to be verified, and the hashes in which they agree.
+
+    They differ in ``root``, and in ``side`` unless that is null, meet first in the tile's band, and no batch gives them up.
+    """
+    tile, band, n, root = (rows[c].to_numpy() for c in ("tile", "band", "n", "root"))
+    side = pc.fill_null(rows["side"], -1).to_numpy()
+    sketch = np.frombuffer(b"".join(rows["sketch"].to_pylist()), dtype="u1").reshape(-1, HASHES)
+    keys = rows["keys"].combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+    found = [(np.zeros(0, "i8"),) * 3]
+    i, step = np.arange(len(tile) - 1), 1
+    while len(i):
+        i = i[i + step < len(tile)]
+        i = i[tile[i] == tile[i + step]]
+        j = i + step
+        meet = (root[i] != root[j]) & ((side[i] < 0) | (side[i] != side[j]))
+        x, y, agreed = surviving(sketch, n, i[meet], j[meet], percent, miss)
+        first = np.argmax(keys[x] == keys[y], axis=1) == band[x] if len(x) else np.zeros(0, dtype=bool)
+        found.append((x[first], y[first], agreed[first]))
+        step += 1
+    i, j, agreed = map(np.concatenate, zip(*found))
+    return i, j, agreed
+
+
+def _whole_tiles(batches: Iterator[pa.RecordBatch], entry_bytes: int) -> Iterator[pa.Table]:
+    """Rows sorted by tile, some whole tiles at a time; a set's entry counts as so many bytes."""
+    held, size, weight = [], 0, 0
+    for whole in batches:
+        for at in range(0, len(whole), 512):
+            batch = whole.slice(at, 512)
+            held.append(batch)
+            size += len(batch)
+            weight += entry_bytes * pc.sum(batch.column("n")).as_py()
+            if size < ROWS and weight < SET_BYTES:
+                continue
+            rows = pa.Table.from_batches(held)
+            begins = np.flatnonzero(np.diff(rows["tile"].to_numpy()))
+            if len(begins):  # the last tile may go on
+                stop = int(begins[-1]) + 1
+                yield rows.slice(0, stop)
+                rows = rows.slice(stop)
+                held, size, weight = rows.to_batches(), len(rows), entry_bytes * pc.sum(rows["n"]).as_py()
+    if size:
+        yield pa.Table.from_batches(held)
+
+
+def _facing(percent: int, miss: float):
+    """Function from rows sorted by tile, without sets, to those that are in a pair to be verified."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _whole_tiles(batches, 0):
+            i, j, _ = _pairs(rows, percent, miss)
+            found = rows.select(_TILES).take(np.union1d(i, j))
+            yield from found.to_batches()
+
+    return run
+
+
 def _met(percent: int, miss: float):
     """Function from rows sorted by tile to links between rows that differ in ``root``.
 
@@ -248,45 +308,14 @@ def _met(percent: int, miss: float):
     """
 
     def linked(rows: pa.Table) -> pa.RecordBatch:
-        tile, band, n, node, root = (rows[c].to_numpy() for c in ("tile", "band", "n", "node", "root"))
-        side = pc.fill_null(rows["side"], -1).to_numpy()
-        sketch = np.frombuffer(b"".join(rows["sketch"].to_pylist()), dtype="u1").reshape(-1, HASHES)
-        keys = rows["keys"].combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
-        found = [(np.zeros(0, "i8"),) * 3]
-        i, step = np.arange(len(tile) - 1), 1
-        while len(i):
-            i = i[i + step < len(tile)]
-            i = i[tile[i] == tile[i + step]]
-            j = i + step
-            meet = (root[i] != root[j]) & ((side[i] < 0) | (side[i] != side[j]))
-            x, y, agreed = surviving(sketch, n, i[meet], j[meet], percent, miss)
-            first = np.argmax(keys[x] == keys[y], axis=1) == band[x] if len(x) else np.zeros(0, dtype=bool)
-            found.append((x[first], y[first], agreed[first]))
-            step += 1
-        i, j, agreed = map(np.concatenate, zip(*found))
+        i, j, agreed = _pairs(rows, percent, miss)
         sets = [s.as_buffer() for s in rows["hashes"].combine_chunks()] if len(i) else []
-        links = _connecting(tile.tolist(), i, j, agreed, node.tolist(), root.tolist(), sets, percent)
+        tile, node, root = (rows[c].to_pylist() for c in ("tile", "node", "root"))
+        links = _connecting(tile, i, j, agreed, node, root, sets, percent)
         return pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, weight = [], 0, 0
-        for whole in batches:
-            for at in range(0, len(whole), 512):
-                batch = whole.slice(at, 512)
-                held.append(batch)
-                size += len(batch)
-                weight += 8 * pc.sum(batch.column("n")).as_py()
-                if size < ROWS and weight < SET_BYTES:
-                    continue
-                rows = pa.Table.from_batches(held)
-                begins = np.flatnonzero(np.diff(rows["tile"].to_numpy()))
-                if len(begins):  # the last tile may go on
-                    stop = int(begins[-1]) + 1
-                    yield linked(rows.slice(0, stop))
-                    rows = rows.slice(stop)
-                    held, size, weight = rows.to_batches(), len(rows), 8 * pc.sum(rows["n"]).as_py()
-        if size:
-            yield linked(pa.Table.from_batches(held))
+        yield from map(linked, _whole_tiles(batches, 8))
 
     return run
 
@@ -296,7 +325,8 @@ def _whole_sets(docs: DataFrame, classes: DataFrame, members: DataFrame, words:
     nodes = materialise(members.select("node").distinct())
     wanted = materialise(classes.join(nodes, "node", "left_semi").select("node", F.col("first").alias("__id"), F.col("t").alias("__t")))
     same = (F.col("t") == F.col("__t")) & F.col("doc_id").eqNullSafe(F.col("__id"))
-    texts = docs.join(wanted, same).select("node", "text").dropDuplicates(["node"])
+    # Shuffled at every size, as the list of members grows with the texts.
+    texts = docs.join(wanted.hint("shuffle_hash"), same).select("node", "text").dropDuplicates(["node"])
     formed = materialise(texts.mapInArrow(_formed(words), _MEMBERS))
     discard(nodes, wanted)
     return formed
@@ -304,11 +334,14 @@ def _whole_sets(docs: DataFrame, classes: DataFrame, members: DataFrame, words:
 
 def _links(tiles: DataFrame, whole: DataFrame, percent: int, miss: float) -> DataFrame:
     """Links ``a, b`` from ``tiles`` (``tile, band, side, node, root``)."""
+    def dealt(tiles: DataFrame, *sets: str) -> DataFrame:
+        rows = tiles.join(whole.select("node", "n", "sketch", "keys", *sets).hint("merge"), "node")
+        return rows.select(*_TILES, "n", "sketch", "keys", *sets).repartition("tile").sortWithinPartitions("tile", "node")
+
     tiles = materialise(tiles)
-    rows = tiles.join(whole, "node").select("tile", "band", "side", "n", "node", "root", "sketch", "keys", "hashes")
-    dealt = rows.repartition("tile").sortWithinPartitions("tile", "node")
-    links = materialise(dealt.mapInArrow(_met(percent, miss), "a long, b long"))
-    discard(tiles)
+    facing = materialise(dealt(tiles).mapInArrow(_facing(percent, miss), tiles.schema))
+    links = materialise(dealt(facing, "hashes").mapInArrow(_met(percent, miss), "a long, b long"))
+    discard(tiles, facing)
     return links
 
 

@@ -125,3 +125,26 @@ def test_recall_of_bands():
 def test_sets():
     digests, at = minhash.shingle_sets(pa.array([None, "a b A b c", "", "x"]))
     assert np.diff(at).tolist() == [0, 3, 0, 1]
+
+
+def test_sets_of_unlike_members_stay(spark, frame):
+    """Texts that share buckets and are not alike enough cost their signatures there, not their sets."""
+    rng = random.Random(12)
+    words = [f"w{i}" for i in range(2000)]
+    rows = []
+    for i in range(40):
+        own = list(words)
+        for at in rng.sample(range(1000), 125):  # pairs have a similarity of about 0.65
+            own[2 * at] = f"o{i}x{at}"
+        rows.append((i, " ".join(own)))
+    sets = [plain_set(t) for _, t in rows]
+    assert all(0.6 < len(sets[x] & sets[y]) / len(sets[x] | sets[y]) < 0.68 for x in range(40) for y in range(x))
+
+    def shuffled():
+        executors = spark._jsc.sc().statusStore().executorList(False)
+        return sum(executors.apply(i).totalShuffleWrite() for i in range(executors.size()))
+
+    before = shuffled()
+    got = minhash.near_duplicates(frame(SCHEMA, [(*r, 1, "x") for r in rows]))
+    assert result(got) == sorted(plain(rows), key=repr)
+    assert shuffled() - before < 6 * sum(len(t) for _, t in rows)
