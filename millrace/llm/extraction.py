@@ -1,16 +1,16 @@
 """Main text of web pages, with boilerplate told by what the pages of a host repeat.
 
-Markup is taken apart into blocks of text in page order. An article's blocks stand;
-menus, forms, adverts and the like go by their elements. What else stands outside an article
-is judged by the host's suffix array: the pages' token streams are laid together,
-and all suffixes that share their first ``RUN_TOKENS`` tokens form one interval of
-the array, which is one group of a shuffle by host and those tokens. An interval that holds
-suffixes of enough different streams is a repeated substring. On a page without an article
-a block that such substrings cover from end to end is boilerplate, and the others are its
-text; ``extract`` can cut the covered tokens out of blocks as well.
-
-Intervals are found for a whole host whatever its size: one page stands for equal streams and
-gives each of its suffixes once, so a group holds a count only and is summed before the shuffle.
+Markup is taken apart into blocks of text in page order. Menus, forms, adverts and the like go by their
+elements, and so does what stands outside the article of a page that has one. All other blocks are judged by
+the host's suffix array: the pages' token streams are laid together, articles included, and all suffixes that share their
+first ``RUN_TOKENS`` tokens form one interval of the array. An interval that holds suffixes of enough different streams is a
+repeated substring, and a block that such substrings cover from end to end is boilerplate. An article of which
+most would go is a reprint and stands.
+
+The array is sorted in groups of a host's streams (``main_text``): what a share of all streams holds, as large a share of
+some group holds, so only the common suffixes of groups are counted over the host. ``extract`` judges pages without an
+article alone, at any bounds, and can cut the covered tokens out of blocks as well; its intervals are groups of a
+shuffle by host and tokens.
 """
 
 from __future__ import annotations
@@ -20,6 +20,8 @@ import re
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Callable, Iterator
+from functools import lru_cache, reduce
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -29,18 +31,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.llm.minhash import mix
 from millrace.llm.urls import host_of
-from millrace.session import materialise
+from millrace.session import discard, materialise
 
 #: Tokens that a repeated substring has at least.
 RUN_TOKENS = 6
 #: Distinct pages of a host, and share of them, that repeat a run of boilerplate.
-BOILERPLATE_PAGES, BOILERPLATE_SHARE = 5, 0.01
+BOILERPLATE_PAGES, BOILERPLATE_SHARE = 5, 0.5
+#: Streams of a host whose suffixes are sorted at once, on average, and rounds in which groups are shuffled.
+GROUP_PAGES, ROUNDS = 1000, 4
 
 PARSED = (
     "page_id long, url string, host string, text string, open array<string>, stream long, keys array<long>, "
     "others array<long>"
 )
+LAID = "page_id long, url string, host string, article boolean, blocks array<string>, stream long, others array<long>"
 
 #: A tag whose quoted values may hold ``>`` (else it ends at the first one), and one that ends at the first ``>``.
 _TAG, _TO_FIRST = (
@@ -194,12 +200,18 @@ def blocks(page: str | None) -> tuple[list[str], list[str], list[str]]:
     return found[MAIN], found[OTHER], found[CHROME] + found[FRAME]
 
 
-def suffix_keys(tokens: list[str], size: int) -> list[int]:
+@lru_cache(maxsize=1 << 18)
+def _digest(token: str) -> int:
+    return xxhash.xxh64_intdigest(token.encode("utf-8", "surrogatepass"))
+
+
+def suffix_keys(tokens: list[str], size: int) -> np.ndarray:
     """Signed digests of the first ``size`` tokens of each suffix that has as many."""
-    coded = [t.encode("utf-8", "surrogatepass") for t in tokens]
-    return [
-        xxhash.xxh64_intdigest(b" ".join(coded[i : i + size])) - (1 << 63) for i in range(max(0, len(coded) - size + 1))
-    ]
+    coded = np.fromiter(map(_digest, tokens), dtype="u8", count=len(tokens))
+    keys = np.zeros(max(0, len(coded) - size + 1), dtype="u8")
+    for i in range(size):
+        keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) + coded[i : i + len(keys)])
+    return keys.view("i8")
 
 
 def _parsed(size: int):
@@ -289,6 +301,131 @@ def extract(
     return every.withColumn("n_chars", F.length("text").cast("long"))
 
 
-def main_text(pages: DataFrame) -> DataFrame:
-    """As ``extract``, without the blocks that many pages of a host repeat; no block loses a part."""
-    return extract(pages, least_pages=BOILERPLATE_PAGES, share=BOILERPLATE_SHARE, whole_blocks=True)
+def _laid_out(size: int):
+    """Function from pages to the blocks to be judged, and the suffixes of what else stands on a page."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            articles, judged, streams, others = [], [], [], []
+            for page in batch.column(3):
+                main, free, chrome = blocks(page.as_py())
+                articles.append(bool(main))
+                judged.append(main or free)
+                rest = " ".join((free if main else []) + chrome)
+                others.append(suffix_keys(rest.split(), size))
+                stream = "\n".join([" ".join(judged[-1]), rest]).encode("utf-8", "surrogatepass")
+                streams.append(xxhash.xxh64_intdigest(stream) - (1 << 63))
+            columns = [
+                *batch.columns[:3], pa.array(articles, pa.bool_()), pa.array(judged, pa.list_(pa.string())),
+                pa.array(streams, pa.int64()), pa.array(others, pa.list_(pa.int64())),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in LAID.split(", ")])
+
+    return run
+
+
+def _tokens(parts: list[str]) -> list[str]:
+    return " ".join(parts).split()
+
+
+def _intervals(size: int, least_pages: int, share: float):
+    """Function from pages sorted by host and group to a group's suffix array: intervals of enough of its streams.
+
+    Of a host with one group these are its repeated substrings, of another all that may be.
+    """
+
+    def pages(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            for at in range(0, len(batch), 64):
+                yield from batch.slice(at, 64).to_pylist()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (host, _, groups), rows in groupby(pages(batches), key=lambda r: (r["host"], r["group"], r["groups"])):
+            streams = {}
+            for r in rows:  # one page stands for equal streams and gives each of its suffixes once
+                if r["stream"] not in streams:
+                    own = suffix_keys(_tokens(r["blocks"]), size)
+                    streams[r["stream"]] = np.unique(np.concatenate([own, np.array(r["others"], dtype="i8")]))
+            key, count = np.unique(np.concatenate(list(streams.values())), return_counts=True)
+            found = key[(count >= share * len(streams)) & (count >= (least_pages if groups == 1 else 1))]
+            columns = [pa.array([host] * len(found), pa.string()), pa.array([groups] * len(found), pa.int64()), pa.array(found)]
+            yield pa.RecordBatch.from_arrays(columns, names=["host", "groups", "key"])
+
+    return run
+
+
+def _held(size: int):
+    """Function from pages and suffixes of their host to those that a page has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, len(batch), 64):
+                out = []
+                for r in batch.slice(at, 64).to_pylist():
+                    own = np.concatenate([suffix_keys(_tokens(r["blocks"]), size), np.array(r["others"], dtype="i8")])
+                    out += [(r["host"], r["stream"], k) for k in np.intersect1d(own, np.array(r["asked"], dtype="i8")).tolist()]
+                columns = [pa.array([x[i] for x in out], t) for i, t in enumerate((pa.string(), pa.int64(), pa.int64()))]
+                yield pa.RecordBatch.from_arrays(columns, names=["host", "stream", "key"])
+
+    return run
+
+
+def common_keys(laid: DataFrame, size: int, least_pages: int, share: float) -> DataFrame:
+    """``host, keys``: the intervals with suffixes of so many different streams of a host, and such a share of them."""
+    streams = laid.select("host", "stream").distinct().groupBy("host").agg(F.count("*").alias("streams"))
+    hosts = materialise(streams.where(F.col("streams") >= least_pages).withColumn("groups", F.ceil(F.col("streams") / GROUP_PAGES)))
+    group = F.pmod(F.xxhash64("stream"), "groups")
+    dealt = laid.join(hosts, "host").select("host", "streams", "groups", group.alias("group"), "stream", "blocks", "others")
+    parts = []
+    for i in range(ROUNDS):
+        part = dealt.where(F.pmod(F.xxhash64("host", "group"), F.lit(ROUNDS)) == i)
+        part = part.repartition("host", "group").sortWithinPartitions("host", "group")
+        parts.append(materialise(part.mapInArrow(_intervals(size, least_pages, share), "host string, groups long, key long")))
+    found = reduce(DataFrame.union, parts)
+    asked = materialise(found.where("groups > 1").groupBy("host").agg(F.collect_set("key").alias("asked")))
+    held = dealt.join(asked, "host").select("host", "stream", "blocks", "others", "asked")
+    counts = held.mapInArrow(_held(size), "host string, stream long, key long").groupBy("host", "key").agg(F.count_distinct("stream").alias("pages"))
+    enough = (F.col("pages") >= least_pages) & (F.col("pages") >= F.col("streams") * share)
+    counted = counts.join(hosts, "host").where(enough).select("host", "key")
+    every = found.where("groups = 1").select("host", "key").union(counted)
+    keys = materialise(every.groupBy("host").agg(F.collect_list("key").alias("keys")))
+    discard(hosts, asked, *parts)
+    return keys
+
+
+def _left_blocks(size: int):
+    @F.pandas_udf(T.StringType())
+    def left(judged: pd.Series, article: pd.Series, keys: pd.Series) -> pd.Series:
+        texts = []
+        for parts, stands, repeated in zip(judged, article, keys):
+            kept = list(parts)
+            if repeated is not None:
+                tokens = _tokens(parts)
+                free = np.ones(len(tokens) + size, dtype=bool)
+                for start in np.flatnonzero(np.isin(suffix_keys(tokens, size), repeated)):
+                    free[start : start + size] = False
+                ends = np.cumsum([len(p.split()) for p in parts])
+                kept = [p for p, end in zip(parts, ends) if free[end - len(p.split()) : end].any()]
+                if stands and 2 * len(_tokens(kept)) < len(tokens):
+                    kept = list(parts)
+            texts.append("\n\n".join(kept))
+        return pd.Series(texts, dtype=object)
+
+    return left
+
+
+def main_text(
+    pages: DataFrame, run_tokens: int = RUN_TOKENS, least_pages: int = BOILERPLATE_PAGES, share: float = BOILERPLATE_SHARE
+) -> DataFrame:
+    """``page_id, url, text, n_chars`` for every row of ``pages``, as in ``extract``; articles are judged, too.
+
+    A page has the blocks of its articles, or without one those in the open, but for those that runs of ``run_tokens`` tokens
+    cover from end to end which ``least_pages`` different streams of the host and a ``share`` of them repeat. A stream is all of a
+    page's tokens. No block loses a part, and an article stands as it is if less than half of its tokens would.
+    """
+    given = pages.select("page_id", "url", host_of(F.col("url")).alias("host"), "html")
+    laid = materialise(given.mapInArrow(_laid_out(run_tokens), LAID))
+    keys = common_keys(laid, run_tokens, least_pages, share)
+    text = _left_blocks(run_tokens)("blocks", "article", "keys")
+    judged = laid.select("page_id", "url", "host", "blocks", "article").join(keys, "host", "left").select("page_id", "url", text.alias("text"))
+    return judged.withColumn("n_chars", F.length("text").cast("long"))

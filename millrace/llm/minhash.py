@@ -56,7 +56,7 @@ _TILES = ["tile", "band", "side", "node", "root"]
 _MEMBERS = "node long, n long, keys array<long>, sketch binary, hashes binary"
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
+def mix(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> np.uint64(30))
     x *= np.uint64(0xBF58476D1CE4E5B9)
     x ^= x >> np.uint64(27)
@@ -98,7 +98,7 @@ def shingle_sets(texts: pa.Array, words: int = SHINGLE_WORDS) -> tuple[np.ndarra
         there = left > i
         step = np.zeros(len(word), dtype="u8")
         step[: len(word) - i] = word[i:]
-        digest = np.where(there, _mix(digest * np.uint64(0x9E3779B97F4A7C15) + step), digest)
+        digest = np.where(there, mix(digest * np.uint64(0x9E3779B97F4A7C15) + step), digest)
     begins = left >= length
     digest, own = digest[begins], own[begins]
     order = np.lexsort((digest, own))
@@ -128,7 +128,7 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
     bands = signature[:, : BANDS * BAND_HASHES].reshape(len(signature), BANDS, BAND_HASHES)
     key = np.broadcast_to(np.arange(BANDS, dtype="u8"), bands.shape[:2])
     for i in range(BAND_HASHES):
-        key = _mix(key * np.uint64(0x9E3779B97F4A7C15) + bands[:, :, i])
+        key = mix(key * np.uint64(0x9E3779B97F4A7C15) + bands[:, :, i])
     return key
 
 

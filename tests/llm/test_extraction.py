@@ -131,3 +131,74 @@ def test_share_of_a_hosts_pages(spark, frame):
     got = E.extract(frame(PAGES, rows), least_pages=5, share=0.5, whole_blocks=True).collect()
     kept = {h: sum(shared in r.text for r in got if r.url == f"http://{h}/x") for h in "ab"}
     assert kept == {"a": 0, "b": 6}
+
+
+def plain_left(streams, size, least_pages, share):
+    """Texts of one host's pages, given as ``(article, blocks, rest)``, by comparing all runs."""
+
+    def runs(tokens):
+        return {tuple(tokens[i : i + size]) for i in range(len(tokens) - size + 1)}
+
+    distinct = {(tuple(" ".join(b).split()), tuple(r.split())) for _, b, r in streams}
+    held = [runs(b) | runs(r) for b, r in distinct]
+    texts = []
+    for article, parts, _ in streams:
+        tokens, covered = " ".join(parts).split(), set()
+        for i in range(len(tokens) - size + 1):
+            pages = sum(tuple(tokens[i : i + size]) in h for h in held)
+            if pages >= least_pages and pages >= share * len(distinct):
+                covered.update(range(i, i + size))
+        kept, at = [], 0
+        for p in parts:
+            n = len(p.split())
+            if not covered.issuperset(range(at, at + n)):
+                kept.append(p)
+            at += n
+        texts.append("\n\n".join(parts if article and 2 * len(" ".join(kept).split()) < len(tokens) else kept))
+    return texts
+
+
+@pytest.mark.parametrize("group_pages", [4, 1000])
+@pytest.mark.parametrize("share", [0.2, 0.5])
+def test_main_text_against_all_runs(spark, frame, monkeypatch, group_pages, share):
+    monkeypatch.setattr(E, "GROUP_PAGES", group_pages)
+    rng = random.Random(8)
+    shared = [" ".join(f"s{rng.randrange(9)}" for _ in range(rng.randint(4, 12))) for _ in range(6)]
+    rows, hosts = [], {}
+    for i in range(90):
+        host, article = f"h{min(i % 10, 3)}", rng.random() < 0.6
+        parts = [rng.choice(shared) if rng.random() < 0.6 else f"own{i} " * rng.randint(1, 14) for _ in range(rng.randint(1, 5))]
+        rest = rng.choice(shared)
+        if i in (7, 17, 27):  # equal pages count once
+            article, parts, rest = True, shared[:3], shared[3]
+        name = "article" if article else "div"
+        rows.append((i, f"http://{host}/x", page(f"<nav>{rest}</nav><{name}>" + "".join(f"<p>{p}</p>" for p in parts) + f"</{name}>"), "t", 1, 1))
+        hosts.setdefault(host, []).append((i, (article, [" ".join(p.split()) for p in parts], rest)))
+    want = {}
+    for pages in hosts.values():
+        want |= dict(zip([i for i, _ in pages], plain_left([s for _, s in pages], E.RUN_TOKENS, 5, share)))
+    got = {r.page_id: r.text for r in E.main_text(frame(PAGES, rows), share=share).collect()}
+    assert got == want
+    assert any(got[i] != "\n\n".join(s[1]) for pages in hosts.values() for i, s in pages if s[0])
+
+
+def test_notice_in_articles_goes_and_reprints_stand(spark, frame, tmp_path):
+    notice = "sign up here for all the news of the town"
+    reprint = " ".join(f"r{i}" for i in range(40))
+    rows, want = [], []
+    for i in range(12):
+        own = reprint + f" last{i}" if i < 7 else f"own{i} is what this page has to say, and no other"
+        rows.append((i, "http://h/x", page(f"<article><p>{own}</p><p>{notice}</p></article>"), "t", 1, 1))
+        want.append(own)
+    rows += [(20 + i, "http://g/x", page(f"<article><p>{reprint}</p></article><nav>n{i}</nav>"), "t", 1, 1) for i in range(8)]
+    frame(PAGES, rows).write.parquet(f"{tmp_path}/pages.parquet")
+    got = {r.page_id: r.text for r in queries.op5_extraction(spark, str(tmp_path)).collect()}
+    assert got == dict(enumerate(want)) | {20 + i: reprint for i in range(8)}
+
+
+def test_articles_without_their_tags(spark):
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    stripped = pages.selectExpr("page_id", "url", "regexp_replace(html, '</?article>', '') html")
+    got, want = ({r.page_id: r.text for r in E.main_text(p).collect()} for p in (stripped, pages))
+    assert got == want
+    assert want == {r.page_id: r.text for r in E.extract(pages).collect()}
