@@ -321,7 +321,8 @@ def bom_rows(spark: SparkSession, sf: str) -> DataFrame:
         (F.col("l_quantity") * F.col("l_linenumber")).cast("decimal(8,2)").alias("component_material_quantity"),
         F.col("l_linestatus").alias("plant_id"),
     )
-    return lines.join(produced, "produced_material").join(component, "component_material")
+    # Not broadcast: parts grow with the lines, and a driver would hold them twice.
+    return lines.join(produced.hint("merge"), "produced_material").join(component.hint("merge"), "component_material")
 
 
 QUANTITIES = ("fin_production_quantity", "prod_material_production_quantity", "component_consumption_quantity")

@@ -11,6 +11,10 @@ Component rows are summed before they meet the trees. Every row of one
 (material, component, period) joins the same FINs, so this changes no total, and
 it leaves a hot material one row per component and period. The sums are stored and
 also feed the walk, so the fact table itself is read twice in either reading.
+
+An explosion has far more rows than its facts. Its trees are dealt to parts in the order of
+their FINs, and each part gets one copy of the sums that its trees need; the
+explosion is made, summed up or sorted within the parts, and none of its rows moves.
 """
 
 from __future__ import annotations
@@ -19,7 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.closure import reachable
-from millrace.operators.matching import null_safe_join, with_match
+from millrace.operators.matching import with_match
+from millrace.operators.parts import Parts
 from millrace.session import materialise
 
 FINISHED = "FIN"
@@ -73,7 +78,8 @@ def produced_edges(rows: DataFrame, by_plant: bool, produced: DataFrame | None =
         *scope, F.col("produced_material").alias("src"), F.col("component_material").alias("dst")
     ).distinct()
     made = materialise(produced_materials(rows)) if produced is None else produced
-    return with_match(edges, made.withColumnRenamed("material_id", "dst"), "dst")
+    # Not broadcast: the materials grow with the rows, and a driver would hold them all.
+    return with_match(edges, made.withColumnRenamed("material_id", "dst").hint("merge"), "dst")
 
 
 def fin_members(
@@ -197,14 +203,17 @@ def bom_explosion_monthly(bom: DataFrame) -> DataFrame:
             F.count(F.lit(1)).alias("fin_rows"),
         )
     )
-    # Meet the FIN's months first: a member's totals then join only the periods
-    # that count, and plant, year and month are part of the key.
-    wanted = members.withColumnRenamed("fin_id", "fin_material_id").join(finished, "fin_material_id")
-    matched = null_safe_join(
-        wanted,
-        totals.withColumnRenamed("produced_material", "material_id"),
-        ["material_id", "plant_id", "year", "month"],
-    )
+    members = members.withColumnRenamed("fin_id", "fin_material_id")
+    parts = Parts(members, ["fin_material_id", "material_id"], finished.select("fin_material_id"))
+    below = parts.copies(totals.withColumnRenamed("produced_material", "material_id"), ["material_id"])
+    # Where plant, year or month is null, it matches null.
+    period = ["plant_id", "year", "month"]
+    months = parts.copies(finished, ["fin_material_id"]).withColumnsRenamed({c: f"fin_{c}" for c in ["part", *period]})
+    months = months.withColumnRenamed("fin_material_id", "fin_id")
+    same = (F.col("part") == F.col("fin_part")) & (F.col("fin_material_id") == F.col("fin_id"))
+    for c in period:
+        same &= F.col(c).eqNullSafe(F.col(f"fin_{c}"))
+    matched = parts.pairs().join(below.hint("merge"), ["part", "material_id"]).join(months.hint("shuffle_hash"), same)
     # Each of fin_rows FIN entries met each of rows component rows.
     met = {
         "fin_production_quantity": F.col("fin_total") * F.col("rows"),
@@ -212,7 +221,8 @@ def bom_explosion_monthly(bom: DataFrame) -> DataFrame:
         "component_consumption_quantity": F.col("component_total") * F.col("fin_rows"),
     }
     sums = [F.coalesce(F.sum(met[c]), F.lit(0)).alias(c) for c in EXPLOSION_SUMS]
-    return matched.groupBy(*_named(EXPLOSION_KEYS)).agg(*sums).select(*EXPLOSION)
+    # All rows of a FIN and member are in one part, which sums them up by itself.
+    return matched.groupBy("part", *_named(EXPLOSION_KEYS)).agg(*sums).select(*EXPLOSION)
 
 
 def register_annual_view(bom: DataFrame, name: str = "bom_explosion") -> DataFrame:

@@ -4,7 +4,9 @@ from decimal import Decimal
 
 import pytest
 
+from millrace.operators import parts
 from millrace.plans import bom as plan
+from millrace.session import materialise
 from millrace.sources.schemas import BOM
 
 from .test_closure import walk
@@ -152,3 +154,22 @@ def test_repeated_rows_do_not_widen_the_tree(frame, rows):
 def test_view(spark, frame):
     plan.register_annual_view(frame(BOM, SMALL))
     assert spark.table("bom_explosion").count() == len(annual_by_hand(SMALL))
+
+
+def test_rows_of_the_explosions_stay_where_they_are_made(frame, rows, monkeypatch):
+    """Neither what is summed up nor what is sorted crosses a shuffle: all of them are dealt by part, before the joins."""
+    stored = []
+    monkeypatch.setattr(plan, "materialise", lambda df: stored.append(df) or materialise(df))
+    data = SMALL * 2
+    for explosion in (plan.bom_explosion_monthly,):
+        stored.clear()
+        exploded = explosion(frame(BOM, data))
+        assert not [df for df in stored if "component_consumption_quantity" in df.columns]
+        above = exploded._jdf.queryExecution().executedPlan().toString().split("SortMergeJoin")[0]
+        assert "Exchange" not in above
+
+
+def test_parts_smaller_than_a_tree(frame, rows, monkeypatch):
+    monkeypatch.setattr(parts, "ROWS_A_PART", 2)
+    assert annual(frame, rows, SMALL) == annual_by_hand(SMALL)
+    assert monthly(frame, rows, SMALL) == monthly_by_hand(SMALL)

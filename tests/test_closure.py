@@ -3,7 +3,9 @@ import random
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
+from millrace.operators import closure
 from millrace.operators.closure import reachable
 
 
@@ -59,3 +61,45 @@ def test_no_seeds(frame, rows):
 def test_long_chain(frame, rows, depth, count):
     edges = [(i, i + 1) for i in range(1, 25)]
     assert len(run(frame, rows, edges, [(0, 1)], depth)) == count
+
+
+def test_files_follow_the_pairs(spark, frame):
+    """Neither a high setting nor many rounds leave many small files to be listed in every round."""
+    edges = frame("src long, dst long", [(r * 100 + i, r * 100 + i + 1) for r in range(30) for i in range(25)])
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "60")
+    try:
+        found = reachable(edges, frame("root long, node long", [(r, r * 100) for r in range(30)]))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found.count() == 30 * 26
+    assert len(found.inputFiles()) <= (closure.BATCHES + 1) * spark.sparkContext.defaultParallelism
+
+
+def test_large_frontier_is_not_sent_to_the_driver(spark, monkeypatch):
+    plans, add = [], closure._Seen.add
+
+    def noted(seen, level, depth):
+        plans.append(level._jdf.queryExecution().sparkPlan().toString())
+        return add(seen, level, depth)
+
+    monkeypatch.setattr(closure._Seen, "add", noted)
+    n = closure.BROADCAST_ROWS + 1
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1g")
+    try:
+        roots = spark.range(n).select(F.col("id").alias("root"), (F.col("id") % 7 + n).alias("node"))
+        edges = spark.range(n, n + 7).select(F.col("id").alias("src"), (F.col("id") + 7).alias("dst"))
+        assert reachable(edges, roots).count() == 2 * n
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(plans) == 3 and "BroadcastNestedLoopJoin" not in plans[1]
+    assert "BroadcastHashJoin" not in plans[1]
+
+
+def test_outgrown_buckets(spark, frame, rows, monkeypatch):
+    monkeypatch.setattr(closure, "PAIRS_A_BUCKET", 5)
+    rng = random.Random(3)
+    edges = [(rng.randrange(40), rng.randrange(40)) for _ in range(70)]
+    seeds = [(r, r) for r in range(40)]
+    assert run(frame, rows, edges, seeds) == walk(edges, seeds)
