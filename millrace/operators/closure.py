@@ -11,7 +11,7 @@ from millrace.session import discard_path, materialise, scratch_path, shuffles_r
 # table is written anew; rows that a driver can hold for a broadcast.
 PAIRS_A_BUCKET = 500_000
 BATCHES = 8
-BROADCAST_ROWS = 10_000
+BROADCAST_ROWS = 50_000
 
 
 def reachable(
@@ -35,7 +35,7 @@ def reachable(
     pairs are moved. Buckets follow the number of rows, and a table of many batches is
     written anew, so its files stay few. The frontier and the edges are shuffled for
     their join, with a hot node split by the adaptive skew join; only a frontier of
-    few rows may be broadcast.
+    few rows is broadcast.
     """
     scope = list(scope or [])
     key = scope + ["root", "node"]
@@ -49,7 +49,7 @@ def reachable(
         seen.tidy()
         frontier = seen.newest()
         stepped = (
-            (frontier if added <= BROADCAST_ROWS else frontier.hint("merge")).join(hops, scope + ["node"])
+            frontier.hint("broadcast" if added <= BROADCAST_ROWS else "merge").join(hops, scope + ["node"])
             .select(*scope, "root", F.col("__next").alias("node"))
             .repartition(seen.buckets, *key)
             .distinct()

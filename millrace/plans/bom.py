@@ -166,26 +166,32 @@ def _named(names: list[str]) -> list[Column]:
 def bom_explosion_annual(bom: DataFrame, max_depth: int | None = None, ordered: bool = True) -> DataFrame:
     """Annual explosion: one row per FIN, tree member, component, plant and year.
 
-    ``ordered`` sorts by plant, FIN, member, component and year.
+    ``ordered`` sorts by plant, FIN, member, component and year: each partition is in
+    order, and so are the partitions one after the other.
     """
     totals = materialise(component_totals(bom, ["year"]))
     members = fin_members(totals, by_plant=True, max_depth=max_depth)
-    # The FIN's years first: the trees stay small until they meet the totals, and a
-    # member used by many FINs is spread over its years in that join.
     finished = materialise(fin_quantity(bom).join(fin_attr(totals), ["plant_id", "fin_id"]))
-    trees = members.join(finished, ["plant_id", "fin_id"]).withColumnRenamed("fin_id", "fin_material_id")
+    parts = Parts(members, ["plant_id", "fin_id", "material_id"], finished.select("plant_id", "fin_id"))
+    below = parts.copies(totals.withColumnRenamed("produced_material", "material_id"), ["plant_id", "material_id"])
+    years = parts.copies(finished, ["plant_id", "fin_id"])
     # Plant, FIN, member, component and year identify a row here, attributes
     # included, so no aggregate is left to do after the joins.
-    exploded = trees.join(
-        totals.withColumnRenamed("produced_material", "material_id"), ["plant_id", "material_id", "year"]
-    ).withColumnsRenamed(
-        {"produced_total": "prod_material_production_quantity", "component_total": "component_consumption_quantity"}
+    exploded = (
+        parts.pairs()
+        .join(below.hint("merge"), ["part", "plant_id", "material_id"])
+        .join(years.hint("shuffle_hash"), ["part", "plant_id", "fin_id", "year"])
+        .withColumnsRenamed(
+            {
+                "fin_id": "fin_material_id",
+                "produced_total": "prod_material_production_quantity",
+                "component_total": "component_consumption_quantity",
+            }
+        )
     )
-    named = exploded.select(*_named(EXPLOSION))
-    if not ordered:
-        return named
-    # A range sort reads its input twice: let it read rows, not run the joins again.
-    return materialise(named).orderBy("plant", "fin_material_id", "prod_material_id", "component_id", "year")
+    if ordered:
+        exploded = exploded.sortWithinPartitions("at", "component_material", "year")
+    return exploded.select(*_named(EXPLOSION))
 
 
 def bom_explosion_monthly(bom: DataFrame) -> DataFrame:

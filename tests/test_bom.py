@@ -161,7 +161,7 @@ def test_rows_of_the_explosions_stay_where_they_are_made(frame, rows, monkeypatc
     stored = []
     monkeypatch.setattr(plan, "materialise", lambda df: stored.append(df) or materialise(df))
     data = SMALL * 2
-    for explosion in (plan.bom_explosion_monthly,):
+    for explosion in (plan.bom_explosion_monthly, plan.bom_explosion_annual):
         stored.clear()
         exploded = explosion(frame(BOM, data))
         assert not [df for df in stored if "component_consumption_quantity" in df.columns]
