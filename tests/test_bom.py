@@ -3,6 +3,7 @@ from collections import defaultdict
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.operators import parts
 from millrace.plans import bom as plan
@@ -173,3 +174,16 @@ def test_parts_smaller_than_a_tree(frame, rows, monkeypatch):
     monkeypatch.setattr(parts, "ROWS_A_PART", 2)
     assert annual(frame, rows, SMALL) == annual_by_hand(SMALL)
     assert monthly(frame, rows, SMALL) == monthly_by_hand(SMALL)
+
+
+def test_positions_of_ordered_keys(spark, frame, rows, monkeypatch):
+    """Rows are numbered by partition and place; keys alone carry the order too."""
+    monkeypatch.setattr(parts, "ROWS_A_PART", 2)
+    keys = ["plant", "fin_material_id", "prod_material_id", "component_id", "year"]
+    stored = []
+    monkeypatch.setattr(plan, "materialise", lambda df: stored.append(df) or materialise(df))
+    ordered = plan.bom_explosion_annual(frame(BOM, SMALL)).select(*keys)
+    assert not [df for df in stored if "component_id" in df.columns]
+    at = ordered.withColumn("at", F.monotonically_increasing_id())
+    got = [r[:-1] for r in sorted(rows(materialise(at)), key=lambda r: r[-1])]
+    assert got == sorted(got) and len(got) == len(annual_by_hand(SMALL))
